@@ -1,0 +1,51 @@
+"""Compare a Spark result with the SQL result: names, types, rows without regard to order."""
+
+from __future__ import annotations
+
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+TYPE_NAMES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "binary": "BLOB",
+}
+
+
+def open_tables(sf_dir):
+    db = duckdb.connect()
+    for name in TABLES:
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return db
+
+
+def differences(df, db, sql):
+    got_types = {f.name: TYPE_NAMES[f.dataType.simpleString()] for f in df.schema.fields}
+    relation = db.sql(sql)
+    want_types = {n: str(t) for n, t in zip(relation.columns, relation.types)}
+    if got_types != want_types:
+        return f"schema: {sorted(got_types.items())} is not {sorted(want_types.items())}"
+    names = sorted(got_types)
+    got = sorted((normal(row) for row in df.select(*names).collect()), key=repr)
+    want = sorted(
+        (normal(row) for row in relation.project(", ".join(f'"{n}"' for n in names)).fetchall()), key=repr
+    )
+    if len(got) != len(want):
+        return f"{len(got)} rows, not {len(want)}"
+    for one, other in zip(got, want):
+        if one != other:
+            return f"{one} is not {other}"
+    return None
+
+
+def normal(row):
+    return tuple(
+        bytes(v) if isinstance(v, bytearray)
+        else (None if isinstance(v, float) and math.isnan(v) else v)
+        for v in row
+    )
