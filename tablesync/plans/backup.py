@@ -45,9 +45,10 @@ def backup_window(
     The days of the window are written as whole directories. A run that died half-way
     is made good by the next one, whose window starts at the same bound.
     """
-    if registry.has(name, load_id):
-        return BackupResult(0, registry.watermark(name), None, None)
-    low = registry.watermark(name) or (literal_text(low) if low is not None else None)
+    progress = registry.progress(name)
+    if load_id in progress.loads:
+        return BackupResult(0, progress.watermark, None, None)
+    low = progress.watermark or (literal_text(low) if low is not None else None)
     if low is None and not first_load:
         raise ValueError(f"no watermark for {name}; state a lower bound or ask for a first load")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,8 +12,9 @@ from pyspark.sql import types as T
 from tablesync.functions.columns import literal_text
 from tablesync.operators.increment import Point
 from tablesync.operators.latest import latest
-from tablesync.sources.tables import replace_partitions, scan_parquet
-from tablesync.sources.versions import check_load_id
+from tablesync.sources.files import exists
+from tablesync.sources.tables import one_row, overwrite, scan_parquet
+from tablesync.sources.versions import check_name
 
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -21,11 +25,20 @@ REGISTRY_SCHEMA = T.StructType([
 ])
 
 
+@dataclass(frozen=True)
+class Progress:
+    """Where a table stands: its watermark as ISO text, and its committed loads."""
+
+    watermark: str | None
+    loads: list[str]
+
+
 class Registry:
     """A load is committed when its row is here, so a job writes the row last.
 
-    Rows lie in a directory per table and load: looking one table up opens only its own
-    files, and recording a load again replaces its row.
+    Each row has a directory of its own under ``table_name=<table>/load_id=<load>``:
+    looking one table up lists only its own rows, jobs of different tables do not meet,
+    and recording a load again replaces its row.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
@@ -39,34 +52,30 @@ class Registry:
         """The row of each table with the latest watermark, which never goes back."""
         return latest(self.history(), ["table_name"], ["watermark", "committed_at", "load_id"])
 
-    def watermark(self, table_name: str) -> str | None:
-        """The table's watermark as ISO text, None before its first load."""
-        row = (
-            self.history()
-            .where(F.col("table_name") == table_name)
-            .agg(F.max("watermark").cast("string").alias("watermark"))
+    def progress(self, table_name: str) -> Progress:
+        path = f"{self.path}/table_name={check_name(table_name)}"
+        if not exists(self.spark, path):
+            return Progress(None, [])
+        schema = T.StructType(REGISTRY_SCHEMA.fields[1:])
+        watermark, loads = (
+            scan_parquet(self.spark, path, schema)
+            .agg(F.max("watermark").cast("string"), F.sort_array(F.collect_set("load_id")))
             .first()
         )
-        return row["watermark"]
-
-    def loads(self, table_name: str) -> list[str]:
-        rows = self.history().where(F.col("table_name") == table_name).select("load_id").collect()
-        return sorted(row["load_id"] for row in rows)
+        return Progress(watermark, loads)
 
-    def has(self, table_name: str, load_id: str) -> bool:
-        same = (F.col("table_name") == table_name) & (F.col("load_id") == load_id)
-        return bool(self.history().where(same).take(1))
+    def watermark(self, table_name: str) -> str | None:
+        """The table's watermark, None before its first load."""
+        return self.progress(table_name).watermark
 
     def record(self, table_name: str, load_id: str, watermark: Point, row_count: int) -> None:
-        check_load_id(load_id)
-        row = self.spark.createDataFrame(
-            [(table_name, load_id, literal_text(watermark), row_count)],
-            "table_name string, load_id string, watermark string, row_count bigint",
-        ).withColumns({
-            "watermark": F.col("watermark").cast("timestamp_ntz"),
+        value, stored = literal_text(watermark), self.progress(table_name).watermark
+        if stored is not None and datetime.fromisoformat(value) < datetime.fromisoformat(stored):
+            raise ValueError(f"{table_name}: watermark {value} is before the stored {stored}")
+        row = one_row(self.spark, REGISTRY_SCHEMA, {
+            "watermark": value,
+            "row_count": row_count,
             "committed_at": F.current_timestamp(),
         })
-        stored = self.watermark(table_name)
-        if stored is not None and row.where(F.col("watermark") < F.lit(stored).cast("timestamp_ntz")).take(1):
-            raise ValueError(f"{table_name}: watermark {watermark} is before the stored {stored}")
-        replace_partitions(row.coalesce(1), self.path, "table_name", "load_id")
+        path = f"{self.path}/table_name={check_name(table_name)}/load_id={check_name(load_id)}"
+        overwrite(row.drop("table_name", "load_id"), path)

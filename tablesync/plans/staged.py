@@ -13,8 +13,8 @@ from tablesync.operators.increment import extract_increment
 from tablesync.operators.metrics import ISO_SECONDS, latest_timestamp, reconcile_aggregates
 from tablesync.plans.registry import Registry
 from tablesync.sources.files import drop_if_exists
-from tablesync.sources.tables import overwrite, scan_parquet
-from tablesync.sources.versions import check_load_id
+from tablesync.sources.tables import empty, overwrite, scan_parquet
+from tablesync.sources.versions import check_name
 
 
 @dataclass(frozen=True)
@@ -52,14 +52,14 @@ class StagedLoad:
         load_id: str,
         full_load: bool = False,
     ) -> LoadResult:
-        check_load_id(load_id)
         spark = source.sparkSession
-        staging = f"{self.staging}/load_id={load_id}"
-        if registry.has(self.name, load_id):
+        staging = f"{self.staging}/load_id={check_name(load_id)}"
+        progress = registry.progress(self.name)
+        if load_id in progress.loads:
             drop_if_exists(spark, staging)
             return LoadResult(False, 0, 0, None, None)
 
-        fresh = extract_increment(source, self.column, registry.watermark(self.name), full_load)
+        fresh = extract_increment(source, self.column, progress.watermark, full_load)
         newest = latest_timestamp(fresh, self.column, self.pattern)
         seen = Observation()
         measured = fresh.observe(
@@ -84,9 +84,9 @@ class StagedLoad:
 
     def read(self, spark: SparkSession, registry: Registry) -> DataFrame:
         """The rows of the committed loads."""
-        paths = [f"{self.target}/load_id={load}" for load in registry.loads(self.name)]
+        paths = [f"{self.target}/load_id={load}" for load in registry.progress(self.name).loads]
         if not paths:
-            return spark.createDataFrame([], self.target_schema)
+            return empty(spark, self.target_schema)
         return spark.read.schema(self.target_schema).parquet(*paths)
 
     def _insert(self, staged: DataFrame, load_id: str, expected: int) -> None:

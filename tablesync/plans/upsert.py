@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -13,7 +14,7 @@ from tablesync.operators.latest import has_key, latest, without_key
 from tablesync.operators.mapping import quoted, union_rows
 from tablesync.sources.files import drop_if_exists
 from tablesync.sources.tables import overwrite, scan_parquet
-from tablesync.sources.versions import BUCKET, PART, VersionedTable, check_load_id
+from tablesync.sources.versions import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -42,16 +43,17 @@ def upsert_latest(
     greatest ``watermark`` value and the buckets its keys fall in. Only those buckets are
     read from the table and written again.
 
-    Keys are made unique within the increment first, where the cut to one row per key
-    happens before the shuffle; the table's keys are unique already. So the shuffle that
-    merges the two has at most two rows of any key, however hot it was.
+    Only the increment is shuffled. Its keys are made unique first, with the cut to one
+    row per key ahead of the shuffle, and then sent to the table's buckets; the table
+    lies by bucket already and its keys are unique. So a bucket never has more than two
+    rows of a key, however hot the key was in the increment.
 
     Rows without a key go to ``rejects/load_id=<load>`` next to the data. An empty
     increment, or a load that was committed before, changes nothing.
     """
-    check_load_id(load_id)
+    done = table.find(load_id)
     staging = f"{table.path}/staging/load_id={load_id}"
-    if table.find(load_id) is not None:
+    if done is not None:
         drop_if_exists(table.spark, staging)
         return NOTHING
 
@@ -62,25 +64,40 @@ def upsert_latest(
         drop_if_exists(table.spark, staging)
         return UpsertResult(False, size["row_count"], size["rejected"], 0)
 
-    rows = latest(staged, table.key, order, ties)
     before = table.current()
-    if before is None:
-        rows = table.arranged(rows)
-    else:
-        base = table.read_version(before, size["buckets"])
-        both = table.arranged(union_rows(base, rows, allow_new_columns))
-        rows = latest(both, [BUCKET, PART, *table.key], order, ties)
-    table.publish(
-        load_id,
-        rows,
-        replaces=size["buckets"],
-        watermark=_later(size["watermark"], before.watermark if before else None),
-        row_count=size["row_count"],
-    )
+    fresh = latest(staged, table.key, order, ties).repartition(table.n_buckets, *table.key)
+    with ExitStack() as in_use:
+        if before is not None:
+            base = in_use.enter_context(table.bucketed(before, size["buckets"]))
+            fresh = merge(base, fresh, table.key, order, ties, allow_new_columns)
+        table.publish(
+            load_id,
+            fresh,
+            replaces=size["buckets"],
+            watermark=_later(size["watermark"], before.watermark if before else None),
+            row_count=size["row_count"],
+            gather=False,
+        )
     drop_if_exists(table.spark, staging)
     return UpsertResult(True, size["row_count"], size["rejected"], len(size["buckets"]))
 
 
+def merge(
+    base: DataFrame,
+    fresh: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    ties: Sequence[str] | None = None,
+    allow_new_columns: bool = False,
+) -> DataFrame:
+    """The latest row per key of two inputs.
+
+    When both are hash-partitioned alike by the key, so is their union, and the window
+    needs no exchange.
+    """
+    return latest(union_rows(base, fresh, allow_new_columns), key, order, ties)
+
+
 def _stage(table: VersionedTable, increment: DataFrame, path: str, watermark: str | None) -> tuple[DataFrame, dict]:
     keyed = has_key(table.key)
     highest = F.max(quoted(watermark)) if watermark else F.max(F.lit(None).cast("string"))

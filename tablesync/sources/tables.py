@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.sources.files import exists
@@ -15,7 +16,7 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     if schema is None:
         return spark.read.parquet(path)
     if not exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -31,6 +32,18 @@ def scan_source(
     return df if predicate is None else df.where(predicate)
 
 
+def one_row(spark: SparkSession, schema: T.StructType, values: Mapping[str, object]) -> DataFrame:
+    """A row of constants, which Spark plans without shipping anything from Python."""
+    return spark.range(0, 1, 1, 1).select(*[
+        (v if isinstance(v := values.get(f.name), Column) else F.lit(v)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ])
+
+
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return one_row(spark, schema, {}).where(F.lit(False))
+
+
 def append(df: DataFrame, path: str, source_format: str = "parquet") -> None:
     df.write.format(source_format).mode("append").save(path)
 
@@ -44,12 +57,12 @@ def append_partitions(df: DataFrame, path: str, column: str) -> None:
     gathered(df, column).write.mode("append").partitionBy(column).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
+def replace_partitions(df: DataFrame, path: str, column: str) -> None:
     """Write whole directories and leave all others alone, so that a repeat adds nothing."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
+        .partitionBy(column)
         .parquet(path)
     )
 

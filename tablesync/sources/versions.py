@@ -12,6 +12,10 @@ and one control row, written last as a single file, says which load holds each b
 Readers follow the row with the highest sequence number. A job that dies before that row
 is written leaves the table as it was, and repeating a committed load changes nothing.
 One writer at a time is assumed; two rows with the same number are reported.
+
+The files are written by Spark's bucketed writer. A bucket directory holds the files of
+the bucket of the same number, and ``bucketed`` gives a reader a table that Spark knows to
+be hash-partitioned by the key, so that merging into it does not shuffle it.
 """
 
 from __future__ import annotations
@@ -19,7 +23,9 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Callable, Collection, Sequence
+import uuid
+from collections.abc import Callable, Collection, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -27,18 +33,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.mapping import quoted
-from tablesync.sources.files import drop_if_exists
-from tablesync.sources.tables import gathered, scan_parquet
+from tablesync.sources.files import drop_if_exists, exists
+from tablesync.sources.tables import empty, gathered, one_row, scan_parquet
 
 BUCKET = "bucket"
-PART = "__bucket_part"
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("load_id", T.StringType()),
     T.StructField("seq", T.LongType()),
     T.StructField("key", T.ArrayType(T.StringType())),
     T.StructField("n_buckets", T.IntegerType()),
-    T.StructField("buckets", T.MapType(T.IntegerType(), T.StringType())),
+    T.StructField("buckets", T.StringType()),
     T.StructField("columns", T.StringType()),
     T.StructField("watermark", T.TimestampNTZType()),
     T.StructField("row_count", T.LongType()),
@@ -48,9 +53,10 @@ COMMIT_SCHEMA = T.StructType([
 
 @dataclass(frozen=True)
 class Commit:
+    """One version. ``buckets`` maps a bucket to the load that holds its rows."""
+
     load_id: str
     seq: int
-    n_buckets: int
     buckets: dict[int, str]
     schema: T.StructType
     watermark: str | None
@@ -58,22 +64,13 @@ class Commit:
 
 
 class VersionedTable:
-    """``n_buckets`` is fixed when the table is made. ``files_per_bucket`` is not: it
-    only says over how many tasks the rows of one bucket are spread when written."""
+    """``key`` and ``n_buckets`` are fixed when the first version is published."""
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        key: Sequence[str],
-        n_buckets: int,
-        files_per_bucket: int = 1,
-    ) -> None:
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], n_buckets: int) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = list(key)
         self.n_buckets = n_buckets
-        self.files_per_bucket = files_per_bucket
 
     # control rows
 
@@ -81,6 +78,8 @@ class VersionedTable:
         return scan_parquet(self.spark, f"{self.path}/commits", COMMIT_SCHEMA)
 
     def current(self) -> Commit | None:
+        if not exists(self.spark, f"{self.path}/commits"):
+            return None
         last = _as_text(self.commits().orderBy(F.desc("seq"))).take(2)
         if len(last) == 2 and last[0]["seq"] == last[1]["seq"]:
             loads = [row["load_id"] for row in last]
@@ -88,43 +87,59 @@ class VersionedTable:
         return self._commit(last[0]) if last else None
 
     def find(self, load_id: str) -> Commit | None:
+        """The version a load published, if it did."""
+        check_name(load_id)
+        if not exists(self.spark, f"{self.path}/commits/load_id={load_id}"):
+            return None
         rows = _as_text(self.commits().where(F.col("load_id") == load_id)).take(1)
         return self._commit(rows[0]) if rows else None
 
     # rows
 
-    def read(self, buckets: Collection[int] | None = None) -> DataFrame:
-        """The current rows, or those of some buckets: other directories are not listed."""
+    def read(self) -> DataFrame:
         commit = self.current()
         if commit is None:
             raise ValueError(f"{self.path}: nothing has been published")
-        return self.read_version(commit, buckets)
-
-    def read_version(self, commit: Commit, buckets: Collection[int] | None = None) -> DataFrame:
-        wanted = set(commit.buckets if buckets is None else buckets)
-        paths = [
-            f"{self.path}/data/load_id={load}/{BUCKET}={bucket}"
-            for bucket, load in sorted(commit.buckets.items())
-            if bucket in wanted
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], commit.schema)
-        return self.spark.read.schema(commit.schema).parquet(*paths)
+        return self.read_version(commit)
 
-    def bucket_of(self) -> Column:
-        return F.pmod(self._key_hash(), F.lit(self.n_buckets)).cast("int")
+    def read_version(self, commit: Commit) -> DataFrame:
+        if not commit.buckets:
+            return empty(self.spark, commit.schema)
+        paths = [self._directory(load, bucket) for bucket, load in commit.buckets.items()]
+        return self.spark.read.schema(commit.schema).parquet(*paths)
 
-    def arranged(self, df: DataFrame) -> DataFrame:
-        """Shuffle once so that a bucket is written by ``files_per_bucket`` tasks.
+    @contextmanager
+    def bucketed(self, commit: Commit, buckets: Collection[int]) -> Iterator[DataFrame]:
+        """Some buckets of a version, hash-partitioned by the key without a shuffle.
 
-        Meant for rows with few per key: the shuffle spreads keys, not rows.
+        Spark takes a bucket layout only from its catalogue, so the directories are
+        registered as an external table while the block runs. Dropping it leaves the
+        files alone. A bucket is read by one task, so keys should be unique.
         """
-        part = F.pmod(F.shiftrightunsigned(self._key_hash(), 32), F.lit(self.files_per_bucket))
-        df = df.withColumns({BUCKET: self.bucket_of(), PART: part.cast("int")})
-        pieces = self.n_buckets * self.files_per_bucket
-        if pieces > int(self.spark.conf.get("spark.sql.shuffle.partitions")):
-            return df.repartition(pieces, BUCKET, PART)
-        return df.repartition(BUCKET, PART)
+        name = f"tablesync_{uuid.uuid4().hex}"
+        columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in commit.schema.fields)
+        keys = ", ".join(_quote(k) for k in self.key)
+        self.spark.sql(
+            f"CREATE TABLE {name} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
+            f"CLUSTERED BY ({keys}) INTO {self.n_buckets} BUCKETS LOCATION '{self.path}/data'"
+        )
+        try:
+            present = sorted(set(buckets) & set(commit.buckets))
+            for start in range(0, len(present), 1000):
+                parts = " ".join(
+                    f"PARTITION ({BUCKET}={b}) LOCATION '{self._directory(commit.buckets[b], b)}'"
+                    for b in present[start:start + 1000]
+                )
+                self.spark.sql(f"ALTER TABLE {name} ADD {parts}")
+            yield self.spark.table(name).drop(BUCKET)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def bucket_of(self) -> Column:
+        """Spark's own bucket number: Murmur3 of the key, as in ``bucketBy``."""
+        return F.pmod(F.hash(*[quoted(k) for k in self.key]), F.lit(self.n_buckets))
+
+    # publishing
 
     def publish(
         self,
@@ -133,31 +148,23 @@ class VersionedTable:
         replaces: Collection[int] | None = None,
         watermark: str | None = None,
         row_count: int | None = None,
+        gather: bool = True,
     ) -> Commit:
-        """Write ``rows``, which carry their bucket, and make them the table.
+        """Write ``rows`` and make them the table, or the ``replaces`` buckets of it.
 
-        ``replaces`` names the buckets the rows stand for; all others stay as they are.
-        By default the rows are the whole table. ``row_count`` is the size of the load
-        for the record, by default the rows written.
+        Rows are first gathered by bucket. Without ``gather`` they are written from where
+        they are, for rows that lie by bucket already. ``row_count`` is the size of the
+        load for the record, by default the rows written.
         """
-        check_load_id(load_id)
         done = self.find(load_id)
         if done is not None:
             return done
+        clashes = {BUCKET, "load_id"} & {name.lower() for name in rows.columns}
+        if clashes:
+            raise ValueError(f"reserved column names: {sorted(clashes)}")
         before = self.current()
-        rows = rows.drop(PART)
-        seen = Observation()
-        (
-            rows.observe(
-                seen,
-                F.count(F.lit(1)).alias("row_count"),
-                F.collect_set(BUCKET).alias("buckets"),
-            )
-            .write.mode("overwrite")
-            .partitionBy(BUCKET)
-            .parquet(f"{self.path}/data/load_id={load_id}")
-        )
-        written = seen.get
+        placed = rows.withColumn(BUCKET, self.bucket_of())
+        written = self._write_rows(load_id, gathered(placed, BUCKET) if gather else placed)
         buckets: dict[int, str] = {}
         if before is not None and replaces is not None:
             gone = set(replaces)
@@ -166,36 +173,72 @@ class VersionedTable:
         commit = Commit(
             load_id=load_id,
             seq=before.seq + 1 if before else 1,
-            n_buckets=self.n_buckets,
             buckets=buckets,
-            schema=_all_nullable(rows.drop(BUCKET).schema),
+            schema=T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields]),
             watermark=watermark or (before.watermark if before else None),
             row_count=written["row_count"] if row_count is None else row_count,
         )
         self._write_commit(commit)
         return commit
 
-    def replace(self, load_id: str, change: Callable[[DataFrame], DataFrame]) -> Commit:
-        """Replace the table by a query over itself."""
+    def replace(self, load_id: str, change: Callable[[DataFrame], DataFrame], row_by_row: bool = False) -> Commit:
+        """Replace the table by a query over itself.
+
+        A change that is ``row_by_row`` and keeps the key, such as dropping a column,
+        needs no shuffle: rows are written to the bucket they were read from.
+        """
         done = self.find(load_id)
-        if done is not None:
-            return done
-        rows = change(self.read()).withColumn(BUCKET, self.bucket_of())
-        return self.publish(load_id, gathered(rows, BUCKET))
+        return done or self.publish(load_id, change(self.read()), gather=not row_by_row)
 
     def retire(self, keep: int = 1) -> int:
         """Drop the bucket directories that none of the last ``keep`` versions uses."""
-        held = self.commits().select("seq", F.explode("buckets").alias("number", "load"))
-        newest = self.commits().orderBy(F.desc("seq")).limit(keep)
-        used = newest.select(F.explode("buckets").alias("number", "load"))
-        unused = held.select("number", "load").distinct().subtract(used).collect()
-        return sum(
-            drop_if_exists(self.spark, f"{self.path}/data/load_id={row['load']}/{BUCKET}={row['number']}")
-            for row in unused
+        entries = self.commits().select(
+            "seq", F.explode(F.from_json("buckets", "map<string, string>")).alias("number", "load")
         )
+        newest = self.commits().orderBy(F.desc("seq")).limit(keep).agg(F.min("seq")).first()[0]
+        unused = entries.groupBy("load", "number").agg(F.max("seq").alias("last_used"))
+        unused = unused.where(F.col("last_used") < newest).collect()
+        return sum(drop_if_exists(self.spark, self._directory(row["load"], row["number"])) for row in unused)
+
+    def _directory(self, load_id: str, bucket: int | str) -> str:
+        return f"{self.path}/data/load_id={load_id}/{BUCKET}={bucket}"
+
+    def _write_rows(self, load_id: str, rows: DataFrame) -> dict:
+        path = f"{self.path}/data/load_id={load_id}"
+        drop_if_exists(self.spark, path)
+        name = f"tablesync_{uuid.uuid4().hex}"
+        seen = Observation()
+        counted = rows.observe(
+            seen,
+            F.count(F.lit(1)).alias("row_count"),
+            F.collect_set(BUCKET).alias("buckets"),
+        )
+        try:
+            (
+                counted.write.format("parquet")
+                .partitionBy(BUCKET)
+                .bucketBy(self.n_buckets, *self.key)
+                .option("path", path)
+                .saveAsTable(name)
+            )
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        return seen.get
 
-    def _key_hash(self) -> Column:
-        return F.xxhash64(*[quoted(k) for k in self.key])
+    def _write_commit(self, commit: Commit) -> None:
+        row = one_row(self.spark, COMMIT_SCHEMA, {
+            "load_id": commit.load_id,
+            "seq": commit.seq,
+            "key": self.key,
+            "n_buckets": self.n_buckets,
+            "buckets": json.dumps(commit.buckets),
+            "columns": commit.schema.json(),
+            "watermark": commit.watermark,
+            "row_count": commit.row_count,
+            "committed_at": F.current_timestamp(),
+        })
+        path = f"{self.path}/commits/load_id={commit.load_id}"
+        row.drop("load_id").write.mode("overwrite").parquet(path)
 
     def _commit(self, row: Row) -> Commit:
         if row["n_buckets"] != self.n_buckets or row["key"] != self.key:
@@ -206,48 +249,28 @@ class VersionedTable:
         return Commit(
             load_id=row["load_id"],
             seq=row["seq"],
-            n_buckets=row["n_buckets"],
-            buckets=row["buckets"],
+            buckets={int(b): load for b, load in json.loads(row["buckets"]).items()},
             schema=T.StructType.fromJson(json.loads(row["columns"])),
             watermark=row["watermark"],
             row_count=row["row_count"],
         )
 
-    def _write_commit(self, commit: Commit) -> None:
-        values = [(
-            commit.seq, self.key, commit.n_buckets, commit.buckets, commit.schema.json(),
-            commit.watermark, commit.row_count,
-        )]
-        row = self.spark.createDataFrame(
-            values,
-            "seq bigint, key array<string>, n_buckets int, buckets map<int, string>, "
-            "columns string, watermark string, row_count bigint",
-        ).withColumns({
-            "watermark": F.col("watermark").cast("timestamp_ntz"),
-            "committed_at": F.current_timestamp(),
-        })
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/load_id={commit.load_id}")
 
+def buckets_for(total_bytes: int, bucket_bytes: int = 1 << 30) -> int:
+    """Buckets for a table of this size on disk, few enough to list in one control row."""
+    return min(16384, max(8, math.ceil(total_bytes / bucket_bytes)))
 
-def layout_for(total_bytes: int, bucket_bytes: int = 4 << 30, file_bytes: int = 512 << 20) -> tuple[int, int]:
-    """Buckets and files per bucket for a table of this size on disk.
 
-    Buckets stay few enough for the control row and the path list to remain small;
-    beyond that a bucket is written as more files.
-    """
-    n_buckets = min(4096, max(8, math.ceil(total_bytes / bucket_bytes)))
-    return n_buckets, max(1, math.ceil(total_bytes / n_buckets / file_bytes))
+def check_name(name: str) -> str:
+    """Names of loads and tables are directory names."""
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", name):
+        raise ValueError(f"{name!r} cannot name a directory")
+    return name
 
 
 def _as_text(commits: DataFrame) -> DataFrame:
     return commits.withColumn("watermark", F.col("watermark").cast("string"))
 
 
-def _all_nullable(schema: T.StructType) -> T.StructType:
-    """Parquet reads every column back as nullable."""
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-
-
-def check_load_id(load_id: str) -> None:
-    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", load_id):
-        raise ValueError(f"load id {load_id!r} cannot name a directory")
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -18,7 +18,7 @@ from tablesync.plans.registry import Registry
 from tablesync.plans.upsert import upsert_latest as upsert
 from tablesync.session import scratch_dir
 from tablesync.sources import files, tables
-from tablesync.sources.versions import VersionedTable, layout_for
+from tablesync.sources.versions import VersionedTable, buckets_for
 from workload.standins import installs_src, merchant_src, offers_src, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,8 +47,8 @@ def up_to(df: DataFrame, column: str, point: str) -> DataFrame:
 
 def order_table(spark: SparkSession, sf_dir: str, name: str, key: str = "o_custkey") -> VersionedTable:
     """An empty table for rows of orders, sized by the orders file."""
-    layout = layout_for(files.size_bytes(spark, f"{sf_dir}/orders.parquet"))
-    return VersionedTable(spark, scratch_dir(spark, name), [key], *layout)
+    n_buckets = buckets_for(files.size_bytes(spark, f"{sf_dir}/orders.parquet"))
+    return VersionedTable(spark, scratch_dir(spark, name), [key], n_buckets)
 
 
 # scans
@@ -104,8 +104,7 @@ def insert_select_typed(spark, sf_dir):
 @query
 def replace_from_self(spark, sf_dir):
     target = order_table(spark, sf_dir, "replace")
-    source = table(spark, sf_dir, "orders").withColumn("bucket", target.bucket_of())
-    target.publish("first", tables.gathered(source, "bucket"))
+    target.publish("first", table(spark, sf_dir, "orders"))
     target.replace("deduplicated", partial(latest, key=["o_custkey"], order=["o_orderdate"], ties=["o_orderkey"]))
     return target.read()
 
@@ -130,8 +129,8 @@ def drop_if_exists(spark, sf_dir):
 def drop_column(spark, sf_dir):
     target = order_table(spark, sf_dir, "drop-column", key="o_orderkey")
     source = table(spark, sf_dir, "orders").withColumn("rn", F.col("o_orderkey") + F.col("o_custkey"))
-    target.publish("first", tables.gathered(source.withColumn("bucket", target.bucket_of()), "bucket"))
-    target.replace("dropped", lambda df: df.drop("rn"))
+    target.publish("first", source)
+    target.replace("dropped", lambda df: df.drop("rn"), row_by_row=True)
     return target.read()
 
 
@@ -345,8 +344,7 @@ def upsert_latest(spark, sf_dir):
 def merchant_sync(spark, sf_dir):
     """The merchant job, run when the source stood at the mark and run again now."""
     source = merchant_src(spark, sf_dir)
-    layout = layout_for(files.size_bytes(spark, f"{sf_dir}/orders.parquet"))
-    target = VersionedTable(spark, scratch_dir(spark, "merchants"), merchant.KEY, *layout)
+    target = order_table(spark, sf_dir, "merchants", merchant.KEY[0])
     merchant.sync_merchants(up_to(source, merchant.UPDATED_AT, ORDERS_MARK), target, "day-1", first_load=True)
     merchant.sync_merchants(source, target, "day-2")
     return target.read()
