@@ -21,12 +21,17 @@ def latest(df: DataFrame, key: Sequence[str], order: Sequence[str], ties: Sequen
     reaches the output. Catalyst cuts each key to one row per map task before the
     shuffle, so a hot key costs no more than any other.
     """
+    return last_of_each(with_key(df, key), key, order, ties)
+
+
+def last_of_each(df: DataFrame, key: Sequence[str], order: Sequence[str], ties: Sequence[str] | None = None) -> DataFrame:
+    """``latest`` for rows that are known to have a key."""
     if ties is None:
         used = {*key, *order}
         ties = [f.name for f in df.schema.fields if f.name not in used and orderable(f.dataType)]
     by_recency = [quoted(c).desc() for c in (*order, *ties)]
     window = Window.partitionBy(*[quoted(k) for k in key]).orderBy(*by_recency)
-    ranked = with_key(df, key).withColumn(RANK, F.row_number().over(window))
+    ranked = df.withColumn(RANK, F.row_number().over(window))
     return ranked.where(F.col(RANK) == 1).drop(RANK)
 
 

@@ -10,11 +10,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tablesync.operators.latest import has_key, latest, without_key
+from tablesync.operators.latest import has_key, last_of_each, latest, without_key
 from tablesync.operators.mapping import quoted, union_rows
 from tablesync.sources.files import drop_if_exists
 from tablesync.sources.tables import overwrite, scan_parquet
-from tablesync.sources.versions import VersionedTable
+from tablesync.sources.versions import BUCKET, VersionedTable
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,8 @@ def upsert_latest(
         return UpsertResult(False, size["row_count"], size["rejected"], 0)
 
     before = table.current()
-    fresh = latest(staged, table.key, order, ties).repartition(table.n_buckets, *table.key)
+    fresh = latest(staged, table.key, order, ties).withColumn(BUCKET, table.bucket_of())
+    fresh = fresh.repartition(table.n_buckets, *table.key)
     with ExitStack() as in_use:
         if before is not None:
             base = in_use.enter_context(table.bucketed(before, size["buckets"]))
@@ -76,7 +77,7 @@ def upsert_latest(
             replaces=size["buckets"],
             watermark=_later(size["watermark"], before.watermark if before else None),
             row_count=size["row_count"],
-            gather=False,
+            in_place=True,
         )
     drop_if_exists(table.spark, staging)
     return UpsertResult(True, size["row_count"], size["rejected"], len(size["buckets"]))
@@ -90,12 +91,12 @@ def merge(
     ties: Sequence[str] | None = None,
     allow_new_columns: bool = False,
 ) -> DataFrame:
-    """The latest row per key of two inputs.
+    """The latest row per key of two inputs whose rows all have a key.
 
     When both are hash-partitioned alike by the key, so is their union, and the window
-    needs no exchange.
+    needs no exchange. A filter on the key would hide that from Spark.
     """
-    return latest(union_rows(base, fresh, allow_new_columns), key, order, ties)
+    return last_of_each(union_rows(base, fresh, allow_new_columns), key, order, ties)
 
 
 def _stage(table: VersionedTable, increment: DataFrame, path: str, watermark: str | None) -> tuple[DataFrame, dict]:

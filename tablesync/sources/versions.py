@@ -115,6 +115,9 @@ class VersionedTable:
         Spark takes a bucket layout only from its catalogue, so the directories are
         registered as an external table while the block runs. Dropping it leaves the
         files alone. A bucket is read by one task, so keys should be unique.
+
+        The rows carry their bucket number. Dropping the column before a union would
+        make Spark lose sight of the partitioning.
         """
         name = f"tablesync_{uuid.uuid4().hex}"
         columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in commit.schema.fields)
@@ -131,7 +134,7 @@ class VersionedTable:
                     for b in present[start:start + 1000]
                 )
                 self.spark.sql(f"ALTER TABLE {name} ADD {parts}")
-            yield self.spark.table(name).drop(BUCKET)
+            yield self.spark.table(name)
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
@@ -148,23 +151,23 @@ class VersionedTable:
         replaces: Collection[int] | None = None,
         watermark: str | None = None,
         row_count: int | None = None,
-        gather: bool = True,
+        in_place: bool = False,
     ) -> Commit:
         """Write ``rows`` and make them the table, or the ``replaces`` buckets of it.
 
-        Rows are first gathered by bucket. Without ``gather`` they are written from where
-        they are, for rows that lie by bucket already. ``row_count`` is the size of the
-        load for the record, by default the rows written.
+        Rows are first gathered by bucket, unless they lie by bucket already and can be
+        written ``in_place``. They may carry their bucket number. ``row_count`` is the
+        size of the load for the record, by default the rows written.
         """
         done = self.find(load_id)
         if done is not None:
             return done
-        clashes = {BUCKET, "load_id"} & {name.lower() for name in rows.columns}
-        if clashes:
-            raise ValueError(f"reserved column names: {sorted(clashes)}")
+        if "load_id" in (name.lower() for name in rows.columns):
+            raise ValueError("load_id names a directory of the table and cannot be a column")
         before = self.current()
-        placed = rows.withColumn(BUCKET, self.bucket_of())
-        written = self._write_rows(load_id, gathered(placed, BUCKET) if gather else placed)
+        placed = rows if BUCKET in rows.columns else rows.withColumn(BUCKET, self.bucket_of())
+        schema = placed.drop(BUCKET).schema
+        written = self._write_rows(load_id, placed if in_place else gathered(placed, BUCKET))
         buckets: dict[int, str] = {}
         if before is not None and replaces is not None:
             gone = set(replaces)
@@ -174,7 +177,7 @@ class VersionedTable:
             load_id=load_id,
             seq=before.seq + 1 if before else 1,
             buckets=buckets,
-            schema=T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields]),
+            schema=T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]),
             watermark=watermark or (before.watermark if before else None),
             row_count=written["row_count"] if row_count is None else row_count,
         )
@@ -188,7 +191,7 @@ class VersionedTable:
         needs no shuffle: rows are written to the bucket they were read from.
         """
         done = self.find(load_id)
-        return done or self.publish(load_id, change(self.read()), gather=not row_by_row)
+        return done or self.publish(load_id, change(self.read()), in_place=row_by_row)
 
     def retire(self, keep: int = 1) -> int:
         """Drop the bucket directories that none of the last ``keep`` versions uses."""

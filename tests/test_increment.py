@@ -1,0 +1,84 @@
+import time
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync.operators import increment, metrics
+from tests.helpers import at, fetch, rows
+
+MARK = "2024-01-02 00:00:00"
+
+
+@pytest.fixture
+def moments(spark):
+    return rows(
+        spark,
+        (1, at("2024-01-01 23:59:59.999999"), "under"),
+        (2, at(MARK), "equal"),
+        (3, at("2024-01-02 00:00:00.000001"), "over"),
+        (4, None, "none"),
+    )
+
+
+def tags(df):
+    return {r["v"] for r in df.collect()}
+
+
+def test_strictly_newer(moments):
+    assert tags(increment.newer_than(moments, "at", MARK)) == {"over"}
+    assert tags(increment.newer_than(moments, "at", MARK, overlap="1 second")) == {"under", "equal", "over"}
+
+
+def test_watermark_as_python_value(moments, monkeypatch):
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        assert tags(increment.newer_than(moments, "at", datetime(2024, 1, 2))) == {"over"}
+        aware = datetime(2024, 1, 2, tzinfo=timezone.utc)
+        assert tags(increment.newer_than(moments, "at", aware)) == {"over"}
+        assert increment.literal_text(metrics.scalar_text(metrics.max_value(moments, "at"))).endswith("00.000001")
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+@pytest.mark.parametrize("to_type", ["date", "timestamp", "timestamp_ntz", "string"])
+def test_column_types(spark, to_type):
+    df = spark.sql("SELECT explode(array('2024-01-01', '2024-01-02', '2024-01-03', null)) AS d")
+    df = df.select(F.col("d").cast(to_type))
+    assert increment.newer_than(df, "d", "2024-01-02").count() == 1
+    assert increment.newer_than(df, "d", "2024-01-02 15:00:00").count() == 1
+    assert increment.newer_than(df, "d", "2024-01-01 15:00:00").count() == 2
+
+
+def test_open_interval(spark):
+    df = spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-01-06')) AS d")
+
+    def days(**kw):
+        return [r[0].day for r in increment.between(df, "d", "2024-01-02", increment.yesterday("2024-01-06"), **kw).collect()]
+
+    assert days() == [3, 4]
+    assert days(closed="low") == [2, 3, 4]
+    assert days(closed="high") == [3, 4, 5]
+    assert days(closed="both") == [2, 3, 4, 5]
+    with pytest.raises(ValueError):
+        days(closed="left")
+
+
+def test_first_load_must_be_asked_for(moments):
+    with pytest.raises(ValueError, match="full load"):
+        increment.extract_increment(moments, "at", None)
+    assert tags(increment.extract_increment(moments, "at", None, full_load=True)) == {"under", "equal", "over"}
+
+
+def test_metrics(spark, moments):
+    assert fetch(metrics.reconcile(moments, "at")) == [
+        (4, 3, at("2024-01-02 00:00:00.000001"), at("2024-01-01 23:59:59.999999"))
+    ]
+    assert fetch(metrics.missing_values(moments, "at")) == [(1,)]
+    nothing = moments.where("k > 9")
+    assert metrics.scalar_text(metrics.max_value(nothing, "at")) is None
+    assert fetch(metrics.row_count(nothing)) == [(0,)]
+    text = rows(spark, ("2024-01-02T03:04:05",), ("2024-01-03",), (None,), schema="t string")
+    assert metrics.scalar_text(metrics.max_parsed(text, "t")) == "2024-01-02 03:04:05"

@@ -1,0 +1,94 @@
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablesync.operators.mapping import ColumnMap, MappedColumn, select_typed, union_rows
+from tablesync.plans import merchant
+from tablesync.plans.offers import insert_offers
+from tests.helpers import fetch, rows
+from workload.standins import merchant_src
+
+
+def test_order_names_and_passthrough(spark):
+    df = rows(spark, (1, "2", "x"), schema="a int, b string, extra string")
+    mapping = ColumnMap(
+        [MappedColumn("A", "renamed"), MappedColumn("b", cast="bigint")],
+        derived={"c": lambda: F.col("a") + 1},
+    )
+    out = mapping.apply(df)
+    assert out.columns == ["renamed", "b", "extra", "c"]
+    assert fetch(out) == [(1, 2, "x", 2)]
+    assert ColumnMap(mapping.columns, passthrough=False).apply(df).columns == ["renamed", "b"]
+
+
+def test_missing_column(spark):
+    df = rows(spark, (1,), schema="a int")
+    assert ColumnMap([MappedColumn("b", "c")]).apply(df).columns == ["a"]
+    with pytest.raises(ValueError, match="b is mapped"):
+        ColumnMap([MappedColumn("b", "c")], on_missing="error").apply(df)
+    with pytest.raises(ValueError, match="b is mapped"):
+        ColumnMap([MappedColumn("b", cast="bigint")]).apply(df)
+
+
+def test_clashing_names(spark):
+    df = rows(spark, (1, 2), schema="a int, b int")
+    with pytest.raises(ValueError, match="same name"):
+        ColumnMap([MappedColumn("a", "B")]).apply(df)
+    with pytest.raises(ValueError, match="twice"):
+        ColumnMap([MappedColumn("a", "x"), MappedColumn("A", "y")]).apply(df)
+
+
+def test_lenient_losses_are_counted_in_the_same_pass(spark):
+    df = rows(spark, ("1",), ("x",), (None,), schema="n string")
+    mapping = ColumnMap([MappedColumn("n", cast="bigint", lenient=True)])
+    seen = Observation()
+    out = mapping.apply(df.observe(seen, *mapping.cast_losses(df.schema)))
+    assert fetch(out) == [(1,), (None,), (None,)]
+    assert seen.get == {"lost_n": 1}
+
+
+def test_merchant_columns(spark):
+    source = merchant_src(spark, "/root/testdata/sf0.001")
+    out = merchant.MERCHANT.apply(source)
+    types = dict(out.dtypes)
+    assert types["mrch_sid"] == "string" and types["update_date"] == "date"
+    for old, new in merchant.RENAMED.items():
+        assert new in types and old not in types
+    for old, to_type in merchant.CAST.items():
+        assert types[merchant.RENAMED.get(old, old)] == to_type
+    assert out.columns[-1] == "update_date" and "mt_update_dt" in types
+
+
+def test_select_typed_checks_the_target(spark):
+    df = rows(spark, (1,), schema="a int")
+    target = T.StructType([T.StructField("x", T.LongType())])
+    assert select_typed(df, [F.col("a").cast("bigint")], target).columns == ["x"]
+    with pytest.raises(TypeError, match="x: int is not bigint"):
+        select_typed(df, [F.col("a")], target)
+    with pytest.raises(ValueError):
+        select_typed(df, [], target)
+
+
+def test_offers_insert_is_strict(spark):
+    schema = (
+        "snapshot_date date, merchant_id string, item_id bigint, offer_price decimal(10,2), offer_id double, "
+        "offer_is_favorite boolean, offer_delivery_date date"
+    )
+    good = spark.sql(
+        "SELECT date'2024-01-02', '7', 5L, 1.25bd, 8.5d, true, date'2024-01-05'"
+    ).toDF(*[part.split()[0] for part in schema.split(", ")])
+    (row,) = fetch(insert_offers(good))
+    assert row[1:9] == (20240102, 7, "5", 1.25, 9, 1, 1, -3)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        insert_offers(good.withColumn("merchant_id", F.lit("seven"))).collect()
+
+
+def test_union_refuses_a_changed_type(spark):
+    one = rows(spark, (1,), schema="a int")
+    with pytest.raises(TypeError, match="int became bigint"):
+        union_rows(one, rows(spark, (1,), schema="a bigint"))
+    wider = rows(spark, (2, "x"), schema="a int, b string")
+    assert fetch(union_rows(one, wider, allow_new_columns=True)) == [(1, None), (2, "x")]
+    with pytest.raises(Exception, match="b"):
+        union_rows(one, wider)

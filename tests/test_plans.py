@@ -1,0 +1,58 @@
+"""The plans that the operators are meant to have."""
+
+from pyspark.sql import functions as F
+
+from tablesync.operators import increment, metrics
+from tablesync.plans import merchant
+from tablesync.sources import tables
+from tests.helpers import new_path, optimized_plan_of, plan_of
+from workload.queries import QUERIES
+from workload.standins import installs_src, merchant_src, table
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_watermark_reaches_the_reader(spark):
+    plan = plan_of(increment.newer_than(table(spark, SF, "orders"), "o_orderdate", "2001-01-01"))
+    assert "GreaterThan(o_orderdate,2001-01-01T00:00)" in plan
+
+
+def test_day_window_over_a_timestamp_reaches_the_reader(spark):
+    plan = plan_of(QUERIES["scan_pushed_filter"](spark, SF))
+    assert "GreaterThanOrEqual(ts,2024-01-11T00:00)" in plan
+    assert "LessThan(ts,2024-01-29T00:00)" in plan
+
+
+def test_partitions_are_pruned(spark, tmp_path):
+    path = new_path(tmp_path)
+    tables.append_partitions(installs_src(spark, SF), path, "install_date")
+    stored = spark.read.parquet(path)
+    for df in (
+        increment.newer_than(stored, "install_date", "2024-01-15 12:00:00"),
+        increment.between(stored, "install_date", "2024-01-15", increment.yesterday("2024-01-20")),
+    ):
+        assert "PartitionFilters: [isnotnull(install_date" in plan_of(df)
+    assert "ReadSchema: struct<>" in plan_of(metrics.max_value(stored, "install_date"))
+
+
+def test_conform_is_one_projection(spark):
+    out = merchant.MERCHANT.apply(merchant_src(spark, SF))
+    assert optimized_plan_of(out).count("Project") == 1
+    assert "Python" not in plan_of(out)
+
+
+def test_conform_above_an_increment_keeps_the_pushdown(spark):
+    fresh = increment.extract_increment(merchant_src(spark, SF), "mt_update_dt", "2001-01-01")
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThan" in plan_of(merchant.MERCHANT.apply(fresh))
+
+
+def test_reconcile_reads_one_column(spark):
+    plan = plan_of(metrics.reconcile(table(spark, SF, "orders"), "o_orderdate"))
+    assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in plan
+
+
+def test_no_python_in_any_plan(spark):
+    for name in ("insert_select_typed", "conform_merchant", "window_latest_per_key", "agg_max_parsed_ts"):
+        plan = plan_of(QUERIES[name](spark, SF))
+        assert "Python" not in plan and "Arrow" not in plan, name
+        assert F is not None
