@@ -52,10 +52,14 @@ def parse_timestamp(column: Column, dtype: T.DataType, pattern: str) -> Column:
 
 
 def literal_text(value: str | date | datetime) -> str:
-    """Watermarks travel as ISO text and are typed only by the column they meet.
+    """A point in time as ISO text, typed only by the column that it meets.
 
-    A Python ``datetime`` literal would go through the zone of the driver process.
+    A Python ``datetime`` literal would go through the zone of the driver process. Text
+    is checked here, and a zone in it is turned into UTC.
     """
-    if isinstance(value, datetime) and value.tzinfo is not None:
-        value = value.astimezone(timezone.utc).replace(tzinfo=None)
-    return str(value)
+    if isinstance(value, date) and not isinstance(value, datetime):
+        return value.isoformat()
+    moment = datetime.fromisoformat(value) if isinstance(value, str) else value
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
+    return str(moment)

@@ -119,18 +119,18 @@ class VersionedTable:
         The rows carry their bucket number. Dropping the column before a union would
         make Spark lose sight of the partitioning.
         """
-        name = f"tablesync_{uuid.uuid4().hex}"
+        name = _passing_name()
         columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in commit.schema.fields)
         keys = ", ".join(_quote(k) for k in self.key)
         self.spark.sql(
             f"CREATE TABLE {name} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
-            f"CLUSTERED BY ({keys}) INTO {self.n_buckets} BUCKETS LOCATION '{self.path}/data'"
+            f"CLUSTERED BY ({keys}) INTO {self.n_buckets} BUCKETS LOCATION {_literal(f'{self.path}/data')}"
         )
         try:
             present = sorted(set(buckets) & set(commit.buckets))
             for start in range(0, len(present), 1000):
                 parts = " ".join(
-                    f"PARTITION ({BUCKET}={b}) LOCATION '{self._directory(commit.buckets[b], b)}'"
+                    f"PARTITION ({BUCKET}={b}) LOCATION {_literal(self._directory(commit.buckets[b], b))}"
                     for b in present[start:start + 1000]
                 )
                 self.spark.sql(f"ALTER TABLE {name} ADD {parts}")
@@ -194,14 +194,24 @@ class VersionedTable:
         return done or self.publish(load_id, change(self.read()), in_place=row_by_row)
 
     def retire(self, keep: int = 1) -> int:
-        """Drop the bucket directories that none of the last ``keep`` versions uses."""
+        """Drop the bucket directories that none of the last ``keep`` versions uses.
+
+        Call it when no reader of an older version is left.
+        """
+        oldest = self.commits().orderBy(F.desc("seq")).limit(keep).agg(F.min("seq")).first()[0]
         entries = self.commits().select(
-            "seq", F.explode(F.from_json("buckets", "map<string, string>")).alias("number", "load")
+            "seq", F.explode(F.from_json("buckets", "map<string, string>")).alias("bucket", "load")
         )
-        newest = self.commits().orderBy(F.desc("seq")).limit(keep).agg(F.min("seq")).first()[0]
-        unused = entries.groupBy("load", "number").agg(F.max("seq").alias("last_used"))
-        unused = unused.where(F.col("last_used") < newest).collect()
-        return sum(drop_if_exists(self.spark, self._directory(row["load"], row["number"])) for row in unused)
+        last_use = entries.groupBy("load", "bucket").agg(F.max("seq").alias("seq"))
+        held = last_use.select("load", "bucket", (F.col("seq") >= oldest).alias("used")).collect()
+        in_use = {row["load"] for row in held if row["used"]}
+        unused = [row for row in held if not row["used"]]
+        for load in {row["load"] for row in unused} - in_use:
+            drop_if_exists(self.spark, f"{self.path}/data/load_id={load}")
+        for row in unused:
+            if row["load"] in in_use:
+                drop_if_exists(self.spark, self._directory(row["load"], row["bucket"]))
+        return len(unused)
 
     def _directory(self, load_id: str, bucket: int | str) -> str:
         return f"{self.path}/data/load_id={load_id}/{BUCKET}={bucket}"
@@ -209,7 +219,7 @@ class VersionedTable:
     def _write_rows(self, load_id: str, rows: DataFrame) -> dict:
         path = f"{self.path}/data/load_id={load_id}"
         drop_if_exists(self.spark, path)
-        name = f"tablesync_{uuid.uuid4().hex}"
+        name = _passing_name()
         seen = Observation()
         counted = rows.observe(
             seen,
@@ -271,9 +281,18 @@ def check_name(name: str) -> str:
     return name
 
 
+def _passing_name() -> str:
+    return f"spark_catalog.default.tablesync_{uuid.uuid4().hex}"
+
+
 def _as_text(commits: DataFrame) -> DataFrame:
     return commits.withColumn("watermark", F.col("watermark").cast("string"))
 
 
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

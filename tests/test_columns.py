@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,3 +60,13 @@ def test_parse_timestamp(spark):
     assert value(spark, c.parse_timestamp(F.lit("2024-01-02"), T.StringType(), pattern)) is None
     day = c.parse_timestamp(F.lit("2024-01-02").cast("date"), T.DateType(), pattern)
     assert value(spark, day.cast("string")) == "2024-01-02 00:00:00"
+
+
+def test_literal_text():
+    assert c.literal_text("2000-01-01T00:00:00Z") == "2000-01-01 00:00:00"
+    assert c.literal_text("2000-01-01T02:00:00+02:00") == "2000-01-01 00:00:00"
+    assert c.literal_text("2024-01-02") == "2024-01-02 00:00:00"
+    assert c.literal_text("2024-01-02 03:04:05.5") == "2024-01-02 03:04:05.500000"
+    assert c.literal_text(date(2024, 1, 2)) == "2024-01-02"
+    with pytest.raises(ValueError):
+        c.literal_text("None")

@@ -30,6 +30,14 @@ LATEST_ORDER = """
     FROM orders WHERE o_custkey IS NOT NULL)
   WHERE rn = 1"""
 
+LATEST_HOT = """
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY key ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS key FROM orders)
+    WHERE key IS NOT NULL)
+  WHERE rn = 1"""
+
 LATEST_MERCHANT = """
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (
@@ -116,6 +124,34 @@ ORACLE = {
         SELECT count(*) AS row_count, count(snapshot_date) AS value_count,
                max(snapshot_date) AS max_value, min(snapshot_date) AS min_value
         FROM offers_src""",
+    "agg_missing_watermark": "SELECT count(*) AS row_count FROM orders WHERE o_orderstatus = 'P'",
+    "agg_cast_losses": f"""
+        WITH {MERCHANT_SRC}
+        SELECT count(*) FILTER (WHERE TRY_CAST(mrch_activation_date AS DATE) IS NULL)
+                 AS lost_mrch_activation_date,
+               count(*) FILTER (WHERE TRY_CAST(mrch_show_pdp AS BOOLEAN) IS NULL) AS lost_mrch_show_pdp,
+               count(*) FILTER (WHERE TRY_CAST(mrch_show_cc AS BOOLEAN) IS NULL) AS lost_mrch_show_cc,
+               count(*) FILTER (WHERE TRY_CAST(mrch_integration_is_active AS BIGINT) IS NULL)
+                 AS lost_mrch_integration_is_active,
+               count(*) FILTER (WHERE TRY_CAST(mrch_main_category_key AS BIGINT) IS NULL)
+                 AS lost_mrch_main_category_key,
+               count(*) FILTER (WHERE TRY_CAST(mrch_sales_manager_key AS BIGINT) IS NULL)
+                 AS lost_sales_manager_key
+        FROM merchant_src""",
+    "window_latest_hot_key": LATEST_HOT,
+    "upsert_hot_key": LATEST_HOT,
+    "upsert_rejects": """
+        SELECT *, CAST(NULL AS BIGINT) AS key FROM orders WHERE o_orderstatus = 'P'""",
+    "bounded_backup_hot_day": f"""
+        WITH {INSTALLS_SRC},
+        moved AS (
+          SELECT * REPLACE (
+            CASE WHEN event_id % 3 = 0 THEN DATE '{LOW_DAY}' ELSE install_date END AS install_date)
+          FROM installs_src)
+        SELECT * FROM moved WHERE install_date < DATE '{AS_OF}' - INTERVAL 1 DAY""",
+    "bounded_backup_late_rows": f"""
+        WITH {INSTALLS_SRC}
+        SELECT * FROM installs_src WHERE install_date < DATE '{AS_OF}' - INTERVAL 1 DAY""",
     "window_latest_per_key": """
         SELECT * EXCLUDE (rn) FROM (
           SELECT *, row_number() OVER (

@@ -13,7 +13,7 @@ from tablesync.operators import increment, metrics
 from tablesync.operators.latest import latest, with_key
 from tablesync.operators.mapping import ColumnMap, MappedColumn, union_rows
 from tablesync.plans import installs, merchant, offers
-from tablesync.plans.backup import last_stored
+from tablesync.plans.backup import backup_window, last_stored
 from tablesync.plans.registry import Registry
 from tablesync.plans.upsert import upsert_latest as upsert
 from tablesync.session import scratch_dir
@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 ORDERS_MARK = "2001-01-01 00:00:00"
 ORDERS_EARLIER_MARK = "1998-01-01 00:00:00"
 EVENTS_MARK = "2024-01-15 00:00:00"
+LATE_MARK = "2024-01-15 12:00:00"
 SHIP_MARK = "1998-06-01"
 LOW_DAY, AS_OF = "2024-01-10", "2024-01-30"
 
@@ -51,6 +52,11 @@ def order_table(spark: SparkSession, sf_dir: str, name: str, key: str = "o_custk
     return VersionedTable(spark, scratch_dir(spark, name), [key], n_buckets)
 
 
+def hot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hot = F.col("o_orderkey") % 3 == 0
+    return table(spark, sf_dir, "orders").withColumn("key", F.when(hot, F.lit(0)).otherwise(F.col("o_custkey")))
+
+
 # scans
 
 
@@ -274,6 +280,26 @@ def agg_reconcile(spark, sf_dir):
     return metrics.reconcile(offers_src(spark, sf_dir), "snapshot_date")
 
 
+@query
+def agg_missing_watermark(spark, sf_dir):
+    """Rows that no watermark on the column can ever load."""
+    source = table(spark, sf_dir, "orders").withColumn(
+        "updated", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
+    )
+    return metrics.missing_values(source, "updated")
+
+
+@query
+def agg_cast_losses(spark, sf_dir):
+    """Values that lenient casts turned into NULL, counted by the write that casts them."""
+    path = scratch_dir(spark, "losses")
+    source = merchant_src(spark, sf_dir)
+    seen = Observation()
+    losses = merchant.MERCHANT.cast_losses(source.schema)
+    tables.overwrite(merchant.MERCHANT.apply(source.observe(seen, *losses)), path)
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in seen.get.items()])
+
+
 # latest per key
 
 
@@ -282,6 +308,12 @@ def window_latest_per_key(spark, sf_dir):
     return latest(table(spark, sf_dir, "lineitem"), LINEITEM_KEY, ["l_shipdate"], LINEITEM_TIES)
 
 
+@query
+def window_latest_hot_key(spark, sf_dir):
+    """The same when a third of all rows share one key."""
+    return latest(hot_orders(spark, sf_dir), ["key"], ["o_orderdate"], ["o_orderkey"])
+
+
 @query
 def union_base_increment(spark, sf_dir):
     source = table(spark, sf_dir, "orders")
@@ -340,6 +372,30 @@ def upsert_latest(spark, sf_dir):
     return target.read()
 
 
+@query
+def upsert_hot_key(spark, sf_dir):
+    """Two loads in each of which one key has a third of the rows."""
+    target = order_table(spark, sf_dir, "upsert-hot", key="key")
+    source = hot_orders(spark, sf_dir)
+    for load_id, rows in (
+        ("first", up_to(source, "o_orderdate", ORDERS_MARK)),
+        ("second", increment.newer_than(source, "o_orderdate", ORDERS_MARK)),
+    ):
+        upsert(target, rows, ["o_orderdate"], load_id, watermark="o_orderdate", ties=["o_orderkey"])
+    return target.read()
+
+
+@query
+def upsert_rejects(spark, sf_dir):
+    """Rows without a key, as an upsert sets them aside."""
+    target = order_table(spark, sf_dir, "rejects", key="key")
+    source = table(spark, sf_dir, "orders").withColumn(
+        "key", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
+    )
+    upsert(target, source, ["o_orderdate"], "first")
+    return spark.read.parquet(f"{target.path}/rejects/load_id=first")
+
+
 @query
 def merchant_sync(spark, sf_dir):
     """The merchant job, run when the source stood at the mark and run again now."""
@@ -374,6 +430,32 @@ def bounded_backup_adopted(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+@query
+def bounded_backup_hot_day(spark, sf_dir):
+    """A backup in which one day has a third of the rows and more."""
+    root = scratch_dir(spark, "backup-hot")
+    day = F.when(F.col("event_id") % 3 == 0, F.lit(LOW_DAY).cast("date")).otherwise(F.col("install_date"))
+    source = installs_src(spark, sf_dir).withColumn("install_date", day)
+    registry = Registry(spark, f"{root}/registry")
+    installs.backup_installs(source, f"{root}/sink", AS_OF, registry, "day-1", first_load=True)
+    return spark.read.parquet(f"{root}/sink")
+
+
+@query
+def bounded_backup_late_rows(spark, sf_dir):
+    """Rows of the last stored day that came after its backup, read by a closed bound."""
+    root = scratch_dir(spark, "backup-late")
+    source = installs_src(spark, sf_dir)
+    stood = up_to(source, "ts", LATE_MARK)
+    registry = Registry(spark, f"{root}/registry")
+    for load_id, rows in (("day-1", stood), ("day-2", source)):
+        backup_window(
+            rows, f"{root}/sink", "install_date", AS_OF, registry, "late", load_id,
+            first_load=True, closed="low",
+        )
+    return spark.read.parquet(f"{root}/sink")
+
+
 @query
 def staged_load(spark, sf_dir):
     """The offers job when the source stood at the mark, now, and now once more."""

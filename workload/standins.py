@@ -28,7 +28,9 @@ def merchant_src(spark: SparkSession, sf_dir: str) -> DataFrame:
         c("o_orderdate").cast("date").alias("mrch_last_feed_dt"),
         (c("o_orderstatus") == "O").alias("mrch_integration_is_active"),
         c("o_custkey").cast("string").alias("mrch_main_category_key"),
-        c("o_orderpriority").alias("mrch_sales_manager_key"),
+        F.when(c("o_orderstatus") == "F", c("o_custkey").cast("string"))
+        .otherwise(c("o_orderpriority"))
+        .alias("mrch_sales_manager_key"),
         c("o_orderpriority").alias("mrch_sales_manager_name"),
         c("o_totalprice").alias("mrch_rating"),
     )
@@ -47,7 +49,8 @@ merchant_src AS (
          CAST(o_orderdate AS DATE) AS mrch_last_feed_dt,
          o_orderstatus = 'O' AS mrch_integration_is_active,
          CAST(o_custkey AS VARCHAR) AS mrch_main_category_key,
-         o_orderpriority AS mrch_sales_manager_key,
+         CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS VARCHAR) ELSE o_orderpriority END
+           AS mrch_sales_manager_key,
          o_orderpriority AS mrch_sales_manager_name, o_totalprice AS mrch_rating
   FROM orders)"""
 
