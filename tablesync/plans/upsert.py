@@ -65,15 +65,16 @@ def upsert_latest(
         return UpsertResult(False, size["row_count"], size["rejected"], 0)
 
     before = table.current()
-    fresh = latest(staged, table.key, order, ties).withColumn(BUCKET, table.bucket_of())
-    fresh = fresh.repartition(table.n_buckets, *table.key)
+    session = table.bucket_session()
+    staged = scan_parquet(session, staging, increment.schema)
+    rows = latest(staged, table.key, order, ties).withColumn(BUCKET, table.bucket_of())
     with ExitStack() as in_use:
         if before is not None:
-            base = in_use.enter_context(table.bucketed(before, size["buckets"]))
-            fresh = merge(base, fresh, table.key, order, ties, allow_new_columns)
+            base = in_use.enter_context(table.bucketed(before, size["buckets"], session))
+            rows = merge(base, rows, table.key, order, ties, allow_new_columns)
         table.publish(
             load_id,
-            fresh,
+            rows,
             replaces=size["buckets"],
             watermark=_later(size["watermark"], before.watermark if before else None),
             row_count=size["row_count"],

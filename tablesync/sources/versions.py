@@ -109,7 +109,9 @@ class VersionedTable:
         return self.spark.read.schema(commit.schema).parquet(*paths)
 
     @contextmanager
-    def bucketed(self, commit: Commit, buckets: Collection[int]) -> Iterator[DataFrame]:
+    def bucketed(
+        self, commit: Commit, buckets: Collection[int], session: SparkSession | None = None
+    ) -> Iterator[DataFrame]:
         """Some buckets of a version, hash-partitioned by the key without a shuffle.
 
         Spark takes a bucket layout only from its catalogue, so the directories are
@@ -119,10 +121,11 @@ class VersionedTable:
         The rows carry their bucket number. Dropping the column before a union would
         make Spark lose sight of the partitioning.
         """
+        session = session or self.spark
         name = _passing_name()
         columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in commit.schema.fields)
         keys = ", ".join(_quote(k) for k in self.key)
-        self.spark.sql(
+        session.sql(
             f"CREATE TABLE {name} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
             f"CLUSTERED BY ({keys}) INTO {self.n_buckets} BUCKETS LOCATION {_literal(f'{self.path}/data')}"
         )
@@ -133,10 +136,24 @@ class VersionedTable:
                     f"PARTITION ({BUCKET}={b}) LOCATION {_literal(self._directory(commit.buckets[b], b))}"
                     for b in present[start:start + 1000]
                 )
-                self.spark.sql(f"ALTER TABLE {name} ADD {parts}")
-            yield self.spark.table(name)
+                session.sql(f"ALTER TABLE {name} ADD {parts}")
+            yield session.table(name)
         finally:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            session.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def bucket_session(self) -> SparkSession:
+        """A session like the table's own whose shuffles fall into the table's buckets.
+
+        With as many shuffle partitions as buckets, and these left alone at run time,
+        rows that were shuffled by the key already lie where the table keeps them.
+        """
+        session = self.spark.newSession()
+        for name, value in self.spark.conf.getAll.items():
+            if session.conf.isModifiable(name):
+                session.conf.set(name, value)
+        session.conf.set("spark.sql.shuffle.partitions", self.n_buckets)
+        session.conf.set("spark.sql.adaptive.enabled", False)
+        return session
 
     def bucket_of(self) -> Column:
         """Spark's own bucket number: Murmur3 of the key, as in ``bucketBy``."""

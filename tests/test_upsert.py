@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tablesync.operators.latest import latest
 from tablesync.plans import merchant
 from tablesync.plans.upsert import merge, upsert_latest
+from tablesync.sources.tables import overwrite
 from tablesync.sources.versions import VersionedTable, buckets_for
-from tests.helpers import Crash, at, crash, fetch, new_table, plan_of, rows
+from tests.helpers import Crash, at, crash, fetch, new_path, new_table, plan_of, rows
 from tests.test_latest import batches, expected, relaxed
 from workload.standins import merchant_src
 
@@ -98,17 +99,22 @@ def test_crash_while_rows_are_written(spark, tmp_path, monkeypatch):
     assert fetch(table.read()) == [(1, DAY2, "b")]
 
 
-def test_merge_does_not_shuffle_the_table(spark, tmp_path):
-    table = new_table(spark, tmp_path, n_buckets=8)
+def test_merge_shuffles_only_the_increment_and_that_once(spark, tmp_path):
+    table = new_table(spark, tmp_path, n_buckets=16)
     put(table, "a", spark.range(20000).selectExpr("id AS k", "timestamp_ntz'2024-01-01' AS at", "'a' AS v"))
-    fresh = rows(spark, (1, DAY2, "b")).withColumn("bucket", table.bucket_of()).repartition(8, "k")
-    commit = table.current()
-    with table.bucketed(commit, commit.buckets) as base:
+    staged = new_path(tmp_path, "staged")
+    overwrite(rows(spark, (1, DAY2, "b"), (1, DAY3, "c"), (30000, DAY2, "d")), staged)
+    commit, session = table.current(), table.bucket_session()
+    assert session.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    fresh = latest(session.read.parquet(staged), ["k"], ["at"]).withColumn("bucket", table.bucket_of())
+    with table.bucketed(commit, commit.buckets, session) as base:
         merged = merge(base, fresh, ["k"], ["at"])
         plan = plan_of(merged)
-        assert plan.count("Exchange") == 1, "only the increment is exchanged"
-        assert "Bucketed: true" in plan
-        assert merged.count() == 20000
+        assert plan.count("Exchange") == 1
+        assert plan.index("Bucketed: true") < plan.index("Exchange"), "it belongs to the increment"
+        assert plan.index("Exchange") < plan.index("Partial"), "a hot key is cut below it"
+        assert merged.count() == 20001
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
 def test_bucket_directories_match_sparks_buckets(spark, tmp_path):
