@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tablesync.operators.increment import extract_increment
 from tablesync.operators.metrics import ISO_SECONDS, latest_timestamp, reconcile_aggregates
 from tablesync.plans.registry import Registry
-from tablesync.sources.files import drop_if_exists
+from tablesync.sources.files import drop_if_exists, drop_other_loads
 from tablesync.sources.tables import empty, overwrite, scan_parquet
 from tablesync.sources.versions import check_name
 
@@ -89,6 +89,11 @@ class StagedLoad:
             return empty(spark, self.target_schema)
         return spark.read.schema(self.target_schema).parquet(*paths)
 
+    def sweep(self, spark: SparkSession, registry: Registry) -> int:
+        """Between loads, drop what loads that died have left behind."""
+        drop_if_exists(spark, self.staging)
+        return drop_other_loads(spark, self.target, registry.progress(self.name).loads)
+
     def _insert(self, staged: DataFrame, load_id: str, expected: int) -> None:
         seen = Observation()
         rows = self.insert(staged).observe(seen, F.count(F.lit(1)).alias("row_count"))

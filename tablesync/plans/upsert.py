@@ -70,7 +70,9 @@ def upsert_latest(
     rows = latest(staged, table.key, order, ties).withColumn(BUCKET, table.bucket_of())
     with ExitStack() as in_use:
         if before is not None:
-            base = in_use.enter_context(table.bucketed(before, size["buckets"], session))
+            known = before.schema.names
+            new = [f for f in increment.schema.fields if allow_new_columns and f.name not in known]
+            base = in_use.enter_context(table.bucketed(before, size["buckets"], session, new))
             rows = merge(base, rows, table.key, order, ties, allow_new_columns)
         table.publish(
             load_id,

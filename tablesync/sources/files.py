@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import SparkSession
 
+LOAD = "load_id="
+
 
 def _open(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -28,3 +32,13 @@ def drop_if_exists(spark: SparkSession, path: str) -> bool:
 def size_bytes(spark: SparkSession, path: str) -> int:
     fs, target = _open(spark, path)
     return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
+def drop_other_loads(spark: SparkSession, path: str, keep: Collection[str]) -> int:
+    """Drop the ``load_id=...`` directories whose load is not among those to keep."""
+    fs, target = _open(spark, path)
+    if not fs.exists(target):
+        return 0
+    found = [entry.getPath().getName() for entry in fs.listStatus(target)]
+    loads = [name.removeprefix(LOAD) for name in found if name.startswith(LOAD)]
+    return sum(drop_if_exists(spark, f"{path}/{LOAD}{load}") for load in set(loads) - set(keep))

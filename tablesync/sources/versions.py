@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.mapping import quoted
-from tablesync.sources.files import drop_if_exists, exists
+from tablesync.sources.files import drop_if_exists, drop_other_loads, exists
 from tablesync.sources.tables import empty, gathered, one_row, scan_parquet
 
 BUCKET = "bucket"
@@ -110,7 +110,11 @@ class VersionedTable:
 
     @contextmanager
     def bucketed(
-        self, commit: Commit, buckets: Collection[int], session: SparkSession | None = None
+        self,
+        commit: Commit,
+        buckets: Collection[int],
+        session: SparkSession | None = None,
+        new_columns: Sequence[T.StructField] = (),
     ) -> Iterator[DataFrame]:
         """Some buckets of a version, hash-partitioned by the key without a shuffle.
 
@@ -118,12 +122,12 @@ class VersionedTable:
         registered as an external table while the block runs. Dropping it leaves the
         files alone. A bucket is read by one task, so keys should be unique.
 
-        The rows carry their bucket number. Dropping the column before a union would
-        make Spark lose sight of the partitioning.
+        The rows carry their bucket number, and NULL in ``new_columns``. A projection
+        before a union would make Spark lose sight of the partitioning.
         """
         session = session or self.spark
         name = _passing_name()
-        columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in commit.schema.fields)
+        columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in [*commit.schema.fields, *new_columns])
         keys = ", ".join(_quote(k) for k in self.key)
         session.sql(
             f"CREATE TABLE {name} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
@@ -211,9 +215,10 @@ class VersionedTable:
         return done or self.publish(load_id, change(self.read()), in_place=row_by_row)
 
     def retire(self, keep: int = 1) -> int:
-        """Drop the bucket directories that none of the last ``keep`` versions uses.
+        """Drop the buckets that none of the last ``keep`` versions uses, and whatever
+        loads that died have left behind.
 
-        Call it when no reader of an older version is left.
+        Call it between loads, when no reader of an older version is left.
         """
         oldest = self.commits().orderBy(F.desc("seq")).limit(keep).agg(F.min("seq")).first()[0]
         entries = self.commits().select(
@@ -223,8 +228,8 @@ class VersionedTable:
         held = last_use.select("load", "bucket", (F.col("seq") >= oldest).alias("used")).collect()
         in_use = {row["load"] for row in held if row["used"]}
         unused = [row for row in held if not row["used"]]
-        for load in {row["load"] for row in unused} - in_use:
-            drop_if_exists(self.spark, f"{self.path}/data/load_id={load}")
+        drop_other_loads(self.spark, f"{self.path}/data", in_use)
+        drop_other_loads(self.spark, f"{self.path}/staging", ())
         for row in unused:
             if row["load"] in in_use:
                 drop_if_exists(self.spark, self._directory(row["load"], row["bucket"]))

@@ -9,7 +9,7 @@ from tablesync.plans.backup import backup_window, last_stored
 from tablesync.plans.registry import Registry
 from tablesync.plans.staged import StagedLoad
 from tablesync.sources import files, tables
-from tests.helpers import ROW, Crash, at, crash, fetch, new_path, rows
+from tests.helpers import ROW, Crash, at, crash, fetch, new_path, plan_of, rows
 
 DAY1, DAY2, DAY3 = at("2024-01-01"), at("2024-01-02"), at("2024-01-03")
 
@@ -70,6 +70,8 @@ def test_crash_between_insert_and_registry(spark, registry, load, monkeypatch, s
     assert fetch(load.read(spark, registry)) == [(1, DAY1, "a")]
     load.run(source, registry, "2" if same_load else "3")
     assert fetch(load.read(spark, registry)) == [(1, DAY1, "a"), (2, DAY2, "b")]
+    assert load.sweep(spark, registry) == (0 if same_load else 1)
+    assert fetch(load.read(spark, registry)) == [(1, DAY1, "a"), (2, DAY2, "b")]
 
 
 def test_failed_insert_keeps_the_watermark(spark, registry, load):
@@ -186,3 +188,13 @@ def test_offers_and_installs_jobs_are_wired(spark, registry, tmp_path):
     assert installs.DAY == "install_date"
     job = offers.offers_load(new_path(tmp_path, "offers"))
     assert job.read(spark, registry).schema == offers.OFFERS_SCHEMA
+
+
+def test_any_source_format(spark, tmp_path):
+    path = new_path(tmp_path, "orc")
+    df = rows(spark, (1, DAY1, "a"), (2, DAY3, "b"))
+    tables.append(df, path, source_format="orc")
+    later = F.col("at") > F.lit(str(DAY2)).cast("timestamp_ntz")
+    got = tables.scan_source(spark, "orc", path, {"mergeSchema": "false"}, later)
+    assert fetch(got) == [(2, DAY3, "b")]
+    assert "GreaterThan(at," in plan_of(got)

@@ -1,4 +1,5 @@
 import glob
+import os
 
 import pytest
 from hypothesis import given
@@ -85,6 +86,14 @@ def test_crash_before_the_control_row(spark, tmp_path, monkeypatch):
     assert table.current().watermark == str(DAY1)
     put(table, "b", fresh)
     assert fetch(table.read()) == [(1, DAY2, "b"), (2, DAY1, "a"), (3, DAY2, "b")]
+    with monkeypatch.context() as patch:
+        patch.setattr(VersionedTable, "_write_commit", crash)
+        with pytest.raises(Crash):
+            put(table, "never", fresh)
+    table.retire()
+    assert sorted(os.listdir(f"{table.path}/data")) == ["load_id=a", "load_id=b"]
+    assert os.listdir(f"{table.path}/staging") == []
+    assert fetch(table.read()) == [(1, DAY2, "b"), (2, DAY1, "a"), (3, DAY2, "b")]
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("tablesync_")]
 
 
@@ -134,6 +143,22 @@ def test_new_columns_only_when_allowed(spark, tmp_path):
         put(table, "b", wider)
     put(table, "b", wider, allow_new_columns=True)
     assert fetch(table.read()) == [(1, DAY2, "b", 5), (2, DAY1, "a", None)]
+    narrow = rows(spark, (2, DAY3), schema="k bigint, at timestamp_ntz")
+    put(table, "c", narrow, allow_new_columns=True)
+    assert fetch(table.read()) == [(1, DAY2, "b", 5), (2, DAY3, None, None)]
+
+
+def test_new_column_does_not_shuffle_the_table(spark, tmp_path):
+    table = new_table(spark, tmp_path, n_buckets=16)
+    put(table, "a", rows(spark, (1, DAY1, "a"), (2, DAY1, "a")))
+    wider = rows(spark, (1, DAY2, "b", 5), schema="k bigint, at timestamp_ntz, v string, w int")
+    staged = new_path(tmp_path, "staged")
+    overwrite(wider, staged)
+    commit, session = table.current(), table.bucket_session()
+    fresh = latest(session.read.parquet(staged), ["k"], ["at"]).withColumn("bucket", table.bucket_of())
+    with table.bucketed(commit, commit.buckets, session, wider.schema.fields[-1:]) as base:
+        merged = merge(base, fresh, ["k"], ["at"], allow_new_columns=True)
+        assert plan_of(merged).count("Exchange") == 1
 
 
 def test_composite_and_text_keys(spark, tmp_path):
