@@ -48,7 +48,9 @@ def parse_timestamp(column: Column, dtype: T.DataType, pattern: str) -> Column:
         return F.try_to_timestamp(column, F.lit(pattern))
     if isinstance(dtype, T.DateType):
         return column.cast("timestamp_ntz")
-    return column
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return column
+    raise TypeError(f"{dtype.simpleString()} is no point in time")
 
 
 def literal_text(value: str | date | datetime) -> str:

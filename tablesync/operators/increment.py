@@ -63,8 +63,7 @@ def extract_increment(
         return newer_than(df, column, watermark, overlap)
     if not full_load:
         raise ValueError(f"no watermark for {column}; ask for a full load to start one")
-    value, _ = _sides(df, column, "2000-01-01")
-    return df.where(value.isNotNull())
+    return df.where(_comparable(df, column)[0].isNotNull())
 
 
 def yesterday(as_of: Point) -> Column:
@@ -72,11 +71,16 @@ def yesterday(as_of: Point) -> Column:
     return F.date_sub(F.lit(literal_text(as_of)).cast("date"), 1)
 
 
-def _sides(df: DataFrame, column: str, bound: Point | Column) -> tuple[Column, Column]:
+def _comparable(df: DataFrame, column: str) -> tuple[Column, T.DataType]:
+    """The column as it is compared, and its type. Text counts as timestamps."""
     dtype = df.schema[column].dataType
-    value = quoted(column)
     if isinstance(dtype, T.StringType):
         dtype = T.TimestampNTZType()
-        value = value.try_cast(dtype)
+        return quoted(column).try_cast(dtype), dtype
+    return quoted(column), dtype
+
+
+def _sides(df: DataFrame, column: str, bound: Point | Column) -> tuple[Column, Column]:
+    value, dtype = _comparable(df, column)
     limit = bound if isinstance(bound, Column) else F.lit(literal_text(bound))
     return value, limit.cast(dtype)

@@ -123,7 +123,7 @@ def select_typed(df: DataFrame, values: Sequence[Column], target: T.StructType)
     wrong = [
         f"{got.name}: {got.dataType.simpleString()} is not {want.dataType.simpleString()}"
         for got, want in zip(out.schema.fields, target.fields)
-        if got.dataType != want.dataType
+        if got.dataType.simpleString() != want.dataType.simpleString()
     ]
     if wrong:
         raise TypeError("; ".join(wrong))
@@ -132,11 +132,11 @@ def select_typed(df: DataFrame, values: Sequence[Column], target: T.StructType)
 
 def union_rows(base: DataFrame, increment: DataFrame, allow_new_columns: bool = False) -> DataFrame:
     """Bag union by name. A column that changed its type is an error, not a widening."""
-    types = {f.name: f.dataType for f in base.schema.fields}
+    types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
     changed = [
-        f"{f.name}: {types[f.name].simpleString()} became {f.dataType.simpleString()}"
+        f"{f.name}: {types[f.name]} became {f.dataType.simpleString()}"
         for f in increment.schema.fields
-        if f.name in types and types[f.name] != f.dataType
+        if f.name in types and types[f.name] != f.dataType.simpleString()
     ]
     if changed:
         raise TypeError("; ".join(changed))

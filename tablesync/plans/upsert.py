@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablesync.operators.latest import has_key, last_of_each, latest, without_key
-from tablesync.operators.mapping import quoted, union_rows
+from tablesync.operators.mapping import union_rows
+from tablesync.operators.metrics import latest_timestamp
 from tablesync.sources.files import drop_if_exists
 from tablesync.sources.tables import overwrite, scan_parquet
-from tablesync.sources.versions import BUCKET, VersionedTable
+from tablesync.sources.versions import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -67,20 +68,19 @@ def upsert_latest(
     before = table.current()
     session = table.bucket_session()
     staged = scan_parquet(session, staging, increment.schema)
-    rows = latest(staged, table.key, order, ties).withColumn(BUCKET, table.bucket_of())
+    rows = table.placed(latest(staged, table.key, order, ties))
     with ExitStack() as in_use:
         if before is not None:
             known = before.schema.names
             new = [f for f in increment.schema.fields if allow_new_columns and f.name not in known]
             base = in_use.enter_context(table.bucketed(before, size["buckets"], session, new))
             rows = merge(base, rows, table.key, order, ties, allow_new_columns)
-        table.publish(
+        table.publish_placed(
             load_id,
             rows,
             replaces=size["buckets"],
             watermark=_later(size["watermark"], before.watermark if before else None),
             row_count=size["row_count"],
-            in_place=True,
         )
     drop_if_exists(table.spark, staging)
     return UpsertResult(True, size["row_count"], size["rejected"], len(size["buckets"]))
@@ -104,14 +104,14 @@ def merge(
 
 def _stage(table: VersionedTable, increment: DataFrame, path: str, watermark: str | None) -> tuple[DataFrame, dict]:
     keyed = has_key(table.key)
-    highest = F.max(quoted(watermark)) if watermark else F.max(F.lit(None).cast("string"))
+    newest = latest_timestamp(increment, watermark) if watermark else F.max(F.lit(None))
     seen = Observation()
     measured = increment.observe(
         seen,
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(~keyed).alias("rejected"),
         F.collect_set(F.when(keyed, table.bucket_of())).alias("buckets"),
-        highest.cast("string").alias("watermark"),
+        newest.cast("string").alias("watermark"),
     )
     overwrite(measured, path)
     return scan_parquet(table.spark, path, increment.schema), seen.get

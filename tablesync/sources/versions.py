@@ -127,7 +127,8 @@ class VersionedTable:
         """
         session = session or self.spark
         name = _passing_name()
-        columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in [*commit.schema.fields, *new_columns])
+        fields = [*commit.schema.fields, *new_columns]
+        columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in fields)
         keys = ", ".join(_quote(k) for k in self.key)
         session.sql(
             f"CREATE TABLE {name} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
@@ -163,32 +164,49 @@ class VersionedTable:
         """Spark's own bucket number: Murmur3 of the key, as in ``bucketBy``."""
         return F.pmod(F.hash(*[quoted(k) for k in self.key]), F.lit(self.n_buckets))
 
+    def placed(self, df: DataFrame) -> DataFrame:
+        """Rows with their bucket number, which names a directory and is no column of the table."""
+        clashes = sorted({BUCKET, "load_id"} & {name.lower() for name in df.columns})
+        if clashes:
+            raise ValueError(f"{clashes} are directories of the table and cannot be columns")
+        return df.withColumn(BUCKET, self.bucket_of())
+
     # publishing
 
-    def publish(
+    def publish(self, load_id: str, rows: DataFrame, watermark: str | None = None) -> Commit:
+        """Make ``rows`` the table."""
+        return self.publish_placed(load_id, gathered(self.placed(rows), BUCKET), watermark=watermark)
+
+    def replace(self, load_id: str, change: Callable[[DataFrame], DataFrame], row_by_row: bool = False) -> Commit:
+        """Replace the table by a query over itself.
+
+        A change that is ``row_by_row`` and keeps the key, such as dropping a column,
+        needs no shuffle: rows are written to the bucket they were read from.
+        """
+        done = self.find(load_id)
+        if done is not None:
+            return done
+        rows = self.placed(change(self.read()))
+        return self.publish_placed(load_id, rows if row_by_row else gathered(rows, BUCKET))
+
+    def publish_placed(
         self,
         load_id: str,
         rows: DataFrame,
         replaces: Collection[int] | None = None,
         watermark: str | None = None,
         row_count: int | None = None,
-        in_place: bool = False,
     ) -> Commit:
-        """Write ``rows`` and make them the table, or the ``replaces`` buckets of it.
+        """Write ``placed`` rows from where they are and make them the table, or the
+        ``replaces`` buckets of it.
 
-        Rows are first gathered by bucket, unless they lie by bucket already and can be
-        written ``in_place``. They may carry their bucket number. ``row_count`` is the
-        size of the load for the record, by default the rows written.
+        ``row_count`` is the size of the load for the record, by default the rows written.
         """
         done = self.find(load_id)
         if done is not None:
             return done
-        if "load_id" in (name.lower() for name in rows.columns):
-            raise ValueError("load_id names a directory of the table and cannot be a column")
         before = self.current()
-        placed = rows if BUCKET in rows.columns else rows.withColumn(BUCKET, self.bucket_of())
-        schema = placed.drop(BUCKET).schema
-        written = self._write_rows(load_id, placed if in_place else gathered(placed, BUCKET))
+        written = self._write_rows(load_id, rows)
         buckets: dict[int, str] = {}
         if before is not None and replaces is not None:
             gone = set(replaces)
@@ -198,22 +216,13 @@ class VersionedTable:
             load_id=load_id,
             seq=before.seq + 1 if before else 1,
             buckets=buckets,
-            schema=T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]),
+            schema=T.StructType([T.StructField(f.name, f.dataType) for f in rows.drop(BUCKET).schema.fields]),
             watermark=watermark or (before.watermark if before else None),
             row_count=written["row_count"] if row_count is None else row_count,
         )
         self._write_commit(commit)
         return commit
 
-    def replace(self, load_id: str, change: Callable[[DataFrame], DataFrame], row_by_row: bool = False) -> Commit:
-        """Replace the table by a query over itself.
-
-        A change that is ``row_by_row`` and keeps the key, such as dropping a column,
-        needs no shuffle: rows are written to the bucket they were read from.
-        """
-        done = self.find(load_id)
-        return done or self.publish(load_id, change(self.read()), in_place=row_by_row)
-
     def retire(self, keep: int = 1) -> int:
         """Drop the buckets that none of the last ``keep`` versions uses, and whatever
         loads that died have left behind.

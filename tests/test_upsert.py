@@ -115,7 +115,7 @@ def test_merge_shuffles_only_the_increment_and_that_once(spark, tmp_path):
     overwrite(rows(spark, (1, DAY2, "b"), (1, DAY3, "c"), (30000, DAY2, "d")), staged)
     commit, session = table.current(), table.bucket_session()
     assert session.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
-    fresh = latest(session.read.parquet(staged), ["k"], ["at"]).withColumn("bucket", table.bucket_of())
+    fresh = table.placed(latest(session.read.parquet(staged), ["k"], ["at"]))
     with table.bucketed(commit, commit.buckets, session) as base:
         merged = merge(base, fresh, ["k"], ["at"])
         plan = plan_of(merged)
@@ -155,12 +155,27 @@ def test_new_column_does_not_shuffle_the_table(spark, tmp_path):
     staged = new_path(tmp_path, "staged")
     overwrite(wider, staged)
     commit, session = table.current(), table.bucket_session()
-    fresh = latest(session.read.parquet(staged), ["k"], ["at"]).withColumn("bucket", table.bucket_of())
+    fresh = table.placed(latest(session.read.parquet(staged), ["k"], ["at"]))
     with table.bucketed(commit, commit.buckets, session, wider.schema.fields[-1:]) as base:
         merged = merge(base, fresh, ["k"], ["at"], allow_new_columns=True)
         assert plan_of(merged).count("Exchange") == 1
 
 
+@pytest.mark.parametrize("name", ["bucket", "Load_ID"])
+def test_reserved_names(spark, tmp_path, name):
+    table = new_table(spark, tmp_path)
+    clash = rows(spark, (1, DAY1, "a")).withColumn(name, F.lit(7))
+    with pytest.raises(ValueError, match="cannot be columns"):
+        put(table, "a", clash)
+    with pytest.raises(ValueError, match="cannot be columns"):
+        table.publish("a", clash)
+
+
+def test_watermark_must_be_a_point_in_time(spark, tmp_path):
+    with pytest.raises(TypeError, match="bigint is no point in time"):
+        upsert_latest(new_table(spark, tmp_path), rows(spark, (1, DAY1, "a")), ["at"], "a", watermark="k")
+
+
 def test_composite_and_text_keys(spark, tmp_path):
     table = new_table(spark, tmp_path, key=("k", "v"))
     put(table, "a", rows(spark, (1, DAY1, "x"), (1, DAY1, "y")))
