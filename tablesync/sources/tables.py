@@ -44,12 +44,18 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return one_row(spark, schema, {}).where(F.lit(False))
 
 
-def append(df: DataFrame, path: str, source_format: str = "parquet") -> None:
-    df.write.format(source_format).mode("append").save(path)
-
-
-def overwrite(df: DataFrame, path: str, source_format: str = "parquet") -> None:
-    df.write.format(source_format).mode("overwrite").save(path)
+def append(
+    df: DataFrame, path: str | None, source_format: str = "parquet", options: Mapping[str, str] | None = None
+) -> None:
+    """Append to a directory, or to whatever table the format and its options name."""
+    df.write.format(source_format).options(**(options or {})).mode("append").save(path)
+
+
+def overwrite(
+    df: DataFrame, path: str | None, source_format: str = "parquet", options: Mapping[str, str] | None = None
+) -> None:
+    """The same, replacing what is there."""
+    df.write.format(source_format).options(**(options or {})).mode("overwrite").save(path)
 
 
 def append_partitions(df: DataFrame, path: str, column: str) -> None:

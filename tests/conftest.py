@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     session = get_session(
         "tablesync-tests",
         {
-            "spark.master": "local[8]",
+            "spark.master": "local[8, 3]",
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "8",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

@@ -193,7 +193,7 @@ def test_offers_and_installs_jobs_are_wired(spark, registry, tmp_path):
 def test_any_source_format(spark, tmp_path):
     path = new_path(tmp_path, "orc")
     df = rows(spark, (1, DAY1, "a"), (2, DAY3, "b"))
-    tables.append(df, path, source_format="orc")
+    tables.append(df, path, "orc", {"compression": "zlib"})
     later = F.col("at") > F.lit(str(DAY2)).cast("timestamp_ntz")
     got = tables.scan_source(spark, "orc", path, {"mergeSchema": "false"}, later)
     assert fetch(got) == [(2, DAY3, "b")]
