@@ -78,6 +78,7 @@ def upsert_latest(
         table.publish_placed(
             load_id,
             rows,
+            before,
             replaces=size["buckets"],
             watermark=_later(size["watermark"], before.watermark if before else None),
             row_count=size["row_count"],

@@ -80,13 +80,15 @@ class VersionedTable:
     def current(self) -> Commit | None:
         if not exists(self.spark, f"{self.path}/commits"):
             return None
-        # the numbers first: the rows of a long history are large together
-        newest = self.commits().agg(F.max("seq")).first()[0]
-        last = _as_text(self.commits().where(F.col("seq") == newest)).take(2)
-        if len(last) > 1:
-            loads = [row["load_id"] for row in last]
+        # the number first: the rows of a long history are large together
+        newest = self.commits().select("seq").orderBy(F.desc("seq")).first()
+        if newest is None:
+            return None
+        rows = _as_text(self.commits().where(F.col("seq") == newest["seq"])).take(2)
+        if len(rows) > 1:
+            loads = [row["load_id"] for row in rows]
             raise RuntimeError(f"{self.path}: loads {loads} were committed at the same time")
-        return self._commit(last[0]) if last else None
+        return self._commit(rows[0])
 
     def find(self, load_id: str) -> Commit | None:
         """The version a load published, if it did."""
@@ -177,7 +179,11 @@ class VersionedTable:
 
     def publish(self, load_id: str, rows: DataFrame, watermark: str | None = None) -> Commit:
         """Make ``rows`` the table."""
-        return self.publish_placed(load_id, gathered(self.placed(rows), BUCKET), watermark=watermark)
+        done = self.find(load_id)
+        if done is not None:
+            return done
+        rows = gathered(self.placed(rows), BUCKET)
+        return self.publish_placed(load_id, rows, self.current(), watermark=watermark)
 
     def replace(self, load_id: str, change: Callable[[DataFrame], DataFrame], row_by_row: bool = False) -> Commit:
         """Replace the table by a query over itself.
@@ -188,26 +194,27 @@ class VersionedTable:
         done = self.find(load_id)
         if done is not None:
             return done
-        rows = self.placed(change(self.read()))
-        return self.publish_placed(load_id, rows if row_by_row else gathered(rows, BUCKET))
+        before = self.current()
+        if before is None:
+            raise ValueError(f"{self.path}: nothing has been published")
+        rows = self.placed(change(self.read_version(before)))
+        return self.publish_placed(load_id, rows if row_by_row else gathered(rows, BUCKET), before)
 
     def publish_placed(
         self,
         load_id: str,
         rows: DataFrame,
+        before: Commit | None,
         replaces: Collection[int] | None = None,
         watermark: str | None = None,
         row_count: int | None = None,
     ) -> Commit:
-        """Write ``placed`` rows from where they are and make them the table, or the
-        ``replaces`` buckets of it.
+        """Write ``placed`` rows from where they are. They become the table, or the
+        ``replaces`` buckets of it, after the version ``before``.
 
-        ``row_count`` is the size of the load for the record, by default the rows written.
+        The load must be a new one. ``row_count`` is its size for the record, by default
+        the rows written.
         """
-        done = self.find(load_id)
-        if done is not None:
-            return done
-        before = self.current()
         written = self._write_rows(load_id, rows)
         buckets: dict[int, str] = {}
         if before is not None and replaces is not None:
