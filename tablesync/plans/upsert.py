@@ -44,10 +44,13 @@ def upsert_latest(
     greatest ``watermark`` value and the buckets its keys fall in. Only those buckets are
     read from the table and written again.
 
-    Only the increment is shuffled. Its keys are made unique first, with the cut to one
-    row per key ahead of the shuffle, and then sent to the table's buckets; the table
-    lies by bucket already and its keys are unique. So a bucket never has more than two
-    rows of a key, however hot the key was in the increment.
+    Only the increment is shuffled, straight into the table's buckets, where its keys
+    are made unique; the cut to one row per key ahead of that shuffle takes care of hot
+    keys. The table lies by bucket already, so the two meet without another shuffle and
+    with at most two rows of a key.
+
+    A table that was published with repeated keys is made unique as a whole the first
+    time, by shuffling both.
 
     Rows without a key go to ``rejects/load_id=<load>`` next to the data. An empty
     increment, or a load that was committed before, changes nothing.
@@ -68,9 +71,13 @@ def upsert_latest(
     before = table.current()
     session = table.bucket_session()
     staged = scan_parquet(session, staging, increment.schema)
-    rows = table.placed(latest(staged, table.key, order, ties))
+    replaces = size["buckets"]
     with ExitStack() as in_use:
-        if before is not None:
+        if before is not None and not before.unique_keys:
+            staged = union_rows(table.read_version(before, session), staged, allow_new_columns)
+            replaces = None
+        rows = table.placed(latest(staged, table.key, order, ties))
+        if before is not None and before.unique_keys:
             known = before.schema.names
             new = [f for f in increment.schema.fields if allow_new_columns and f.name not in known]
             base = in_use.enter_context(table.bucketed(before, size["buckets"], session, new))
@@ -79,9 +86,10 @@ def upsert_latest(
             load_id,
             rows,
             before,
-            replaces=size["buckets"],
+            replaces=replaces,
             watermark=_later(size["watermark"], before.watermark if before else None),
             row_count=size["row_count"],
+            unique_keys=True,
         )
     drop_if_exists(table.spark, staging)
     return UpsertResult(True, size["row_count"], size["rejected"], len(size["buckets"]))

@@ -47,13 +47,15 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("columns", T.StringType()),
     T.StructField("watermark", T.TimestampNTZType()),
     T.StructField("row_count", T.LongType()),
+    T.StructField("unique_keys", T.BooleanType()),
     T.StructField("committed_at", T.TimestampType()),
 ])
 
 
 @dataclass(frozen=True)
 class Commit:
-    """One version. ``buckets`` maps a bucket to the load that holds its rows."""
+    """One version. ``buckets`` maps a bucket to the load that holds its rows;
+    ``unique_keys`` tells that no two rows share a key and none lacks one."""
 
     load_id: str
     seq: int
@@ -61,6 +63,7 @@ class Commit:
     schema: T.StructType
     watermark: str | None
     row_count: int
+    unique_keys: bool
 
 
 class VersionedTable:
@@ -106,11 +109,12 @@ class VersionedTable:
             raise ValueError(f"{self.path}: nothing has been published")
         return self.read_version(commit)
 
-    def read_version(self, commit: Commit) -> DataFrame:
+    def read_version(self, commit: Commit, session: SparkSession | None = None) -> DataFrame:
+        session = session or self.spark
         if not commit.buckets:
-            return empty(self.spark, commit.schema)
+            return empty(session, commit.schema)
         paths = [self._directory(load, bucket) for bucket, load in commit.buckets.items()]
-        return self.spark.read.schema(commit.schema).parquet(*paths)
+        return session.read.schema(commit.schema).parquet(*paths)
 
     @contextmanager
     def bucketed(
@@ -124,7 +128,7 @@ class VersionedTable:
 
         Spark takes a bucket layout only from its catalogue, so the directories are
         registered as an external table while the block runs. Dropping it leaves the
-        files alone. A bucket is read by one task, so keys should be unique.
+        files alone. A bucket is read by one task, so its keys should be unique.
 
         The rows carry their bucket number, and NULL in ``new_columns``. A projection
         before a union would make Spark lose sight of the partitioning.
@@ -198,7 +202,12 @@ class VersionedTable:
         if before is None:
             raise ValueError(f"{self.path}: nothing has been published")
         rows = self.placed(change(self.read_version(before)))
-        return self.publish_placed(load_id, rows if row_by_row else gathered(rows, BUCKET), before)
+        return self.publish_placed(
+            load_id,
+            rows if row_by_row else gathered(rows, BUCKET),
+            before,
+            unique_keys=row_by_row and before.unique_keys,
+        )
 
     def publish_placed(
         self,
@@ -208,6 +217,7 @@ class VersionedTable:
         replaces: Collection[int] | None = None,
         watermark: str | None = None,
         row_count: int | None = None,
+        unique_keys: bool = False,
     ) -> Commit:
         """Write ``placed`` rows from where they are. They become the table, or the
         ``replaces`` buckets of it, after the version ``before``.
@@ -228,6 +238,7 @@ class VersionedTable:
             schema=T.StructType([T.StructField(f.name, f.dataType) for f in rows.drop(BUCKET).schema.fields]),
             watermark=watermark or (before.watermark if before else None),
             row_count=written["row_count"] if row_count is None else row_count,
+            unique_keys=unique_keys,
         )
         self._write_commit(commit)
         return commit
@@ -288,6 +299,7 @@ class VersionedTable:
             "columns": commit.schema.json(),
             "watermark": commit.watermark,
             "row_count": commit.row_count,
+            "unique_keys": commit.unique_keys,
             "committed_at": F.current_timestamp(),
         })
         path = f"{self.path}/commits/load_id={commit.load_id}"
@@ -306,6 +318,7 @@ class VersionedTable:
             schema=T.StructType.fromJson(json.loads(row["columns"])),
             watermark=row["watermark"],
             row_count=row["row_count"],
+            unique_keys=row["unique_keys"],
         )
 
 

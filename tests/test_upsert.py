@@ -204,6 +204,21 @@ def test_replace_drop_column_and_retire(spark, tmp_path):
     assert table.read().count() == 0 and table.read().columns == ["k", "at"]
 
 
+def test_upsert_into_repeated_keys_makes_the_whole_table_unique(spark, tmp_path):
+    table = new_table(spark, tmp_path, n_buckets=8)
+    base = [(k % 10, at(f"2024-01-{k % 9 + 1:02d}"), f"v{k}") for k in range(60)] + [(None, DAY1, "none")]
+    table.publish("a", rows(spark, *base))
+    assert not table.current().unique_keys
+    fresh = [(3, at("2024-02-01"), "new"), (77, DAY1, "new")]
+    put(table, "b", rows(spark, *fresh))
+    assert table.current().unique_keys
+    assert fetch(table.read()) == expected(base + fresh)
+    table.replace("c", lambda df: df.withColumn("v", F.upper("v")), row_by_row=True)
+    assert table.current().unique_keys
+    put(table, "d", rows(spark, (5, at("2024-03-01"), "X")))
+    assert table.read().count() == 11
+
+
 def test_two_writers_are_noticed(spark, tmp_path, monkeypatch):
     table = new_table(spark, tmp_path)
     put(table, "a", rows(spark, (1, DAY1, "a")))
