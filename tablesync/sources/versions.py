@@ -278,13 +278,14 @@ class VersionedTable:
             F.collect_set(BUCKET).alias("buckets"),
         )
         try:
-            (
-                counted.write.format("parquet")
-                .partitionBy(BUCKET)
-                .bucketBy(self.n_buckets, *self.key)
-                .option("path", path)
-                .saveAsTable(name)
-            )
+            with _unlisted_partitions(rows.sparkSession):
+                (
+                    counted.write.format("parquet")
+                    .partitionBy(BUCKET)
+                    .bucketBy(self.n_buckets, *self.key)
+                    .option("path", path)
+                    .saveAsTable(name)
+                )
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         return seen.get
@@ -334,6 +335,18 @@ def check_name(name: str) -> str:
     return name
 
 
+@contextmanager
+def _unlisted_partitions(session: SparkSession) -> Iterator[None]:
+    """Spare the catalogue the partitions of a table whose entry is dropped at once."""
+    setting = "spark.sql.hive.manageFilesourcePartitions"
+    before = session.conf.get(setting)
+    session.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        session.conf.set(setting, before)
+
+
 def _passing_name() -> str:
     return f"spark_catalog.default.tablesync_{uuid.uuid4().hex}"
 
