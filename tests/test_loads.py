@@ -2,6 +2,8 @@ import glob
 import itertools
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablesync.plans import installs, offers
@@ -10,6 +12,7 @@ from tablesync.plans.registry import Registry
 from tablesync.plans.staged import StagedLoad
 from tablesync.sources import files, tables
 from tests.helpers import ROW, Crash, at, crash, fetch, new_path, plan_of, rows
+from tests.test_latest import relaxed
 
 DAY1, DAY2, DAY3 = at("2024-01-01"), at("2024-01-02"), at("2024-01-03")
 
@@ -99,6 +102,44 @@ def test_text_watermark_column(spark, registry, tmp_path):
     assert job.run(later, registry, "2").row_count == 1
 
 
+days = st.lists(st.one_of(st.none(), st.integers(1, 9)), max_size=12)
+
+
+@relaxed
+@given(st.lists(days, min_size=1, max_size=4))
+def test_staged_loads_add_up(spark, tmp_path, batches):
+    """Each run sees all rows so far; a row is loaded once, when it is the newest."""
+    registry = Registry(spark, new_path(tmp_path, "registry"))
+    root = new_path(tmp_path, "load")
+    schema = rows(spark, schema=ROW).schema
+    job = StagedLoad("t", f"{root}/target", f"{root}/staging", "at", lambda df: df, schema)
+    seen, want, mark = [], [], 0
+    for n, batch in enumerate(batches):
+        seen += [(len(seen) + i, day) for i, day in enumerate(batch)]
+        due = [(k, day) for k, day in seen if day is not None and day > mark]
+        source = rows(spark, *[(k, at(f"2024-01-{d:02d}") if d else None, "v") for k, d in seen], schema=ROW)
+        assert job.run(source, registry, f"{n}", full_load=True).row_count == len(due)
+        want += due
+        mark = max([mark, *[day for _, day in due]])
+    assert fetch(job.read(spark, registry)) == sorted(
+        [(k, at(f"2024-01-{d:02d}"), "v") for k, d in want], key=repr
+    )
+
+
+def test_zoned_timestamps(spark, registry, load, tmp_path):
+    zoned = "k bigint, at timestamp, v string"
+    moments = spark.sql(
+        "SELECT * FROM VALUES (1L, timestamp'2024-01-01 10:00:00.000001Z', 'a'), "
+        "(2L, timestamp'2024-01-01 10:00:00.000002Z', 'b') AS t(k, at, v)"
+    )
+    root = new_path(tmp_path, "zoned")
+    job = StagedLoad("zoned", f"{root}/target", f"{root}/staging", "at", lambda d: d, rows(spark, schema=zoned).schema)
+    job.run(moments.where("k = 1"), registry, "1", full_load=True)
+    assert registry.watermark("zoned") == "2024-01-01 10:00:00.000001"
+    assert job.run(moments, registry, "2").row_count == 1
+    assert {r["k"] for r in job.read(spark, registry).collect()} == {1, 2}
+
+
 def events(spark, *days):
     day = F.col("day").cast("date")
     values = [(n, d, f"r{n}") for n, d in enumerate(days)]
