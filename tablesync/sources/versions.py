@@ -158,7 +158,8 @@ class VersionedTable:
         """A session like the table's own whose shuffles fall into the table's buckets.
 
         With as many shuffle partitions as buckets, and these left alone at run time,
-        rows that were shuffled by the key already lie where the table keeps them.
+        rows that were shuffled by the key already lie where the table keeps them. A task
+        then writes one bucket and may keep its file open, rather than sort by bucket.
         """
         session = self.spark.newSession()
         for name, value in self.spark.conf.getAll.items():
@@ -166,6 +167,7 @@ class VersionedTable:
                 session.conf.set(name, value)
         session.conf.set("spark.sql.shuffle.partitions", self.n_buckets)
         session.conf.set("spark.sql.adaptive.enabled", False)
+        session.conf.set("spark.sql.maxConcurrentOutputFileWriters", 4)
         return session
 
     def bucket_of(self) -> Column:
