@@ -57,12 +57,9 @@ class Registry:
         if not exists(self.spark, path):
             return Progress(None, [])
         schema = T.StructType(REGISTRY_SCHEMA.fields[1:])
-        watermark, loads = (
-            scan_parquet(self.spark, path, schema)
-            .agg(F.max("watermark").cast("string"), F.sort_array(F.collect_set("load_id")))
-            .first()
-        )
-        return Progress(watermark, loads)
+        rows = scan_parquet(self.spark, path, schema).select("load_id", F.col("watermark").cast("string")).collect()
+        watermark = max((row["watermark"] for row in rows), key=datetime.fromisoformat, default=None)
+        return Progress(watermark, sorted(row["load_id"] for row in rows))
 
     def watermark(self, table_name: str) -> str | None:
         """The table's watermark, None before its first load."""

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from tablesync.sources.files import drop_on_exit
+
 CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -26,12 +28,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder named by ``spark.checkpoint.dir``.
 
     A machine-local folder is used only when the setting is absent and the session is
-    local, as in tests.
+    local, as in tests. What the session wrote there is dropped when it ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.gettempdir()
-    app = spark.sparkContext.applicationId
-    return f"{root.rstrip('/')}/tablesync-{app}/{name}-{uuid.uuid4().hex}"
+    home = f"{root.rstrip('/')}/tablesync-{spark.sparkContext.applicationId}"
+    drop_on_exit(spark, home)
+    return f"{home}/{name}-{uuid.uuid4().hex}"

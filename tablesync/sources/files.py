@@ -29,6 +29,13 @@ def drop_if_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def drop_on_exit(spark: SparkSession, path: str) -> None:
+    """Make a directory that goes away with the session's JVM."""
+    fs, target = _open(spark, path)
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+
+
 def size_bytes(spark: SparkSession, path: str) -> int:
     fs, target = _open(spark, path)
     return fs.getContentSummary(target).getLength() if fs.exists(target) else 0

@@ -112,6 +112,7 @@ def replace_from_self(spark, sf_dir):
     target = order_table(spark, sf_dir, "replace")
     target.publish("first", table(spark, sf_dir, "orders"))
     target.replace("deduplicated", partial(latest, key=["o_custkey"], order=["o_orderdate"], ties=["o_orderkey"]))
+    target.retire()
     return target.read()
 
 
@@ -369,6 +370,7 @@ def upsert_latest(spark, sf_dir):
     ]
     for load_id, rows in steps:
         upsert(target, rows, ["o_orderdate"], load_id, watermark="o_orderdate", ties=["o_orderkey"])
+    target.retire()
     return target.read()
 
 
@@ -403,6 +405,7 @@ def merchant_sync(spark, sf_dir):
     target = order_table(spark, sf_dir, "merchants", merchant.KEY[0])
     merchant.sync_merchants(up_to(source, merchant.UPDATED_AT, ORDERS_MARK), target, "day-1", first_load=True)
     merchant.sync_merchants(source, target, "day-2")
+    target.retire()
     return target.read()
 
 
