@@ -18,6 +18,8 @@ from tablesync.operators.mapping import quoted
 
 Point = str | date | datetime
 
+UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
 
 def newer_than(df: DataFrame, column: str, watermark: Point, overlap: str | None = None) -> DataFrame:
     """Rows strictly after the watermark; rows without a value never qualify.
@@ -66,6 +68,21 @@ def extract_increment(
     return df.where(_comparable(df, column)[0].isNotNull())
 
 
+def newest(df: DataFrame, column: str) -> Column:
+    """Aggregate: the watermark that these rows leave behind, as ISO text.
+
+    It is the greatest of the very values that the filters compare, so a row that was
+    loaded can never be newer than the watermark.
+    """
+    value, dtype = _comparable(df, column)
+    if not isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise TypeError(f"{column} is {dtype.simpleString()}, no point in time")
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if isinstance(dtype, T.TimestampType) and zone not in UTC:
+        raise ValueError(f"{column} is kept as text, which is ambiguous in {zone}; set the session's zone to UTC")
+    return F.max(value).cast("string")
+
+
 def yesterday(as_of: Point) -> Column:
     """The day before the job's own date, which the caller states."""
     return F.date_sub(F.lit(literal_text(as_of)).cast("date"), 1)

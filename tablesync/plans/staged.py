@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.operators.increment import extract_increment
-from tablesync.operators.metrics import ISO_SECONDS, latest_timestamp, reconcile_aggregates
+from tablesync.operators.increment import extract_increment, newest
+from tablesync.operators.metrics import reconcile_aggregates
 from tablesync.plans.registry import Registry
 from tablesync.sources.files import drop_if_exists, drop_other_loads
 from tablesync.sources.tables import empty, overwrite, scan_parquet
@@ -43,7 +43,6 @@ class StagedLoad:
     column: str
     insert: Callable[[DataFrame], DataFrame]
     target_schema: T.StructType
-    pattern: str = ISO_SECONDS
 
     def run(
         self,
@@ -60,12 +59,11 @@ class StagedLoad:
             return LoadResult(False, 0, 0, None, None)
 
         fresh = extract_increment(source, self.column, progress.watermark, full_load)
-        newest = latest_timestamp(fresh, self.column, self.pattern)
         seen = Observation()
         measured = fresh.observe(
             seen,
             *reconcile_aggregates(self.column, as_text=True),
-            newest.cast("string").alias("watermark"),
+            newest(fresh, self.column).alias("watermark"),
         )
         overwrite(measured, staging)
         found = seen.get

@@ -10,9 +10,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tablesync.operators.increment import newest
 from tablesync.operators.latest import has_key, last_of_each, latest, without_key
 from tablesync.operators.mapping import union_rows
-from tablesync.operators.metrics import latest_timestamp
 from tablesync.sources.files import drop_if_exists
 from tablesync.sources.tables import overwrite, scan_parquet
 from tablesync.sources.versions import VersionedTable
@@ -113,14 +113,14 @@ def merge(
 
 def _stage(table: VersionedTable, increment: DataFrame, path: str, watermark: str | None) -> tuple[DataFrame, dict]:
     keyed = has_key(table.key)
-    newest = latest_timestamp(increment, watermark) if watermark else F.max(F.lit(None))
+    mark = newest(increment, watermark) if watermark else F.max(F.lit(None)).cast("string")
     seen = Observation()
     measured = increment.observe(
         seen,
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(~keyed).alias("rejected"),
         F.collect_set(F.when(keyed, table.bucket_of())).alias("buckets"),
-        newest.cast("string").alias("watermark"),
+        mark.alias("watermark"),
     )
     overwrite(measured, path)
     return scan_parquet(table.spark, path, increment.schema), seen.get

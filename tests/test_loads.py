@@ -98,8 +98,12 @@ def test_text_watermark_column(spark, registry, tmp_path):
     job = StagedLoad("text", f"{root}/target", f"{root}/staging", "snap", lambda d: d, df.schema)
     job.run(df, registry, "1", full_load=True)
     assert registry.watermark("text") == "2024-01-02 10:00:00"
-    later = rows(spark, ("2024-01-02T10:00:00", 2), ("2024-01-02T10:00:01", 3), schema=schema)
-    assert job.run(later, registry, "2").row_count == 1
+    later = rows(
+        spark, ("2024-01-02T10:00:00", 2), ("2024-01-02T10:00:01", 3), ("2024-01-03", 4), ("soon", 5), schema=schema
+    )
+    assert job.run(later, registry, "2").row_count == 2
+    assert registry.watermark("text") == "2024-01-03 00:00:00"
+    assert job.run(later, registry, "3").row_count == 0
 
 
 days = st.lists(st.one_of(st.none(), st.integers(1, 9)), max_size=12)
@@ -128,6 +132,7 @@ def test_staged_loads_add_up(spark, tmp_path, batches):
 
 def test_zoned_timestamps(spark, registry, load, tmp_path):
     zoned = "k bigint, at timestamp, v string"
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     moments = spark.sql(
         "SELECT * FROM VALUES (1L, timestamp'2024-01-01 10:00:00.000001Z', 'a'), "
         "(2L, timestamp'2024-01-01 10:00:00.000002Z', 'b') AS t(k, at, v)"
@@ -138,6 +143,12 @@ def test_zoned_timestamps(spark, registry, load, tmp_path):
     assert registry.watermark("zoned") == "2024-01-01 10:00:00.000001"
     assert job.run(moments, registry, "2").row_count == 1
     assert {r["k"] for r in job.read(spark, registry).collect()} == {1, 2}
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            job.run(moments, registry, "3")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def events(spark, *days):

@@ -172,7 +172,7 @@ def test_reserved_names(spark, tmp_path, name):
 
 
 def test_watermark_must_be_a_point_in_time(spark, tmp_path):
-    with pytest.raises(TypeError, match="bigint is no point in time"):
+    with pytest.raises(TypeError, match="k is bigint, no point in time"):
         upsert_latest(new_table(spark, tmp_path), rows(spark, (1, DAY1, "a")), ["at"], "a", watermark="k")
 
 
