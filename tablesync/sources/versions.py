@@ -37,6 +37,7 @@ from tablesync.sources.files import drop_if_exists, drop_other_loads, exists
 from tablesync.sources.tables import empty, gathered, one_row, scan_parquet
 
 BUCKET = "bucket"
+MANAGE_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("load_id", T.StringType()),
@@ -168,6 +169,7 @@ class VersionedTable:
         session.conf.set("spark.sql.shuffle.partitions", self.n_buckets)
         session.conf.set("spark.sql.adaptive.enabled", False)
         session.conf.set("spark.sql.maxConcurrentOutputFileWriters", 4)
+        session.conf.set(MANAGE_PARTITIONS, True)
         return session
 
     def bucket_of(self) -> Column:
@@ -340,13 +342,12 @@ def check_name(name: str) -> str:
 @contextmanager
 def _unlisted_partitions(session: SparkSession) -> Iterator[None]:
     """Spare the catalogue the partitions of a table whose entry is dropped at once."""
-    setting = "spark.sql.hive.manageFilesourcePartitions"
-    before = session.conf.get(setting)
-    session.conf.set(setting, "false")
+    before = session.conf.get(MANAGE_PARTITIONS)
+    session.conf.set(MANAGE_PARTITIONS, False)
     try:
         yield
     finally:
-        session.conf.set(setting, before)
+        session.conf.set(MANAGE_PARTITIONS, before)
 
 
 def _passing_name() -> str:

@@ -17,6 +17,7 @@ JOBS = ["merchant_sync", "upsert_latest", "bounded_backup", "staged_load", "repl
         ("spark.sql.adaptive.enabled", "false"),
         ("spark.sql.unionOutputPartitioning", "false"),
         ("spark.sql.shuffle.partitions", "3"),
+        ("spark.sql.hive.manageFilesourcePartitions", "false"),
     ],
 )
 def test_jobs(spark, name, value):
