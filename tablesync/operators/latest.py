@@ -24,7 +24,9 @@ def latest(df: DataFrame, key: Sequence[str], order: Sequence[str], ties: Sequen
     return last_of_each(with_key(df, key), key, order, ties)
 
 
-def last_of_each(df: DataFrame, key: Sequence[str], order: Sequence[str], ties: Sequence[str] | None = None) -> DataFrame:
+def last_of_each(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], ties: Sequence[str] | None = None
+) -> DataFrame:
     """``latest`` for rows that are known to have a key."""
     if ties is None:
         used = {*key, *order}

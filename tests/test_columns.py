@@ -24,13 +24,16 @@ def test_prefixed_hex(spark, column, want):
     assert value(spark, c.prefixed_hex(F.expr(column))) == want
 
 
-@pytest.mark.parametrize("column", ["date'2024-01-02'", "timestamp'2024-01-02 23:59:59'", "timestamp_ntz'2024-01-02 00:00:00'"])
+@pytest.mark.parametrize(
+    "column", ["date'2024-01-02'", "timestamp'2024-01-02 23:59:59'", "timestamp_ntz'2024-01-02 00:00:00'"]
+)
 def test_date_key(spark, column):
     assert value(spark, c.date_key(F.expr(column))) == 20240102
 
 
 def test_date_key_equals_the_iso_digits(spark):
-    days = spark.range(0, 60000, 37).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    first = F.lit("1900-01-01").cast("date")
+    days = spark.range(0, 60000, 37).select(F.date_add(first, F.col("id").cast("int")).alias("d"))
     digits = F.replace(F.col("d").cast("string"), F.lit("-"), F.lit("")).cast("bigint")
     assert days.where(c.date_key(F.col("d")) != digits).count() == 0
 

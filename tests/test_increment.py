@@ -56,7 +56,8 @@ def test_open_interval(spark):
     df = spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-01-06')) AS d")
 
     def days(**kw):
-        return [r[0].day for r in increment.between(df, "d", "2024-01-02", increment.yesterday("2024-01-06"), **kw).collect()]
+        window = increment.between(df, "d", "2024-01-02", increment.yesterday("2024-01-06"), **kw)
+        return [r[0].day for r in window.collect()]
 
     assert days() == [3, 4]
     assert days(closed="low") == [2, 3, 4]

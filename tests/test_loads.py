@@ -165,7 +165,12 @@ def test_backups_are_disjoint_and_complete(spark, registry, tmp_path):
         run = backup_window(source, sink, "day", as_of, registry, "events", f"{n}", first_load=n == 0)
         if run.row_count:
             found.append((run.first_day, run.last_day))
-    assert found == [("2024-01-01", "2024-01-04"), ("2024-01-05", "2024-01-05"), ("2024-01-06", "2024-01-13"), ("2024-01-14", "2024-01-20")]
+    assert found == [
+        ("2024-01-01", "2024-01-04"),
+        ("2024-01-05", "2024-01-05"),
+        ("2024-01-06", "2024-01-13"),
+        ("2024-01-14", "2024-01-20"),
+    ]
     assert fetch(spark.read.parquet(sink).select("id", "day", "v")) == fetch(source)
     assert all(one[1] < other[0] for one, other in itertools.pairwise(found))
 

@@ -100,7 +100,8 @@ def test_crash_before_the_control_row(spark, tmp_path, monkeypatch):
 def test_crash_while_rows_are_written(spark, tmp_path, monkeypatch):
     table = new_table(spark, tmp_path)
     put(table, "a", rows(spark, (1, DAY1, "a")))
-    boom = rows(spark, (1, DAY2, "b")).withColumn("v", F.when(F.col("k") == 1, F.raise_error(F.lit("boom"))).cast("string"))
+    fails = F.when(F.col("k") == 1, F.raise_error(F.lit("boom")))
+    boom = rows(spark, (1, DAY2, "b")).withColumn("v", fails.cast("string"))
     with pytest.raises(Exception, match="boom"):
         put(table, "b", boom)
     assert fetch(table.read()) == [(1, DAY1, "a")]

@@ -157,7 +157,8 @@ ORACLE = {
           SELECT *, row_number() OVER (
             PARTITION BY l_orderkey, l_linenumber
             ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
-                     l_extendedprice DESC) AS rn
+                     l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
+                     l_linestatus DESC) AS rn
           FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL)
         WHERE rn = 1""",
     "union_base_increment": f"""

@@ -33,7 +33,9 @@ SHIP_MARK = "1998-06-01"
 LOW_DAY, AS_OF = "2024-01-10", "2024-01-30"
 
 LINEITEM_KEY = ["l_orderkey", "l_linenumber"]
-LINEITEM_TIES = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+LINEITEM_TIES = [
+    "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
+]
 
 
 def query(build: Query) -> Query:
