@@ -229,6 +229,8 @@ class VersionedTable:
         The load must be a new one. ``row_count`` is its size for the record, by default
         the rows written.
         """
+        if self.find(load_id) is not None:
+            raise ValueError(f"{self.path}: load {load_id} is committed")
         written = self._write_rows(load_id, rows)
         buckets: dict[int, str] = {}
         if before is not None and replaces is not None:

@@ -191,6 +191,16 @@ def test_opening_with_another_layout_is_refused(spark, tmp_path):
         VersionedTable(spark, table.path, ["k"], 8).read()
 
 
+def test_a_committed_load_is_never_written_over(spark, tmp_path):
+    table = new_table(spark, tmp_path)
+    table.publish("a", rows(spark, (1, DAY1, "a")))
+    again = table.placed(rows(spark, (1, DAY2, "b")))
+    with pytest.raises(ValueError, match="is committed"):
+        table.publish_placed("a", again, table.current())
+    table.publish("a", rows(spark, (1, DAY2, "b")))
+    assert fetch(table.read()) == [(1, DAY1, "a")]
+
+
 def test_replace_drop_column_and_retire(spark, tmp_path):
     table = new_table(spark, tmp_path)
     table.publish("a", rows(spark, (1, DAY1, "a"), (1, DAY2, "b"), (2, DAY1, "a")))
