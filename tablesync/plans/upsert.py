@@ -52,8 +52,8 @@ def upsert_latest(
     A table that was published with repeated keys is made unique as a whole the first
     time, by shuffling both.
 
-    Rows without a key go to ``rejects/load_id=<load>`` next to the data. An empty
-    increment, or a load that was committed before, changes nothing.
+    Rows without a key go to ``rejects/load_id=<load>`` next to the data, and count as
+    loaded. An empty increment, or a load that was committed before, changes nothing.
     """
     done = table.find(load_id)
     staging = f"{table.path}/staging/load_id={load_id}"
@@ -64,9 +64,9 @@ def upsert_latest(
     staged, size = _stage(table, increment, staging, watermark)
     if size["rejected"]:
         overwrite(without_key(staged, table.key), f"{table.path}/rejects/load_id={load_id}")
-    if not size["buckets"]:
+    if not size["row_count"]:
         drop_if_exists(table.spark, staging)
-        return UpsertResult(False, size["row_count"], size["rejected"], 0)
+        return NOTHING
 
     before = table.current()
     session = table.bucket_session()

@@ -11,7 +11,7 @@ record = st.tuples(
     st.sampled_from(["a", "b", "c"]),
 )
 batches = st.lists(record, max_size=25)
-relaxed = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+relaxed = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def expected(values):

@@ -6,7 +6,7 @@ import __spark_entry__ as contract
 from tests.compare import differences, open_tables
 
 SF_DIR = "/root/testdata/sf0.001"
-JOBS = ["merchant_sync", "upsert_latest", "bounded_backup", "staged_load", "replace_from_self"]
+JOBS = ["merchant_sync", "bounded_backup", "staged_load"]
 
 
 @pytest.mark.parametrize(

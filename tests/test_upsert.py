@@ -63,7 +63,17 @@ def test_rejects(spark, tmp_path):
     assert (result.row_count, result.rejected) == (3, 2)
     assert {r["v"] for r in spark.read.parquet(f"{table.path}/rejects/load_id=a").collect()} == {"b", "c"}
     only_rejects = put(table, "b", rows(spark, (None, DAY3, "d")))
-    assert not only_rejects.published and only_rejects.rejected == 1
+    assert (only_rejects.rejected, only_rejects.touched_buckets) == (1, 0)
+    assert fetch(table.read()) == [(1, DAY1, "a")]
+    assert table.current().watermark == str(DAY3), "they are not read again"
+
+
+def test_first_load_of_rejects_only(spark, tmp_path):
+    table = new_table(spark, tmp_path)
+    put(table, "a", rows(spark, (None, DAY1, "a")))
+    assert table.read().count() == 0
+    put(table, "b", rows(spark, (1, DAY2, "b")))
+    assert fetch(table.read()) == [(1, DAY2, "b")]
 
 
 def test_watermark_never_goes_back(spark, tmp_path):
