@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablesync.functions.columns import prefixed_hex
@@ -56,9 +58,14 @@ def sync_merchants(
     """One run: what is newer than the table, conformed and merged into it.
 
     The watermark is the one committed with the table's current version, so rows and
-    watermark move together.
+    watermark move together. The lenient casts are counted by the write that stages the
+    increment; a load that was committed before stages nothing.
     """
+    repeated = table.find(load_id) is not None
     version = table.current()
     watermark = version.watermark if version else None
     fresh = extract_increment(source, UPDATED_AT, watermark, first_load, overlap)
-    return upsert_latest(table, MERCHANT.apply(fresh), [UPDATED_AT], load_id, watermark=UPDATED_AT)
+    losses = Observation()
+    rows = MERCHANT.apply(fresh.observe(losses, *MERCHANT.cast_losses(fresh.schema)))
+    result = upsert_latest(table, rows, [UPDATED_AT], load_id, watermark=UPDATED_AT)
+    return result if repeated else replace(result, lost=losses.get)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from contextlib import ExitStack
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation
@@ -20,10 +20,13 @@ from tablesync.sources.versions import VersionedTable
 
 @dataclass(frozen=True)
 class UpsertResult:
+    """What a load did. ``lost`` counts values that a lenient mapping turned into NULL."""
+
     published: bool
     row_count: int
     rejected: int
     touched_buckets: int
+    lost: Mapping[str, int] = field(default_factory=dict)
 
 
 NOTHING = UpsertResult(False, 0, 0, 0)

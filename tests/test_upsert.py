@@ -257,9 +257,16 @@ def test_merchant_sync_over_three_days(spark, tmp_path):
     table = new_table(spark, tmp_path, key=merchant.KEY)
     with pytest.raises(ValueError, match="full load"):
         merchant.sync_merchants(source, table, "day-0")
+    previous = "1900-01-01"
     for n, mark in enumerate(["1997-01-01", "2000-01-01", "2100-01-01"]):
         part = source.where(F.col("mt_update_dt") <= F.lit(mark).cast("timestamp_ntz"))
-        merchant.sync_merchants(part, table, f"day-{n}", first_load=n == 0)
+        result = merchant.sync_merchants(part, table, f"day-{n}", first_load=n == 0)
+        lost = part.where(F.col("mrch_sales_manager_key").try_cast("bigint").isNull())
+        fresh = lost.where(F.col("mt_update_dt") > F.lit(previous).cast("timestamp_ntz"))
+        assert result.lost["lost_sales_manager_key"] == fresh.count() > 0
+        assert result.lost["lost_mrch_show_pdp"] == 0
+        assert merchant.sync_merchants(part, table, f"day-{n}").lost == {}
+        previous = table.current().watermark
     whole = latest(merchant.MERCHANT.apply(source), merchant.KEY, [merchant.UPDATED_AT])
     assert fetch(table.read()) == fetch(whole)
     assert not merchant.sync_merchants(source, table, "day-3").published
