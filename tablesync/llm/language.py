@@ -44,8 +44,9 @@ KEEP_SHARE = 0.5
 #: A word counts as so many independent n-grams; the score of a language that does not use its script.
 WORD_SCALE = 4.0
 FOREIGN = -50.0
-#: Words labelled together.
-BLOCK = 1_000_000
+#: Texts and words labelled together.
+ROWS = 512
+BLOCK = 300_000
 SPANS = pa.list_(pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()), ("lang", pa.string())]))
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -208,6 +209,13 @@ def _labelled(found: list[list[str]], model: Model) -> tuple[list[str], list[flo
     return predicted, score, spans
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, ROWS at a time: texts become Python strings a few at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _joined(texts: list[str | None], model: Model) -> tuple[list[str], list[float], list[list[dict]]]:
     parts = list(label_texts(texts, model))
     return tuple(list(chain.from_iterable(p[k] for p in parts)) for k in range(3))
@@ -220,7 +228,7 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
     counts words as runs of letters, from 0.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             predicted, score, spans = _joined(batch.column("text").to_pylist(), model)
             others = batch.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays(
@@ -253,7 +261,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(docs)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             predicted, score, _ = _joined(batch.column("text").to_pylist(), model)
             yield batch.filter(pa.array([p != "und" and s >= KEEP_SHARE for p, s in zip(predicted, score)], pa.bool_()))
 
