@@ -11,10 +11,12 @@ followed in the order of time and dropped once they pass the latest component of
 
 Bands of ROWS components put documents into buckets. Equal multisets are one node. In a bucket
 every node is compared with the smallest one (a second time with another centre where a bucket
-still holds several classes), links join nodes to classes, and what is left between different
-classes of a bucket is compared pair by pair, so no link between classes that share a bucket
-is lost. A pair at similarity 0.8 shares a bucket with probability above 0.99998. Every link
-is verified by the exact overlap of the multisets.
+still holds several classes), and links join nodes to classes. What is left between different
+classes of a bucket is compared inside tasks, by blocks: a bucket is dealt into parts of about
+PART nodes, a task gets two parts, counts shared elements by matrix products, and returns
+only links that join classes, fewer than it has nodes. No pairs are written out, no task holds
+a whole bucket, and no link between nodes that share a bucket is lost. A pair at similarity
+0.8 shares a bucket with probability above 0.99998. Every link is an exact overlap of multisets.
 
 Defined results: null texts and texts without words are classes of their own; a text of fewer
 than five words is one shingle; rows alike in id and text fall into one class; an empty table
@@ -38,9 +40,13 @@ ROWS = 6
 BANDS = 36
 COMPONENTS = ROWS * BANDS
 WORD = re.compile(r"\w+")
-#: Shingles whose processes are followed together, and words a task remembers the hash of.
-BLOCK = 400_000
-REMEMBERED = 1_000_000
+#: Shingles whose processes are followed together.
+BLOCK = 200_000
+#: Nodes per part of a bucket, and elements per matrix product.
+PART = 1024
+COLUMNS = 4096
+#: Words that a task remembers the hash of.
+REMEMBERED = 250_000
 
 carried(__name__)
 
@@ -99,6 +105,8 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], m: int = COMPONENTS) -
         key = _mixed(element[in_it] + np.array([block], np.uint64) * _GOLDEN)
         starts.append((owner[in_it], key, (weight[in_it] - low) / width, np.full(len(in_it), width)))
         low, width, block = low + width, max(1.0, low + width), block + 1
+    if not starts:
+        return h
     doc, key, part, rate = (np.concatenate(x) for x in zip(*starts))
     time = np.zeros(len(doc))
     flat, latest = h.reshape(-1), np.full(len(bags), np.inf)
@@ -207,19 +215,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     compared = saved(verified(_with_centre(buckets, F.col("node")), texts), "compared")
     links = compared.where(F.col("similarity") >= similarity).select("a", "b")
     classes = components(links)
-    for turn in (1, 2):
+    open_buckets = saved(_several(buckets, classes), "open")
+    if not open_buckets.isEmpty():  # another centre for what is open, then the rest by blocks
+        pairs = _with_centre(open_buckets, F.xxhash64("node")).join(compared, ["a", "b"], "left_anti")
+        links = saved(links.union(verified(pairs, texts).where(F.col("similarity") >= similarity).select("a", "b")), "links")
+        classes = components(links)
         open_buckets = saved(_several(buckets, classes), "open")
-        if open_buckets.isEmpty():
-            break
-        if turn == 1:  # another centre for what is open
-            pairs = _with_centre(open_buckets, F.xxhash64("node"))
-        else:  # the rest, pair by pair, between different classes only
-            other = open_buckets.select("bucket", F.col("node").alias("b"), F.col("class").alias("class_b"))
-            pairs = open_buckets.join(other, "bucket").where("class < class_b").select(
-                F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-        new = pairs.join(compared, ["a", "b"], "left_anti")
-        compared = saved(compared.union(verified(new, texts)), "compared")
-        classes = components(compared.where(F.col("similarity") >= similarity).select("a", "b"))
+        if not open_buckets.isEmpty():
+            classes = components(links.union(_between_classes(open_buckets, texts, similarity)))
     named_class = saved(nodes.select("name", "node").join(classes.select("node", "class"), "node", "left").select(
         "name", F.coalesce("class", "node").alias("class")), "classes")
     of_row = signed.select("row", F.hex("digest").alias("name")).distinct().join(named_class, "name", "left")
@@ -229,6 +232,72 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         "row", "doc_id", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
+def elements(bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A multiset as a set: a hash for the first, second and further occurrence of a shingle."""
+    hashes, counts = bag
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return _mixed(np.repeat(hashes, counts) + nth.astype(np.uint64) * _GOLDEN)
+
+
+def shared_elements(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of one list shares with each of the other."""
+    _, column, n = np.unique(np.concatenate(one + other), return_inverse=True, return_counts=True)
+    several = n > 1
+    place = (np.cumsum(several) - 1)[column]
+    owner = np.repeat(np.arange(len(one) + len(other)), [len(x) for x in one + other])
+    order = np.flatnonzero(several[column])
+    order = order[np.argsort(place[order], kind="stable")]
+    place, owner = place[order], owner[order]
+    total = np.zeros((len(one), len(other)), np.float32)
+    for start in range(0, int(several.sum()), COLUMNS):
+        lo, hi = np.searchsorted(place, [start, start + COLUMNS])
+        table = np.zeros((len(one) + len(other), COLUMNS), np.float32)
+        table[owner[lo:hi], place[lo:hi] - start] = 1
+        total += table[:len(one)] @ table[len(one):].T
+    return total
+
+
+def _block(similarity: float):
+    """Links between the two parts of a bucket that join classes; a part may be met with itself."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        hashes = WordHashes()
+        sets = [elements(multiset(text, hashes)) for text in rows["text"]]
+        first, second = int(rows["one"].iloc[0]), int(rows["two"].iloc[0])
+        part, node, group = rows["part"].to_numpy(), rows["node"].to_numpy(), rows["class"].to_numpy()
+        a, b = np.flatnonzero(part == first), np.flatnonzero(part == second)
+        if not len(a) or not len(b):
+            return pd.DataFrame({"a": node[:0], "b": node[:0]})
+        size = np.array([len(x) for x in sets], np.float32)
+        shared = shared_elements([sets[i] for i in a], [sets[i] for i in b])
+        near = shared >= similarity * (size[a][:, None] + size[b][None, :] - shared) - 1e-3
+        near &= group[a][:, None] != group[b][None, :]
+        links, top = [], {}
+
+        def find(x: int) -> int:
+            while top.setdefault(x, x) != x:
+                x = top[x]
+            return x
+
+        for i, j in np.argwhere(near).tolist():
+            x, y = find(int(group[a[i]])), find(int(group[b[j]]))
+            if x != y:
+                top[x] = y
+                links.append((int(node[a[i]]), int(node[b[j]])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _between_classes(open_buckets: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join classes, from every bucket of ``open_buckets`` (bucket, node, class)."""
+    parts = open_buckets.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(PART)).alias("parts"))
+    dealt = open_buckets.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
+        "bucket", "node", "class", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
+    return met.join(texts.select("node", "text"), "node").groupBy("bucket", "one", "two").applyInPandas(
+        _block(similarity), "a long, b long")
+
+
 def _with_centre(buckets: DataFrame, rank) -> DataFrame:
     """Pairs (a, b), the smaller node first, of each node with the node of its bucket that ranks lowest."""
     centre = buckets.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), F.col("node"))).alias("top"))
