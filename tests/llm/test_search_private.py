@@ -1,0 +1,156 @@
+"""Decontamination, Hamming search and surrogates: SQL, brute force, hot groups, edge cases."""
+
+import random
+import re
+from collections import defaultdict
+
+from tablesync.llm import decontaminate as dc
+from tablesync.llm import hamming, surrogates
+from tests.compare import differences, open_tables
+
+SF = "/root/testdata/sf0.01"
+DOC = "doc_id long, text string"
+ITEM = "item_id long, text string"
+
+
+def test_decontamination_matches_sql(spark):
+    assert differences(dc.op6(spark, SF), open_tables(SF), dc.ORACLE) is None
+
+
+def runs(text):
+    w = re.findall(r"\w+", (text or "").lower())
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+
+def pairs(spark, docs, items):
+    got = dc.contained(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, ITEM))
+    return sorted(((r["doc_id"], r["item_id"], r["n_shared"], r["n_item"]) for r in got.collect()), key=repr)
+
+
+def test_scattered_items_in_long_documents(spark):
+    rng = random.Random(1)
+    items = [(i, " ".join(f"w{rng.randint(0, 30)}" for _ in range(rng.randint(3, 60)))) for i in range(25)]
+    docs = []
+    for d in range(40):
+        words = [f"w{rng.randint(0, 30)}" for _ in range(rng.randint(0, 800))]
+        for _, text in rng.sample(items, 2):
+            part = text.split()
+            cut = rng.randint(0, max(1, len(part) // 3))
+            at = rng.randint(0, len(words))
+            words[at:at] = part[cut:]
+        docs.append((d, ", ".join(words).title()))
+    want = sorted(((d, i, len(runs(t) & runs(u)), len(runs(u))) for d, t in docs for i, u in items
+                   if runs(u) and len(runs(t) & runs(u)) >= 0.8 * len(runs(u)) - 1e-9), key=repr)
+    assert want and pairs(spark, docs, items) == want
+
+
+def test_decontamination_edge_cases(spark):
+    item = "one two three four five six"
+    docs = [(1, None), (2, ""), (3, item), (3, item), (None, "x " + item), (4, "one two three four five"), (5, "one two")]
+    items = [(7, item), (8, item), (9, None), (10, ""), (11, "one two"), (None, item)]
+    got = pairs(spark, docs, items)
+    assert got == sorted([(d, i, 2, 2) for d in (3, None) for i in (7, 8, None)], key=repr)
+    assert pairs(spark, docs, []) == [] and pairs(spark, [], items) == []
+
+
+def test_a_third_of_the_documents_hold_one_item(spark):
+    item = "a very common benchmark passage that many documents share in full"
+    docs = [(i, f"{i} {item} {i}" if i % 3 == 0 else f"clean text number {i} with some words of its own") for i in range(900)]
+    assert {d for d, *_ in pairs(spark, docs, [(1, item)])} == {i for i in range(900) if i % 3 == 0}
+
+
+def test_the_stage_drops_leaks_only(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    leaks = {r["doc_id"] for r in dc.op6(spark, SF).collect()}
+    kept = dc.stage(spark, docs, SF)
+    assert kept.schema == docs.schema
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()} - leaks
+
+
+def test_search_matches_sql(spark):
+    assert differences(hamming.op5(spark, SF), open_tables(SF), hamming.ORACLE) is None
+
+
+def brute(rows, k=hamming.K):
+    out = []
+    for q, a in rows:
+        if q is None or q % 100:
+            continue
+        near = sorted((sum((x > 0) != (y > 0) for x, y in zip(a, b)), v) for v, b in rows if v is not None)
+        out += [(q, r, v, d) for r, (d, v) in enumerate(near[:k], 1)]
+    return sorted(out)
+
+
+def found(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, code string, ids int")
+    return sorted(tuple(r) for r in hamming.search(df, df["vec_id"] % 100 == 0).collect())
+
+
+def test_search_against_brute_force(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(24)]) for i in range(500)]
+    rows += [(1000 + i, rows[200][1]) for i in range(300)]  # a code that a third of all rows share
+    assert found(spark, [(*r, "x", 1) for r in rows]) == brute(rows)
+
+
+def test_search_edge_cases(spark):
+    assert found(spark, []) == []
+    rows = [(0, [1.0, -1.0]), (1, [1.0, 1.0]), (2, None), (3, [1.0]), (None, [1.0, 1.0]), (100, [float("nan"), 0.0])]
+    got = found(spark, [(*r, "x", 1) for r in rows])
+    assert got == [(0, 1, 0, 0), (0, 2, 100, 0), (0, 3, 1, 1), (100, 1, 0, 0), (100, 2, 100, 0), (100, 3, 1, 1)]
+
+
+def replaced(spark, rows):
+    df = spark.createDataFrame(rows, DOC + ", entities2 string")
+    return {r["doc_id"]: r for r in surrogates.pseudonymised(df).collect()}
+
+
+def test_surrogates_keep_type_and_format(spark):
+    text = ("Mail jo.doe@corp.org or +1 (017) 555-7713, card 4111 1111 1111 1111 and 4111111111111111, "
+            "host 203.0.113.9, SSN 123-45-6789, token = \"04DBEBAB91AB85687D33EEAAF9AC699E1188F962\". "
+            "Mr. John Smith met Frau Müller. Release 2.0. of 1234 items.")
+    got = replaced(spark, [(1, text, "x")])[1]
+    new = got["text"]
+    for secret in ("jo.doe", "555-7713", "1111 1111", "203.0.113.9", "123-45", "04DBE", "John", "Smith", "Müller"):
+        assert secret not in new
+    assert re.search(r"Mail [a-z]{2}\.[a-z]+@example\.com or \+1 \(\d{3}\) \d{3}-\d{4}, card (\d{4} \d{4} \d{4} \d{4}) and (\d{16}), ", new)
+    spaced, plain = re.search(r"card ([\d ]+) and (\d+)", new).groups()
+    assert spaced.replace(" ", "") == plain and surrogates.luhn(plain)
+    assert re.search(r'token = "[0-9A-F]{40}"\. Mr\. [A-Z][a-z]+ [A-Z][a-z]+ met Frau [A-Z]', new)
+    assert new.endswith("Release 2.0. of 1234 items.")
+    assert [new[e["start"]:e["end"]] in new for e in got["entities"]] == [True] * 9
+
+
+def test_coreference_and_distinctness(spark):
+    rows = [(i, f"from 10.{i // 250}.{i % 250}.7 and Herr {chr(65 + i % 26)}{'abcdefghij'[i // 26 % 10]}x said", "x") for i in range(400)]
+    rows += [(1000 + i, rows[i][1], "y") for i in range(50)]
+    got = replaced(spark, rows)
+    to = defaultdict(set)
+    for doc, text, _ in rows:
+        for a, b, kind in surrogates.find(text):
+            to[kind, text[a:b]].add(None)
+        ip, name = re.search(r"from (\S+) and Herr (.+) said", got[doc]["text"]).groups()
+        old_ip, old_name = re.search(r"from (\S+) and Herr (.+) said", text).groups()
+        to["ip", old_ip].add(ip)
+        to["man", old_name].add(name)
+    new = defaultdict(list)
+    for (kind, old), names in to.items():
+        names.discard(None)
+        assert len(names) == 1
+        new[kind].append(names.pop())
+    originals = {old for _, old in to}
+    for kind, names in new.items():
+        assert len(set(names)) == len(names) and not set(names) & originals
+
+
+def test_surrogate_edge_cases(spark):
+    rows = [(1, None, "x"), (2, "", "x"), (3, "no entity", None), (None, "a@b.example", "x"), (4, "a@b.example " * 5000, "x")]
+    got = replaced(spark, rows)
+    assert got[1]["text"] is None and got[2]["text"] == "" and got[3]["text"] == "no entity"
+    assert got[4]["text"] == (got[None]["text"] + " ") * 5000 and len(got[4]["entities"]) == 5000
+    assert replaced(spark, []) == {}
+
+
+def test_another_key_gives_other_surrogates():
+    one, two = (surrogates.surrogate("phone", "15551234567", 0, k) for k in (b"a", b"b"))
+    assert one != two and one == surrogates.surrogate("phone", "15551234567", 0, b"a") and len(one) == 11
