@@ -37,8 +37,14 @@ def to_int64(column: Column, dtype: T.DataType) -> Column:
     return column.cast("bigint")
 
 
-def convert(column: Column, to_type: str, lenient: bool) -> Column:
-    """Cast that raises on bad input, or gives NULL when ``lenient``."""
+def convert(column: Column, to_type: str, lenient: bool, dtype: T.DataType | None = None) -> Column:
+    """Cast that raises on bad input, or gives NULL when ``lenient``.
+
+    Lenient casts of text to bigint, where ``dtype`` tells that it is text, cut the fraction
+    off, as casts of numbers do; what does not fit is NULL.
+    """
+    if lenient and to_type == "bigint" and isinstance(dtype, T.StringType):
+        return column.try_cast("decimal(38,10)").try_cast("bigint")
     return column.try_cast(to_type) if lenient else column.cast(to_type)
 
 

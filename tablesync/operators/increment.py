@@ -7,7 +7,7 @@ partition column.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, time
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,9 @@ from tablesync.operators.mapping import quoted
 
 Point = str | date | datetime
 
+#: Text that names a zone after a time of day: Z, an offset or a zone's name.
+ZONE = r"\d{1,2}:\d{2}.*(?:[A-Za-z]|[+-]\d{1,2}(?::?\d{2}){0,2})\s*$"
+
 UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
@@ -37,14 +40,16 @@ def between(df: DataFrame, column: str, low: Point | None, high: Point | Column,
     """Rows with ``low < column < high``; ``closed`` is neither, low, high or both.
 
     ``low=None`` leaves the lower end open to everything. ``high`` may be an expression.
+    A date lies before a bound with a time of day on the same date, and not at or after it.
     """
     if closed not in ("neither", "low", "high", "both"):
         raise ValueError(f"closed={closed!r}")
     value, upper = _sides(df, column, high)
-    test = value <= upper if closed in ("high", "both") else value < upper
+    cut_high, cut_low = _loses_time(df, column, high), _loses_time(df, column, low)
+    test = value <= upper if closed in ("high", "both") or cut_high else value < upper
     if low is not None:
         _, lower = _sides(df, column, low)
-        test &= value >= lower if closed in ("low", "both") else value > lower
+        test &= value >= lower if closed in ("low", "both") and not cut_low else value > lower
     return df.where(test)
 
 
@@ -88,15 +93,35 @@ def yesterday(as_of: Point) -> Column:
     return F.date_sub(F.lit(literal_text(as_of)).cast("date"), 1)
 
 
+def without_point(df: DataFrame, column: str) -> Column:
+    """Rows that no watermark can ever load: no value, or text that is no point in time."""
+    return _comparable(df, column)[0].isNull()
+
+
 def _comparable(df: DataFrame, column: str) -> tuple[Column, T.DataType]:
-    """The column as it is compared, and its type. Text counts as timestamps."""
+    """The column as it is compared, and its type.
+
+    Text counts as timestamps: a zone in it is turned into UTC, as in the bounds, and text
+    without a zone is UTC.
+    """
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.StringType):
         dtype = T.TimestampNTZType()
-        return quoted(column).try_cast(dtype), dtype
+        text = quoted(column)
+        zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+        zoned = text.rlike(ZONE)
+        moment = F.convert_timezone(F.lit(zone), F.lit("UTC"), text.try_cast("timestamp").cast(dtype))
+        return F.when(zoned, moment).otherwise(text.try_cast(dtype)), dtype
     return quoted(column), dtype
 
 
+def _loses_time(df: DataFrame, column: str, bound: Point | Column | None) -> bool:
+    """Whether a bound has a time of day and the column, a date, has none."""
+    if bound is None or isinstance(bound, Column) or not isinstance(df.schema[column].dataType, T.DateType):
+        return False
+    return datetime.fromisoformat(literal_text(bound)).time() != time()
+
+
 def _sides(df: DataFrame, column: str, bound: Point | Column) -> tuple[Column, Column]:
     value, dtype = _comparable(df, column)
     limit = bound if isinstance(bound, Column) else F.lit(literal_text(bound))

@@ -34,12 +34,13 @@ class MappedColumn:
     def only_renames(self) -> bool:
         return self.cast is None and self.using is None
 
-    def value(self) -> Column:
+    def value(self, dtype: T.DataType | None = None) -> Column:
+        """The target column; ``dtype`` is the type of the source column."""
         column = quoted(self.source)
         if self.using is not None:
             column = self.using(column)
         if self.cast is not None:
-            column = convert(column, self.cast, self.lenient)
+            column = convert(column, self.cast, self.lenient, None if self.using else dtype)
         return column.alias(self.name)
 
 
@@ -67,7 +68,7 @@ class ColumnMap:
             if entry is None and not self.passthrough:
                 continue
             names.append(entry.name if entry else source)
-            projection.append(entry.value() if entry else quoted(source))
+            projection.append(entry.value(schema[source].dataType) if entry else quoted(source))
         for name, value in self.derived.items():
             names.append(name)
             projection.append(value().alias(name))
@@ -86,10 +87,12 @@ class ColumnMap:
         projection in the pass that writes it.
         """
         losses = []
-        for entry in self._matched(schema).values():
+        types = {f.name.lower(): f.dataType for f in schema.fields}
+        for source, entry in self._matched(schema).items():
             if entry.cast is not None and entry.lenient:
                 before = entry.using(quoted(entry.source)) if entry.using else quoted(entry.source)
-                lost = before.isNotNull() & before.try_cast(entry.cast).isNull()
+                dtype = None if entry.using else types[source]
+                lost = before.isNotNull() & convert(before, entry.cast, True, dtype).isNull()
                 losses.append(F.count_if(lost).alias(f"lost_{entry.name}"))
         return losses
 

@@ -20,5 +20,6 @@ def backup_installs(
     load_id: str,
     low: Point | None = None,
     first_load: bool = False,
+    closed: str = "neither",
 ) -> BackupResult:
-    return backup_window(source, sink, DAY, as_of, registry, NAME, load_id, low, first_load)
+    return backup_window(source, sink, DAY, as_of, registry, NAME, load_id, low, first_load, closed)

@@ -15,7 +15,7 @@ from tablesync.operators.latest import has_key, last_of_each, latest, without_ke
 from tablesync.operators.mapping import union_rows
 from tablesync.sources.files import drop_if_exists
 from tablesync.sources.tables import overwrite, scan_parquet
-from tablesync.sources.versions import VersionedTable
+from tablesync.sources.versions import VersionedTable, bucket_bitmaps, buckets_in
 
 
 @dataclass(frozen=True)
@@ -122,11 +122,11 @@ def _stage(table: VersionedTable, increment: DataFrame, path: str, watermark: st
         seen,
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(~keyed).alias("rejected"),
-        F.collect_set(F.when(keyed, table.bucket_of())).alias("buckets"),
+        *bucket_bitmaps(F.when(keyed, table.bucket_of()), table.n_buckets),
         mark.alias("watermark"),
     )
     overwrite(measured, path)
-    return scan_parquet(table.spark, path, increment.schema), seen.get
+    return scan_parquet(table.spark, path, increment.schema), {**seen.get, "buckets": buckets_in(seen.get)}
 
 
 def _later(one: str | None, other: str | None) -> str | None:

@@ -41,11 +41,23 @@ def size_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
 
 
-def drop_other_loads(spark: SparkSession, path: str, keep: Collection[str]) -> int:
-    """Drop the ``load_id=...`` directories whose load is not among those to keep."""
+def loads_in(spark: SparkSession, path: str) -> list[str]:
+    """The loads that have a ``load_id=...`` directory here."""
+    fs, target = _open(spark, path)
+    names = [entry.getPath().getName() for entry in fs.listStatus(target)] if fs.exists(target) else []
+    return [name.removeprefix(LOAD) for name in names if name.startswith(LOAD)]
+
+
+def drop_others(spark: SparkSession, path: str, prefix: str, keep: Collection[str]) -> int:
+    """Drop the directories named ``prefix`` and something that is not among those to keep."""
     fs, target = _open(spark, path)
     if not fs.exists(target):
         return 0
     found = [entry.getPath().getName() for entry in fs.listStatus(target)]
-    loads = [name.removeprefix(LOAD) for name in found if name.startswith(LOAD)]
-    return sum(drop_if_exists(spark, f"{path}/{LOAD}{load}") for load in set(loads) - set(keep))
+    names = {name.removeprefix(prefix) for name in found if name.startswith(prefix)}
+    return sum(drop_if_exists(spark, f"{path}/{prefix}{name}") for name in names - set(keep))
+
+
+def drop_other_loads(spark: SparkSession, path: str, keep: Collection[str]) -> int:
+    """Drop the ``load_id=...`` directories whose load is not among those to keep."""
+    return drop_others(spark, path, LOAD, keep)

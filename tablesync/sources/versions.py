@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.mapping import quoted
-from tablesync.sources.files import drop_if_exists, drop_other_loads, exists
+from tablesync.sources.files import drop_if_exists, drop_other_loads, drop_others, exists, loads_in
 from tablesync.sources.tables import empty, gathered, one_row, scan_parquet
 
 BUCKET = "bucket"
+#: Bits of Spark's bitmap aggregates.
+BITMAP = 32768
 MANAGE_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
 
 COMMIT_SCHEMA = T.StructType([
@@ -68,9 +70,20 @@ class Commit:
 
 
 class VersionedTable:
-    """``key`` and ``n_buckets`` are fixed when the first version is published."""
-
-    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], n_buckets: int) -> None:
+    """``key`` and ``n_buckets`` are fixed by the first version; ``rebucket`` changes the number.
+
+    ``database`` is where Spark's catalogue holds the passing tables of a load; ``retire``
+    drops those that a killed driver has left there.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, key: Sequence[str], n_buckets: int,
+        database: str = "spark_catalog.default",
+    ) -> None:
+        most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        if not 1 <= n_buckets <= most:
+            raise ValueError(f"{n_buckets} buckets: spark.sql.sources.bucketing.maxBuckets allows 1 to {most}")
+        self.database = database
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = list(key)
@@ -135,9 +148,9 @@ class VersionedTable:
         before a union would make Spark lose sight of the partitioning.
         """
         session = session or self.spark
-        name = _passing_name()
+        name = self._passing_name()
         fields = [*commit.schema.fields, *new_columns]
-        columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in fields)
+        columns = ", ".join(f"{_quote(f.name)} {_type(f.dataType)}" for f in fields)
         keys = ", ".join(_quote(k) for k in self.key)
         session.sql(
             f"CREATE TABLE {name} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
@@ -186,12 +199,27 @@ class VersionedTable:
     # publishing
 
     def publish(self, load_id: str, rows: DataFrame, watermark: str | None = None) -> Commit:
-        """Make ``rows`` the table."""
+        """Make ``rows`` the table, and ``watermark`` its watermark: none, unless one is given."""
         done = self.find(load_id)
         if done is not None:
             return done
         rows = gathered(self.placed(rows), BUCKET)
-        return self.publish_placed(load_id, rows, self.current(), watermark=watermark)
+        return self.publish_placed(load_id, rows, self.current(), watermark=watermark, keep_watermark=False)
+
+    def rebucket(self, load_id: str, n_buckets: int) -> VersionedTable:
+        """The same rows in another number of buckets: one shuffle, one version.
+
+        Returns the table as it is from then on; this object can no longer read it.
+        """
+        table = VersionedTable(self.spark, self.path, self.key, n_buckets, self.database)
+        if exists(self.spark, f"{self.path}/commits/load_id={check_name(load_id)}") and table.find(load_id):
+            return table
+        before = self.current()
+        if before is None:
+            raise ValueError(f"{self.path}: nothing has been published")
+        rows = gathered(table.placed(self.read_version(before)), BUCKET)
+        table.publish_placed(load_id, rows, before, unique_keys=before.unique_keys)
+        return table
 
     def replace(self, load_id: str, change: Callable[[DataFrame], DataFrame], row_by_row: bool = False) -> Commit:
         """Replace the table by a query over itself.
@@ -222,6 +250,7 @@ class VersionedTable:
         watermark: str | None = None,
         row_count: int | None = None,
         unique_keys: bool = False,
+        keep_watermark: bool = True,
     ) -> Commit:
         """Write ``placed`` rows from where they are. They become the table, or the
         ``replaces`` buckets of it, after the version ``before``.
@@ -242,7 +271,7 @@ class VersionedTable:
             seq=before.seq + 1 if before else 1,
             buckets=buckets,
             schema=T.StructType([T.StructField(f.name, f.dataType) for f in rows.drop(BUCKET).schema.fields]),
-            watermark=watermark or (before.watermark if before else None),
+            watermark=watermark or (before.watermark if before and keep_watermark else None),
             row_count=written["row_count"] if row_count is None else row_count,
             unique_keys=unique_keys,
         )
@@ -250,25 +279,47 @@ class VersionedTable:
         return commit
 
     def retire(self, keep: int = 1) -> int:
-        """Drop the buckets that none of the last ``keep`` versions uses, and whatever
-        loads that died have left behind.
+        """Drop the buckets that none of the last ``keep`` versions uses, whatever loads
+        that died have left behind, and the control rows of the versions before.
 
-        Call it between loads, when no reader of an older version is left.
+        Call it between loads, when no reader of an older version is left and no retired
+        load will be tried again. Returns how many bucket directories were dropped. A table
+        without versions is left alone.
         """
-        oldest = self.commits().orderBy(F.desc("seq")).limit(keep).agg(F.min("seq")).first()[0]
-        entries = self.commits().select(
-            "seq", F.explode(F.from_json("buckets", "map<string, string>")).alias("bucket", "load")
+        if keep < 1:
+            raise ValueError(f"keep={keep}: the current version cannot be retired")
+        if not exists(self.spark, f"{self.path}/commits"):
+            return 0
+        kept = self.commits().orderBy(F.desc("seq")).limit(keep).select("seq", "load_id", "buckets").collect()
+        if not kept:
+            return 0
+        in_use: dict[str, set[str]] = {}
+        for row in kept:
+            for bucket, load in json.loads(row["buckets"]).items():
+                in_use.setdefault(load, set()).add(bucket)
+        drop_other_loads(self.spark, f"{self.path}/commits", {row["load_id"] for row in kept})
+        data = f"{self.path}/data"
+        dropped = sum(
+            drop_others(self.spark, f"{data}/load_id={load}", f"{BUCKET}=", in_use.get(load, ()))
+            for load in loads_in(self.spark, data)
         )
-        last_use = entries.groupBy("load", "bucket").agg(F.max("seq").alias("seq"))
-        held = last_use.select("load", "bucket", (F.col("seq") >= oldest).alias("used")).collect()
-        in_use = {row["load"] for row in held if row["used"]}
-        unused = [row for row in held if not row["used"]]
-        drop_other_loads(self.spark, f"{self.path}/data", in_use)
+        drop_other_loads(self.spark, data, in_use)
         drop_other_loads(self.spark, f"{self.path}/staging", ())
-        for row in unused:
-            if row["load"] in in_use:
-                drop_if_exists(self.spark, self._directory(row["load"], row["bucket"]))
-        return len(unused)
+        self._sweep_catalogue()
+        return dropped
+
+    def _sweep_catalogue(self) -> None:
+        """Drop the passing tables over this table's files that a killed driver has left."""
+        here = f"{self.path}/data"
+        for row in self.spark.sql(f"SHOW TABLES IN {self.database} LIKE 'tablesync_*'").collect():
+            name = f"{self.database}.{row['tableName']}"
+            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+            if described is not None and re.sub("^[a-z]+:/*", "/", described["data_type"]).startswith(
+                    re.sub("^[a-z]+:/*", "/", here)):
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def _passing_name(self) -> str:
+        return f"{self.database}.tablesync_{uuid.uuid4().hex}"
 
     def _directory(self, load_id: str, bucket: int | str) -> str:
         return f"{self.path}/data/load_id={load_id}/{BUCKET}={bucket}"
@@ -276,12 +327,12 @@ class VersionedTable:
     def _write_rows(self, load_id: str, rows: DataFrame) -> dict:
         path = f"{self.path}/data/load_id={load_id}"
         drop_if_exists(self.spark, path)
-        name = _passing_name()
+        name = self._passing_name()
         seen = Observation()
         counted = rows.observe(
             seen,
             F.count(F.lit(1)).alias("row_count"),
-            F.collect_set(BUCKET).alias("buckets"),
+            *bucket_bitmaps(F.col(BUCKET), self.n_buckets),
         )
         try:
             with _unlisted_partitions(rows.sparkSession):
@@ -294,7 +345,7 @@ class VersionedTable:
                 )
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        return seen.get
+        return {"row_count": seen.get["row_count"], "buckets": buckets_in(seen.get)}
 
     def _write_commit(self, commit: Commit) -> None:
         row = one_row(self.spark, COMMIT_SCHEMA, {
@@ -330,8 +381,29 @@ class VersionedTable:
 
 
 def buckets_for(total_bytes: int, bucket_bytes: int = 1 << 30) -> int:
-    """Buckets for a table of this size on disk, few enough to list in one control row."""
-    return min(16384, max(8, math.ceil(total_bytes / bucket_bytes)))
+    """Buckets for a table of this size on disk. A table refuses more than Spark's own limit."""
+    return max(1, math.ceil(total_bytes / bucket_bytes))
+
+
+def bucket_bitmaps(bucket: Column, n_buckets: int) -> list[Column]:
+    """Aggregates that tell which buckets occur: a bitmap of fixed size per 32,768 buckets.
+
+    Tasks send 4 KB each however many rows and buckets they see; NULL is no bucket.
+    """
+    return [
+        F.bitmap_construct_agg(F.when(F.floor(bucket / BITMAP) == n, bucket % BITMAP)).alias(f"buckets_{n}")
+        for n in range(-(-n_buckets // BITMAP))
+    ]
+
+
+def buckets_in(measured: dict) -> list[int]:
+    """The buckets that ``bucket_bitmaps`` found."""
+    found = []
+    for name, bitmap in measured.items():
+        if name.startswith("buckets_") and bitmap is not None:
+            first = int(name.removeprefix("buckets_")) * BITMAP
+            found += [first + 8 * i + k for i, byte in enumerate(bitmap) if byte for k in range(8) if byte >> k & 1]
+    return sorted(found)
 
 
 def check_name(name: str) -> str:
@@ -352,14 +424,21 @@ def _unlisted_partitions(session: SparkSession) -> Iterator[None]:
         session.conf.set(MANAGE_PARTITIONS, before)
 
 
-def _passing_name() -> str:
-    return f"spark_catalog.default.tablesync_{uuid.uuid4().hex}"
-
-
 def _as_text(commits: DataFrame) -> DataFrame:
     return commits.withColumn("watermark", F.col("watermark").cast("string"))
 
 
+def _type(dtype: T.DataType) -> str:
+    """A type as DDL, with the names of nested fields quoted."""
+    if isinstance(dtype, T.StructType):
+        return f"STRUCT<{', '.join(f'{_quote(f.name)}: {_type(f.dataType)}' for f in dtype.fields)}>"
+    if isinstance(dtype, T.ArrayType):
+        return f"ARRAY<{_type(dtype.elementType)}>"
+    if isinstance(dtype, T.MapType):
+        return f"MAP<{_type(dtype.keyType)}, {_type(dtype.valueType)}>"
+    return dtype.simpleString()
+
+
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -15,7 +15,8 @@ WINDOW = f"""
 
 TYPED_OFFERS = """
   SELECT snapshot_date AS "SnapshotDate",
-         CAST(replace(CAST(snapshot_date AS VARCHAR), '-', '') AS BIGINT) AS "SnapshotDateKey",
+         CAST(year(snapshot_date) * 10000 + month(snapshot_date) * 100 + day(snapshot_date) AS BIGINT)
+           AS "SnapshotDateKey",
          CAST(merchant_id AS BIGINT) AS "MerchantID", CAST(item_id AS VARCHAR) AS "ArticleNumber",
          CAST(offer_price AS DOUBLE) AS "Price", CAST(offer_id AS BIGINT) AS "OfferID",
          CAST(offer_is_favorite AS BIGINT) AS "IsFavorite", CAST(1 AS BIGINT) AS "IsOffer",
@@ -64,13 +65,13 @@ ORACLE = {
     "drop_column": "SELECT * FROM orders",
     "project_rename": f"""
         WITH {MERCHANT_SRC}
-        SELECT mrch_key, mrch_id AS "mrchID", mt_update_dt, mrch_name AS "mrchName",
+        SELECT mrch_key, mrch_id AS "mrchID", mt_update_dt, mrch_sid, mrch_name AS "mrchName",
                mrch_full_name AS "mrchFullName", mrch_is_test AS mrch_is_test_mrch,
                mrch_activation_date, mrch_forgiveness_dt AS mrch_forgiveness_date,
                mrch_show_pdp, mrch_show_cc,
                mrch_delivery_order_section_enabled AS mrch_is_delivery_order_section_enabled,
                mrch_last_feed_dt AS mrch_last_feed_date, mrch_integration_is_active,
-               mrch_main_category_key, mrch_sales_manager_key,
+               mrch_main_category_key, mrch_sales_manager_key AS sales_manager_key,
                mrch_sales_manager_name AS sales_manager_name, mrch_rating
         FROM merchant_src""",
     "project_cast": f"""
@@ -168,7 +169,7 @@ ORACLE = {
         SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{ORDERS_MARK}'""",
     "scalar_date_key": """
         SELECT l_orderkey, l_linenumber,
-               CAST(replace(CAST(CAST(l_shipdate AS DATE) AS VARCHAR), '-', '') AS BIGINT) AS date_key
+               CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS BIGINT) AS date_key
         FROM lineitem""",
     "scalar_day_diff": f"""
         WITH {OFFERS_SRC}
@@ -181,6 +182,23 @@ ORACLE = {
         WHERE mt_update_dt > (
           SELECT max(mt_update_dt) FROM merchant_src WHERE mt_update_dt <= TIMESTAMP '{ORDERS_MARK}')""",
     "upsert_latest": LATEST_ORDER,
+    "rebucket": LATEST_ORDER,
+    "filter_watermark_text": f"SELECT * FROM events WHERE ts > TIMESTAMP '{EVENTS_MARK}'",
+    "filter_interval_time_bound": f"""
+        WITH {INSTALLS_SRC}
+        SELECT * FROM installs_src
+        WHERE install_date >= TIMESTAMP '2024-01-10 12:00:00' AND install_date < TIMESTAMP '2024-01-20 12:00:00'""",
+    "project_cast_decimal_text": """
+        SELECT o_orderkey, CASE o_orderkey % 3 WHEN 2 THEN NULL
+            ELSE CAST(trunc(o_totalprice) AS BIGINT) * CASE o_orderkey % 3 WHEN 0 THEN -1 ELSE 1 END END AS price
+        FROM orders""",
+    "bounded_backup_partial_source": f"""
+        WITH {INSTALLS_SRC}
+        SELECT * FROM installs_src WHERE install_date < DATE '{AS_OF}' - INTERVAL 1 DAY AND (
+          install_date >= DATE '{EVENTS_MARK[:10]}' - INTERVAL 2 DAY AND install_date < DATE '{EVENTS_MARK[:10]}' - INTERVAL 1 DAY
+          OR install_date >= DATE '{EVENTS_MARK[:10]}' - INTERVAL 1 DAY AND install_date < DATE '{EVENTS_MARK[:10]}' AND event_id % 5 = 0
+          OR install_date >= DATE '{EVENTS_MARK[:10]}'
+          OR install_date < DATE '{EVENTS_MARK[:10]}' - INTERVAL 2 DAY AND event_id % 5 <> 0)""",
     "merchant_sync": f"WITH {CONFORMED} {LATEST_MERCHANT}",
     "bounded_backup": f"""
         WITH {INSTALLS_SRC}

@@ -148,7 +148,9 @@ def drop_column(spark, sf_dir):
 
 @query
 def project_rename(spark, sf_dir):
-    return ColumnMap(merchant.RENAMES).apply(merchant_src(spark, sf_dir).drop("mrch_sid"))
+    """All nine renames over the whole row; nothing is cast."""
+    renames = [MappedColumn(source, target) for source, target in merchant.RENAMED.items()]
+    return ColumnMap(renames).apply(merchant_src(spark, sf_dir))
 
 
 @query
@@ -244,7 +246,11 @@ def gate_nonempty(spark, sf_dir):
 
 @query
 def agg_max_target(spark, sf_dir):
-    return metrics.max_value(merchant_src(spark, sf_dir), "mt_update_dt")
+    """Of a target that was written, as the jobs read it back."""
+    source = merchant_src(spark, sf_dir)
+    path = scratch_dir(spark, "target")
+    tables.overwrite(source, path)
+    return metrics.max_value(tables.scan_parquet(spark, path, source.schema), "mt_update_dt")
 
 
 @query
@@ -376,6 +382,47 @@ def upsert_latest(spark, sf_dir):
     return target.read()
 
 
+@query
+def rebucket(spark, sf_dir):
+    """Two loads, the table dealt into more buckets, and a third load."""
+    target = order_table(spark, sf_dir, "rebucket")
+    source = table(spark, sf_dir, "orders")
+    target.publish("first", up_to(source, "o_orderdate", ORDERS_EARLIER_MARK))
+    second = increment.between(source, "o_orderdate", ORDERS_EARLIER_MARK, ORDERS_MARK, closed="high")
+    upsert(target, second, ["o_orderdate"], "second", ties=["o_orderkey"])
+    target = target.rebucket("wider", 2 * target.n_buckets + 3)
+    third = increment.newer_than(source, "o_orderdate", ORDERS_MARK)
+    upsert(target, third, ["o_orderdate"], "third", ties=["o_orderkey"])
+    target.retire()
+    return target.read()
+
+
+@query
+def filter_watermark_text(spark, sf_dir):
+    """Newer than a watermark by text that is partly local time with its offset."""
+    local = F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 3 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+03:00"))
+    utc = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    source = table(spark, sf_dir, "events").withColumn("at", F.when(F.col("event_id") % 2 == 0, local).otherwise(utc))
+    return increment.newer_than(source, "at", EVENTS_MARK).drop("at")
+
+
+@query
+def filter_interval_time_bound(spark, sf_dir):
+    """Days between bounds that have a time of day."""
+    return increment.between(
+        installs_src(spark, sf_dir), "install_date", "2024-01-10 12:00:00", "2024-01-20 12:00:00", closed="low")
+
+
+@query
+def project_cast_decimal_text(spark, sf_dir):
+    """Numbers in text, with fractions and signs, as bigint: the fraction is cut off."""
+    price = F.col("o_totalprice").cast("decimal(20,2)")
+    text = F.when(F.col("o_orderkey") % 3 == 0, (-price).cast("string")).when(
+        F.col("o_orderkey") % 3 == 1, price.cast("string")).otherwise(F.col("o_orderpriority"))
+    source = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("price"))
+    return ColumnMap([MappedColumn("price", cast="bigint", lenient=True)]).apply(source)
+
+
 @query
 def upsert_hot_key(spark, sf_dir):
     """Two loads in each of which one key has a third of the rows."""
@@ -411,6 +458,19 @@ def merchant_sync(spark, sf_dir):
     return target.read()
 
 
+@query
+def bounded_backup_partial_source(spark, sf_dir):
+    """The last stored day is read again from a source that shows only its late rows."""
+    root = scratch_dir(spark, "backup-partial")
+    registry = Registry(spark, f"{root}/registry")
+    source = installs_src(spark, sf_dir)
+    late = F.col("event_id") % 5 == 0
+    installs.backup_installs(source.where(~late), f"{root}/sink", EVENTS_MARK[:10], registry, "day-1", first_load=True)
+    shown = source.where(late | (F.col("install_date") >= F.lit(EVENTS_MARK[:10]).cast("date")))
+    installs.backup_installs(shown, f"{root}/sink", AS_OF, registry, "day-2", closed="low")
+    return tables.scan_parquet(spark, f"{root}/sink", source.schema)
+
+
 @query
 def bounded_backup(spark, sf_dir):
     """The installs job on two days, the second run twice."""

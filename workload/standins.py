@@ -10,6 +10,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The column names that the jobs' inputs must have.
 def merchant_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     return table(spark, sf_dir, "orders").select(
