@@ -5,7 +5,8 @@ A vector's code has a bit per component, set if it is above zero, and is cut int
 the values at distance 0, then 1, 2 and so on from its own. Once all S segments are searched
 to radius r, every code within S * (r + 1) - 1 is found: a code further than r from the query
 in every segment differs in S * (r + 1) bits. A query ends when its kth distance is within
-that bound; only the others go on to the next radius.
+that bound; only the others go on to the next radius, and keep what is no further than their
+kth distance so far.
 
 Equal codes are one row of the index with their k smallest ids, which is all that a result
 can show of them. Ties go to the smaller id. The query's own row is a row like the others.
@@ -64,27 +65,39 @@ def nearest(index: DataFrame, queries: DataFrame, segments: int, k: int = K) ->
     where = saved(index.select("code", F.posexplode("code").alias("s", "value"), F.size("ids").alias("n"),
                                F.get("ids", F.lit(0)).alias("least")).select(
         _key(F.col("s"), F.col("value")).alias("key"), F.col("code").alias("found"), "n", "least"), "segments")
-    active, done, best = saved(queries.select("code").distinct(), "active"), [], None
+    bits = segments * SEGMENT_BITS
+    active, done, best = saved(queries.select("code", F.lit(bits).alias("bound")).distinct(), "active"), [], None
     for radius in range(SEGMENT_BITS + 1):
         masks = F.filter(F.sequence(F.lit(0), F.lit((1 << SEGMENT_BITS) - 1)), lambda m: F.bit_count(m) == radius)
-        probes = active.select("code", F.posexplode("code").alias("s", "value")).withColumn(
+        probes = active.select("code", "bound", F.posexplode("code").alias("s", "value")).withColumn(
             "mask", F.explode(masks)).select(
-            "code", "s", _key(F.col("s"), F.col("value").bitwiseXOR(F.col("mask"))).alias("key"))
+            "code", "bound", "s", _key(F.col("s"), F.col("value").bitwiseXOR(F.col("mask"))).alias("key"))
         # a code is met in every segment that is near; it counts where (distance, segment) is least
         first = F.array_min(F.array(*[F.struct(_part("code", "found", s).alias("d"), F.lit(s).alias("s"))
                                       for s in range(segments)]))
-        new = probes.join(where, "key").where(first["d"] == radius).where(first["s"] == F.col("s")).select(
+        # the probes come from few rows, but are many: they are not to be broadcast
+        new = probes.hint("merge").join(where, "key").where(first["d"] == radius).where(first["s"] == F.col("s")).where(
+            distance("code", "found", segments) <= F.col("bound")).select(
             "code", "found", "n", "least", distance("code", "found", segments).alias("distance"))
         seen = new if best is None else new.unionByName(best)
         rank = F.row_number().over(Window.partitionBy("code").orderBy("distance", "least"))
         seen = seen.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
         covered = segments * (radius + 1) - 1
         within = F.sum(F.when(F.col("distance") <= covered, F.col("n")).otherwise(0))
-        best = saved(seen.withColumn("sure", within.over(Window.partitionBy("code"))), "best")
+        # nothing beyond the kth distance so far is of use any more
+        sofar = Window.partitionBy("code").orderBy("distance", "least").rowsBetween(Window.unboundedPreceding, 0)
+        best = saved(
+            seen.withColumn("sofar", F.sum("n").over(sofar)).withColumns({
+                "sure": within.over(Window.partitionBy("code")),
+                "kth": F.min(F.when(F.col("sofar") >= enough, F.col("distance"))).over(Window.partitionBy("code"))})
+            .drop("sofar"), "best")
         finished = best.where(F.col("sure") >= enough)
         done.append(finished.select("code", "found", "distance"))
-        best = saved(best.where(F.col("sure") < enough).drop("sure"), "best")
-        active = saved(active.join(finished.select("code").distinct(), "code", "left_anti"), "active")
+        going = best.where(F.col("sure") < enough)
+        kth = going.groupBy("code").agg(F.min("kth").alias("kth"))
+        active = saved(active.join(finished.select("code").distinct(), "code", "left_anti").join(
+            kth, "code", "left").select("code", F.coalesce("kth", F.lit(bits)).alias("bound")), "active")
+        best = saved(going.drop("sure", "kth"), "best")
         if active.isEmpty():
             break
     out = done[0]
