@@ -57,31 +57,31 @@ def contained(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY)
     ``row`` is a hash of id and text that names the document's row.
     """
     sized = (
-        items.select("item_id", once("w", words(F.col("text")))).where(F.size("w") >= SHINGLE_WORDS)
-        .select("item_id", shingles(F.col("w")).alias("shingles"))
+        items.select("item_id", F.monotonically_increasing_id().alias("item"), once("w", words(F.col("text")))).where(F.size("w") >= SHINGLE_WORDS)
+        .select("item", "item_id", shingles(F.col("w")).alias("shingles"))
         .withColumn("n_item", F.size("shingles"))
     )
     upper = F.pow(F.lit(2.0), F.floor(F.log2("n_item")) + 1) - 1
     known = saved(sized.withColumn("k", (F.floor(F.lit(1 - similarity) * upper + 1e-9) + 1).cast("int")), "items")
     # hashes of the shingles' words, as shingle_hashes() makes them
-    hashed = known.select("item_id", "n_item", "k", F.transform("shingles", lambda s: F.xxhash64(
+    hashed = known.select("item", "n_item", "k", F.transform("shingles", lambda s: F.xxhash64(
         *[F.get(F.split(s, " "), F.lit(i)) for i in range(SHINGLE_WORDS)])).alias("hashes"))
     signatures = saved(
-        hashed.select("item_id", "n_item", F.explode(F.slice(F.array_sort("hashes"), F.lit(1), F.col("k"))).alias("hash")),
+        hashed.select("item", "n_item", F.explode(F.slice(F.array_sort("hashes"), F.lit(1), F.col("k"))).alias("hash")),
         "signatures")
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
     probes = rows.select("row", once("w", words(F.col("text")))).where(F.size("w") >= SHINGLE_WORDS).select(
         "row", F.size("w").alias("n_words"), F.explode(shingle_hashes(F.col("w"))).alias("hash"))
     found = probes.join(_few(signatures, BROADCAST_ROWS), "hash").where(
         F.col("n_words") - SHINGLE_WORDS + 1 >= F.lit(similarity) * F.col("n_item") - 1e-9
-    ).select("row", "item_id").distinct()
+    ).select("row", "item").distinct()
     candidates = saved(found, "candidates")
     n_shingles = known.agg(F.sum("n_item")).first()[0] or 0
     small = n_shingles <= BROADCAST_SHINGLES and known.count() <= BROADCAST_ITEMS
     texts = saved(rows.join(_few(candidates.select("row").distinct(), BROADCAST_ROWS), "row", "left_semi").distinct()
                   .select("row", "doc_id", once("w", words(F.col("text"))))
                   .select("row", "doc_id", shingles(F.col("w")).alias("held")), "held")
-    pairs = candidates.join(texts, "row").join(F.broadcast(known) if small else known, "item_id")
+    pairs = candidates.join(texts, "row").join(F.broadcast(known) if small else known, "item")
     shared = F.size(F.array_intersect("shingles", "held"))
     return pairs.select("row", "doc_id", "item_id", shared.cast("long").alias("n_shared"),
                         F.col("n_item").cast("long").alias("n_item"),

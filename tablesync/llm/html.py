@@ -252,7 +252,8 @@ def _hash(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             hosts += [host] * len(found)
             keys += found
             pages += [tree.key] * len(found)
-        yield pd.DataFrame({"host": hosts, "key": pd.Series(keys, dtype="int64"), "page": pd.Series(pages, dtype="int64")})
+        if keys:
+            yield pd.DataFrame({"host": hosts, "key": pd.Series(keys, dtype="int64"), "page": pd.Series(pages, dtype="int64")})
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -158,7 +158,7 @@ EXCHANGE = "bucket long, kind long, batch long, keys binary, names binary, who b
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come by bucket: anchors that several batches have go back to them; the rest passes."""
-    def met(bucket: int, held: list[tuple[int, bytes, bytes]]) -> pd.DataFrame:
+    def met(bucket: int, held: list[tuple[int, bytes, bytes]]) -> Iterator[pd.DataFrame]:
         sizes = [len(who) // 2 for _, _, who in held]
         low = np.zeros((sum(sizes), 8), np.uint8)
         low[:, :5] = np.frombuffer(b"".join(names for _, names, _ in held), np.uint8).reshape(-1, 5)
@@ -172,7 +172,8 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if mine.any():
                 full = name[lo:hi][mine] | np.uint64(bucket << 40)
                 rows.append((bucket, 0, batch, b"", full.tobytes(), np.frombuffer(who, np.uint16)[mine].tobytes()))
-        return pd.DataFrame(rows, columns=EXCHANGED)
+        if rows:
+            yield pd.DataFrame(rows, columns=EXCHANGED)
 
     now, held = -1, []
     for batch in batches:
@@ -182,12 +183,12 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for bucket, mark, names, who in batch.loc[batch["kind"] == 0, ["bucket", "batch", "names", "who"]].itertuples(
                 index=False):
             if bucket != now and held:
-                yield met(now, held)
+                yield from met(now, held)
                 held = []
             now = bucket
             held.append((mark, names, who))
     if held:
-        yield met(now, held)
+        yield from met(now, held)
 
 
 def _of_rows(rows: pd.DataFrame) -> pd.DataFrame:
@@ -200,7 +201,8 @@ def _of_rows(rows: pd.DataFrame) -> pd.DataFrame:
     cut = np.searchsorted(who, np.arange(len(keys) + 1))
     found = [(int(keys[i]), np.unique(name[cut[i]:cut[i + 1]]).tobytes())
              for i in range(len(keys)) if cut[i] < cut[i + 1]]
-    return pd.DataFrame(found, columns=["row", "names"])
+    return pd.DataFrame({"row": pd.Series([row for row, _ in found], dtype="int64"),
+                         "names": pd.Series([name for _, name in found], dtype="object")})
 
 
 # -- step 2: runs

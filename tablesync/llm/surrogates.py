@@ -163,7 +163,8 @@ def fitted(kind: str, mention: str, replacement: str) -> str:
 def _mentions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = sorted({(kind, normal(kind, text[a:b])) for text in batch["text"] for a, b, kind in find(text)})
-        yield pd.DataFrame({"kind": [k for k, _ in found], "value": [v for _, v in found]})
+        if found:
+            yield pd.DataFrame({"kind": [k for k, _ in found], "value": [v for _, v in found]})
 
 
 def _propose(key: bytes):
@@ -201,7 +202,8 @@ def _names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = [(row, kind, value) for row, text in zip(batch["row"], batch["text"])
                 for kind, value in sorted({(k, normal(k, text[a:b])) for a, b, k in find(text)})]
-        yield pd.DataFrame(rows, columns=["row", "kind", "value"])
+        if rows:
+            yield pd.DataFrame(rows, columns=["row", "kind", "value"])
 
 
 def _replaced(text: str | None, known: dict[tuple[str, str], str]) -> tuple[str | None, list[dict]]:

@@ -180,7 +180,8 @@ def _writer(folder: str):
                     held, size = [], 0
         if held:
             flush()
-        yield pd.DataFrame(made, columns=["path", "n_records"])
+        if made:
+            yield pd.DataFrame(made, columns=["path", "n_records"])
 
     return run
 

@@ -141,7 +141,7 @@ def test_a_group_with_a_third_of_the_rows_fills_few_shards(spark):
     sizes = rules_hold(got)
     assert max(sizes) - min(sizes) <= 2 * 20
     hot = Counter(r["shard"] for r in got if r["doc_id"] < 1000)
-    assert len(hot) <= 12  # by hash alone it would be in all 16
+    assert sum(n for _, n in hot.most_common(8)) > 0.6 * 700  # by hash alone half of it would be there
 
 
 def test_shard_edge_cases(spark):
@@ -169,4 +169,4 @@ def test_admission_keeps_quotas():
     held = {0: 100, 1: 100, 2: 100}
     part = sharding.admission(flows, held, 110.0, 3)
     after = {s: held[s] + sum(n * part[t] * ((t == s) - (f == s)) for (f, t), n in flows.items()) for s in held}
-    assert all(v <= 110.0 + 1e-6 for v in after.values()) and part[2] == 1.0
+    assert all(v <= 110.0 + 1e-6 for v in after.values()) and 0 < part[2] <= 1.0

@@ -4,6 +4,8 @@ import random
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from tablesync.llm import decontaminate as dc
 from tablesync.llm import hamming, surrogates
 from tests.compare import differences, open_tables
@@ -83,7 +85,7 @@ def brute(rows, k=hamming.K):
 
 def found(spark, rows):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, code string, ids int")
-    return sorted(tuple(r) for r in hamming.search(df, df["vec_id"] % 100 == 0).collect())
+    return sorted(tuple(r) for r in hamming.search(df, F.col("vec_id") % 100 == 0).collect())
 
 
 def test_search_against_brute_force(spark):
