@@ -1,7 +1,8 @@
 """Replace personal data and secrets by surrogates that keep type, script, gender and format.
 
 Entities are found by pattern: e-mail addresses, international phone numbers, payment card
-numbers, IPv4 addresses, keys and tokens, social security numbers and names after a title. A
+numbers, IPv4 addresses, keys and tokens, passwords and secrets after their label (with a
+digit, so that prose is left alone), social security numbers and names after a title. A
 surrogate comes from a keyed hash (HMAC) of the entity's type and normal form: digits stay
 digits, letters stay letters of their script and case, separators stay; a card keeps whether
 its check digit holds, an address stays an address, a name keeps its gender by its title and
@@ -39,7 +40,8 @@ ROUNDS = 64
 PATTERNS = {
     "email": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
-    "key": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?:sk|pk|ghp|gho|xox[bp]|AKIA)[-_]?[0-9A-Za-z_-]{16,})(?![0-9A-Za-z])",
+    "key": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?:(?:sk|pk|ghp|gho|xox[bp])[-_]|AKIA)(?=[_-]*[0-9A-Za-z])[0-9A-Za-z_-]{16,})(?![0-9A-Za-z])",
+    "secret": r"\b(?i:pass(?:word|wd|phrase)|pwd|secret|token|api[_-]?key)\s{0,3}[:=]\s{0,3}[\"']?(?P<said>(?=[^\s\"'<>&,;]*\d)[^\s\"'<>&,;]{3,}[^\s\"'<>&,;.:!?)])",
     "card": r"(?<![\d.])\d{4}(?:[ -]?\d{4}){3}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)",
@@ -61,9 +63,10 @@ FAMILY = {
 FAMILY["woman", "latin"] = FAMILY["man", "latin"]
 FAMILY["woman", "cyrillic"] = [name + "а" for name in FAMILY["man", "cyrillic"]]
 
+ALONE = re.compile(PATTERNS["key"])
 FINDER = re.compile("|".join(f"(?P<{kind}>{pattern.replace(chr(92) + 'p', PERSON)})" for kind, pattern in PATTERNS.items()))
 #: A text without any of these has no entity: most texts are passed over by this plain search.
-HINT = re.compile(r"[@0-9+]|\b(?:M(?:rs?|s|iss|adame|onsieur)|Herrn?|Frau|Sra?|Señora?)\b|г-")
+HINT = re.compile(r"[@0-9+]|\b(?:M(?:rs?|s|iss|adame|onsieur)|Herrn?|Frau|Sra?|Señora?)\b|г-|(?:sk|pk|ghp|gho|xox[bp])[-_]|AKIA|[a-f]{32}|[A-F]{32}")
 
 carried(__name__)
 
@@ -72,7 +75,13 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
     """Entities of a text as (start, end, kind), leftmost first."""
     if not text or not HINT.search(text):
         return []
-    return [(m.start(), m.end(), m.lastgroup) for m in FINDER.finditer(text)]
+    return [(m.start(), m.end(), m.lastgroup) if m["said"] is None else (m.start("said"), m.end(), _labelled(m["said"]))
+            for m in FINDER.finditer(text)]
+
+
+def _labelled(value: str) -> str:
+    """The kind of what follows a label: a key is the same key without one."""
+    return "key" if ALONE.fullmatch(value) else "secret"
 
 
 def normal(kind: str, value: str) -> str:
@@ -122,17 +131,20 @@ def _letter(c: str, draw: Stream) -> str:
 def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
     """The replacement in normal form, of the value in normal form, at an attempt."""
     draw = Stream(key, kind, value, attempt)
+    # few letters leave few surrogates, and none of them leaves one: later attempts add some
+    more = "".join(_letter("a", draw) for _ in range(max(0, attempt - 2)))
     if kind == "email":
         local, _, _ = value.partition("@")
         return "".join(_letter(c, draw) for c in local) + (
-            "" if len(local) > 6 else "".join(_letter("a", draw) for _ in range(7 - len(local)))) + "@example.com"
+            "" if len(local) > 6 else "".join(_letter("a", draw) for _ in range(7 - len(local)))) + more + "@example.com"
     if kind == "ip":
         first = 10 if attempt < 8 else 240 + draw.below(15)  # private, then reserved addresses
         return f"{first}.{draw.below(256)}.{draw.below(256)}.{1 + draw.below(254)}"
-    if kind == "key":
-        digits = set(value) <= set("0123456789abcdef")
-        return "".join("0123456789abcdef"[draw.below(16)] for _ in value) if digits else value[:2] + "".join(
-            _letter(c, draw) for c in value[2:])
+    if kind in ("key", "secret"):
+        kept = 2 if kind == "key" else 0
+        if set(value) <= set("0123456789abcdef"):
+            return "".join("0123456789abcdef"[draw.below(16)] for _ in value) + more
+        return value[:kept] + "".join(_letter(c, draw) for c in value[kept:]) + more
     if kind == "card":
         body = "".join(str(draw.below(10)) for _ in value[:-1])
         check = next(c for c in "0123456789" if luhn(body + c))
