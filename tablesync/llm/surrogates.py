@@ -15,7 +15,8 @@ corpus, all but the first propose again with the next attempt, until none collid
 
 Defined results: a null text stays null and an empty one empty, with no entities; texts are
 read whole; overlapping finds keep the leftmost, then the longest; rows alike in all columns
-are treated alike; an empty table gives an empty result; further columns pass through.
+are treated alike; an empty table gives an empty result; further columns pass through, but for
+one named ``entities``, which the result's own replaces.
 """
 
 from __future__ import annotations
@@ -172,11 +173,16 @@ def fitted(kind: str, mention: str, replacement: str) -> str:
     return replacement
 
 
-def _mentions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+FOUND = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("value", pa.string())]))
+FOUND_DDL = "array<struct<start: bigint, end: bigint, kind: string, value: string>>"
+
+
+def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = sorted({(kind, normal(kind, text[a:b])) for text in batch["text"] for a, b, kind in find(text)})
-        if found:
-            yield pd.DataFrame({"kind": [k for k, _ in found], "value": [v for _, v in found]})
+        texts = batch.column("doc").field("text").to_pylist()
+        found = [[{"start": a, "end": b, "kind": kind, "value": normal(kind, text[a:b])} for a, b, kind in find(text)]
+                 for text in texts]
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(found, FOUND)], names=["doc", "found"])
 
 
 def _propose(key: bytes):
@@ -188,10 +194,9 @@ def _propose(key: bytes):
     return run
 
 
-def surrogate_table(docs: DataFrame, key: bytes = KEY) -> DataFrame:
-    """One row (kind, value, surrogate) per distinct entity; surrogates of a kind are distinct."""
-    entities = docs.where("text is not null").select("text").mapInPandas(
-        _mentions, "kind string, value string").distinct()
+def surrogate_table(entities: DataFrame, key: bytes = KEY) -> DataFrame:
+    """One row (kind, value, surrogate) per distinct (kind, value); surrogates of a kind are distinct."""
+    entities = entities.select("kind", "value").distinct()
     schema = "kind string, value string, attempt int, surrogate string"
     state = saved(entities.withColumn("attempt", F.lit(0)).mapInPandas(_propose(key), schema), "surrogates")
     for _ in range(ROUNDS):
@@ -210,59 +215,55 @@ def surrogate_table(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     raise ValueError(f"entities still collide after {ROUNDS} rounds: a kind has too few surrogates")
 
 
-def _names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = [(row, kind, value) for row, text in zip(batch["row"], batch["text"])
-                for kind, value in sorted({(k, normal(k, text[a:b])) for a, b, k in find(text)})]
-        if rows:
-            yield pd.DataFrame(rows, columns=["row", "kind", "value"])
-
-
-def _replaced(text: str | None, known: dict[tuple[str, str], str]) -> tuple[str | None, list[dict]]:
-    if text is None:
-        return None, []
+def _replaced(text: str, found: list[dict], known: dict[tuple[str, str], str]) -> tuple[str, list[dict]]:
     out, at, entities, place = [], 0, [], 0
-    for start, end, kind in find(text):
-        mention = text[start:end]
-        new = fitted(kind, mention, known[kind, normal(kind, mention)])
-        out += [text[at:start], new]
-        place += start - at
-        entities.append({"kind": kind, "start": place, "end": place + len(new)})
-        place, at = place + len(new), end
+    for m in found:
+        new = fitted(m["kind"], text[m["start"]:m["end"]], known[m["kind"], m["value"]])
+        out += [text[at:m["start"]], new]
+        place += m["start"] - at
+        entities.append({"kind": m["kind"], "start": place, "end": place + len(new)})
+        place, at = place + len(new), m["end"]
     return "".join([*out, text[at:]]), entities
 
 
 ENTITIES = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+ENTITIES_DDL = "array<struct<kind: string, start: bigint, end: bigint>>"
 
 
 def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, spans = [], []
-        for text, pairs in zip(batch.column("text").to_pylist(), batch.column("_known").to_pylist()):
-            known = {(p["kind"], p["value"]): p["surrogate"] for p in pairs or ()}
-            new, found = _replaced(text, known)
+        doc, texts, spans = batch.column("doc"), [], []
+        for text, found, pairs in zip(doc.field("text").to_pylist(), batch.column("found").to_pylist(),
+                                      batch.column("known").to_pylist()):
+            new, entities = _replaced(text, found, {(p["kind"], p["value"]): p["surrogate"] for p in pairs})
             texts.append(new)
-            spans.append(found)
-        others = batch.drop_columns(["_known"])
-        place = others.schema.get_field_index("text")
-        columns = [*others.columns, pa.array(spans, ENTITIES)]
-        columns[place] = pa.array(texts, pa.string())
-        yield pa.RecordBatch.from_arrays(columns, names=[*others.schema.names, "entities"])
+            spans.append(entities)
+        columns = doc.flatten()
+        columns[doc.type.get_field_index("text")] = pa.array(texts, pa.string())
+        docs = pa.StructArray.from_arrays(columns, fields=list(doc.type))
+        yield pa.RecordBatch.from_arrays([docs, pa.array(spans, ENTITIES)], names=["doc", "entities"])
 
 
 def pseudonymised(docs: DataFrame, key: bytes = KEY) -> DataFrame:
-    """``docs`` with the entities of ``text`` replaced, and ``entities`` (kind, start, end) in the new text."""
-    marked = docs.withColumn("_row", F.xxhash64("text"))
-    surrogates = surrogate_table(docs, key)
+    """``docs`` with the entities of ``text`` replaced, and ``entities`` (kind, start, end) in the new text.
+
+    Texts are searched once, and what is found is saved with them. Only texts with entities
+    meet their surrogates in a join; the others pass as they are.
+    """
+    docs = docs.drop("entities")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    doc = T.StructField("doc", packed.schema["doc"].dataType, False)
+    found = saved(packed.mapInArrow(_mentions, T.StructType([doc]).add("found", T.DataType.fromDDL(FOUND_DDL))), "found", "zstd")
+    surrogates = surrogate_table(found.select(F.explode("found").alias("m")).select("m.*"), key)
+    some = found.where(F.size("found") > 0).withColumn("row", F.xxhash64("doc.text"))
     # the surrogates that a text needs, gathered per text: as many as the text has entities
-    of_text = marked.where("text is not null").select(F.col("_row").alias("row"), "text").mapInPandas(
-        _names, "row long, kind string, value string").distinct().join(surrogates, ["kind", "value"])
-    known = saved(of_text.groupBy(F.col("row").alias("_row")).agg(
-        F.collect_list(F.struct("kind", "value", "surrogate")).alias("_known")), "known")
-    joined = marked.join(known, "_row", "left").select(*[marked[c] for c in docs.columns], "_known")
-    schema = T.StructType(list(docs.schema.fields)).add(
-        "entities", T.ArrayType(T.StructType().add("kind", "string").add("start", "long").add("end", "long")))
-    return joined.mapInArrow(_replace, schema)
+    known = some.select("row", F.explode("found").alias("m")).select("row", "m.kind", "m.value").distinct().join(
+        surrogates, ["kind", "value"]).groupBy("row").agg(
+        F.collect_list(F.struct("kind", "value", "surrogate")).alias("known"))
+    changed = some.join(known, "row").select("doc", "found", "known").mapInArrow(
+        _replace, T.StructType([doc]).add("entities", T.DataType.fromDDL(ENTITIES_DDL)))
+    others = found.where(F.size("found") == 0).select("doc", F.array().cast(ENTITIES_DDL).alias("entities"))
+    return changed.union(others).select("doc.*", "entities")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

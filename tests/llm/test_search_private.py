@@ -164,6 +164,9 @@ def test_surrogate_edge_cases(spark):
     assert got[1]["text"] is None and got[2]["text"] == "" and got[3]["text"] == "no entity"
     assert got[4]["text"] == (got[None]["text"] + " ") * 5000 and len(got[4]["entities"]) == 5000
     assert replaced(spark, []) == {}
+    clash = spark.createDataFrame([(1, "to a@b.example", 7, "k")], "doc_id long, text string, entities int, `_row.known` string")
+    row = surrogates.pseudonymised(clash).first()
+    assert row["_row.known"] == "k" and [e["kind"] for e in row["entities"]] == ["email"]
 
 
 def test_another_key_gives_other_surrogates():
