@@ -50,12 +50,12 @@ def backup_window(
     ``closed="low"`` the last stored day is replaced as a directory, too: a reader at that
     moment may miss it, and what only the sink had is kept aside until the load is recorded.
     """
-    progress = registry.progress(name)
-    if load_id in progress.loads:
-        return BackupResult(0, progress.watermark, None, None)
-    if low is not None and progress.watermark is not None:
-        raise ValueError(f"{name}: the registry's bound is {progress.watermark}; leave low out")
-    low = progress.watermark or (literal_text(low) if low is not None else None)
+    stored = registry.watermark(name)
+    if registry.committed(name, load_id):
+        return BackupResult(0, stored, None, None)
+    if low is not None and stored is not None:
+        raise ValueError(f"{name}: the registry's bound is {stored}; leave low out")
+    low = stored or (literal_text(low) if low is not None else None)
     if low is None and not first_load:
         raise ValueError(f"no watermark for {name}; state a lower bound or ask for a first load")
 

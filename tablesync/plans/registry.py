@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from tablesync.functions.columns import literal_text
 from tablesync.operators.increment import Point
 from tablesync.operators.latest import latest
-from tablesync.sources.files import exists
 from tablesync.sources.tables import one_row, overwrite, scan_parquet
 from tablesync.sources.versions import check_name
 
@@ -52,21 +51,26 @@ class Registry:
         """The row of each table with the latest watermark, which never goes back."""
         return latest(self.history(), ["table_name"], ["watermark", "committed_at", "load_id"])
 
-    def progress(self, table_name: str) -> Progress:
+    def _rows(self, table_name: str) -> DataFrame:
         path = f"{self.path}/table_name={check_name(table_name)}"
-        if not exists(self.spark, path):
-            return Progress(None, [])
-        schema = T.StructType(REGISTRY_SCHEMA.fields[1:])
-        rows = scan_parquet(self.spark, path, schema).select("load_id", F.col("watermark").cast("string")).collect()
-        watermark = max((row["watermark"] for row in rows), key=datetime.fromisoformat, default=None)
-        return Progress(watermark, sorted(row["load_id"] for row in rows))
+        return scan_parquet(self.spark, path, T.StructType(REGISTRY_SCHEMA.fields[1:]))
+
+    def progress(self, table_name: str) -> Progress:
+        """The watermark with the list of all loads; a job that needs no list asks the two below."""
+        rows = self._rows(table_name).select("load_id").collect()
+        return Progress(self.watermark(table_name), sorted(row["load_id"] for row in rows))
 
     def watermark(self, table_name: str) -> str | None:
-        """The table's watermark, None before its first load."""
-        return self.progress(table_name).watermark
+        """The table's watermark, None before its first load: one row comes to the driver."""
+        return self._rows(table_name).agg(F.max("watermark").cast("string")).first()[0]
+
+    def committed(self, table_name: str, load_id: str) -> bool:
+        """Whether a load is committed; only its own row is looked up."""
+        path = f"{self.path}/table_name={check_name(table_name)}/load_id={check_name(load_id)}"
+        return not scan_parquet(self.spark, path, T.StructType(REGISTRY_SCHEMA.fields[2:])).isEmpty()
 
     def record(self, table_name: str, load_id: str, watermark: Point, row_count: int) -> None:
-        value, stored = literal_text(watermark), self.progress(table_name).watermark
+        value, stored = literal_text(watermark), self.watermark(table_name)
         if stored is not None and datetime.fromisoformat(value) < datetime.fromisoformat(stored):
             raise ValueError(f"{table_name}: watermark {value} is before the stored {stored}")
         row = one_row(self.spark, REGISTRY_SCHEMA, {

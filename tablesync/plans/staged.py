@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from tablesync.operators.increment import extract_increment, newest
 from tablesync.operators.metrics import reconcile_aggregates
 from tablesync.plans.registry import Registry
 from tablesync.sources.files import drop_if_exists, drop_other_loads
-from tablesync.sources.tables import empty, overwrite, scan_parquet
+from tablesync.sources.tables import empty, overwrite
 from tablesync.sources.versions import check_name
 
 
@@ -34,7 +34,7 @@ class StagedLoad:
 
     The registry row is written after the insert and under the target's name. Until then
     the load's directory is not part of the table, and a repeat starts over from the
-    same watermark.
+    same watermark. Both hold files of ``file_format``, any that Spark writes to a path.
     """
 
     name: str
@@ -43,6 +43,8 @@ class StagedLoad:
     column: str
     insert: Callable[[DataFrame], DataFrame]
     target_schema: T.StructType
+    file_format: str = "parquet"
+    options: Mapping[str, str] = field(default_factory=dict)
 
     def run(
         self,
@@ -53,22 +55,21 @@ class StagedLoad:
     ) -> LoadResult:
         spark = source.sparkSession
         staging = f"{self.staging}/load_id={check_name(load_id)}"
-        progress = registry.progress(self.name)
-        if load_id in progress.loads:
+        if registry.committed(self.name, load_id):
             drop_if_exists(spark, staging)
             return LoadResult(False, 0, 0, None, None)
 
-        fresh = extract_increment(source, self.column, progress.watermark, full_load)
+        fresh = extract_increment(source, self.column, registry.watermark(self.name), full_load)
         seen = Observation()
         measured = fresh.observe(
             seen,
             *reconcile_aggregates(self.column, as_text=True),
             newest(fresh, self.column).alias("watermark"),
         )
-        overwrite(measured, staging)
+        overwrite(measured, staging, self.file_format, self.options)
         found = seen.get
         if found["value_count"]:
-            staged = scan_parquet(spark, staging, fresh.schema)
+            staged = self._scan(spark, fresh.schema, [staging])
             self._insert(staged, load_id, found["row_count"])
             registry.record(self.name, load_id, found["watermark"], found["row_count"])
         drop_if_exists(spark, staging)
@@ -85,16 +86,19 @@ class StagedLoad:
         paths = [f"{self.target}/load_id={load}" for load in registry.progress(self.name).loads]
         if not paths:
             return empty(spark, self.target_schema)
-        return spark.read.schema(self.target_schema).parquet(*paths)
+        return self._scan(spark, self.target_schema, paths)
 
     def sweep(self, spark: SparkSession, registry: Registry) -> int:
         """Between loads, drop what loads that died have left behind."""
         drop_if_exists(spark, self.staging)
         return drop_other_loads(spark, self.target, registry.progress(self.name).loads)
 
+    def _scan(self, spark: SparkSession, schema: T.StructType, paths: list[str]) -> DataFrame:
+        return spark.read.format(self.file_format).options(**self.options).schema(schema).load(paths)
+
     def _insert(self, staged: DataFrame, load_id: str, expected: int) -> None:
         seen = Observation()
         rows = self.insert(staged).observe(seen, F.count(F.lit(1)).alias("row_count"))
-        overwrite(rows, f"{self.target}/load_id={load_id}")
+        overwrite(rows, f"{self.target}/load_id={load_id}", self.file_format, self.options)
         if seen.get["row_count"] != expected:
             raise RuntimeError(f"{self.name}: {expected} rows staged, {seen.get['row_count']} inserted")

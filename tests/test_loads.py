@@ -37,6 +37,8 @@ def test_registry(spark, registry):
     registry.record("u", "1", DAY1, 7)
     registry.record("t", "008", "2024-01-03", 6)
     assert registry.progress("t").loads == ["007", "008"]
+    assert registry.committed("t", "008") and not registry.committed("t", "009") and not registry.committed("u", "008")
+    assert registry.watermark("v") is None
     assert registry.watermark("t") == "2024-01-03 00:00:00"
     got = fetch(registry.current().drop("committed_at"))
     assert got == [("t", "008", DAY3, 6), ("u", "1", DAY1, 7)]
@@ -255,3 +257,14 @@ def test_any_source_format(spark, tmp_path):
     got = tables.scan_source(spark, "orc", path, {"mergeSchema": "false"}, later)
     assert fetch(got) == [(2, DAY3, "b")]
     assert "GreaterThan(at," in plan_of(got)
+
+
+@pytest.mark.parametrize("file_format,options", [("orc", {}), ("csv", {"header": "true", "sep": "|"})])
+def test_staged_load_in_another_format(spark, tmp_path, file_format, options):
+    df = spark.sql("SELECT id, timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id AS int)) AS at FROM range(20)")
+    job = StagedLoad(file_format, f"{tmp_path}/target", f"{tmp_path}/staging", "at", lambda d: d, df.schema, file_format, options)
+    registry = Registry(spark, f"{tmp_path}/registry")
+    assert job.run(df.where("id < 12"), registry, "1", full_load=True).row_count == 12
+    assert job.run(df, registry, "2").row_count == 8 and not job.run(df, registry, "2").inserted
+    assert sorted(map(tuple, job.read(spark, registry).collect())) == sorted(map(tuple, df.collect()))
+    assert list((tmp_path / "target" / "load_id=1").glob(f"*.{file_format}"))
