@@ -229,9 +229,11 @@ COLUMNS = ["page_id", "url", "block", "payload_bytes", "payload_digest", "record
 def read_archives(manifest: DataFrame) -> DataFrame:
     """The records of the files of a manifest: page_id and refers_to long, block binary and others.
 
-    Files are dealt over all tasks; a file is read as a stream, a record at a time.
+    Files are dealt over all tasks, by number, as adaptive execution would put the few bytes of
+    their paths into one; a file is read as a stream, a record at a time.
     """
-    return manifest.repartition(F.col("path")).mapInPandas(
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return manifest.repartition(tasks).mapInPandas(
         _reader, "page_id string, url string, block binary, payload_bytes long, payload_digest string, "
         "record_type string, refers_to string").withColumns(
         {"page_id": F.col("page_id").cast("long"), "refers_to": F.col("refers_to").cast("long")})
