@@ -191,9 +191,11 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Rows (row, doc_id, class_id) for each row of ``docs`` (doc_id, text).
+    """Rows (row, doc_id, class_id, class) for each distinct (doc_id, text) of ``docs``.
 
-    ``row`` is a hash of id and text; ``class_id`` is the smallest doc_id of the class.
+    ``row`` is a hash of id and text; ``class_id`` is the smallest doc_id of the class, which
+    classes may share where ids repeat and lack where they are null. ``class`` tells classes
+    apart; it is null for texts without words, each of which is a class.
     """
     named = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
     signed = saved(named.select("row", "text").mapInPandas(
@@ -229,7 +231,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     placed = saved(ids.join(of_row, "row", "left"), "placed")
     least = placed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"))
     return placed.join(least, "class", "left").select(
-        "row", "doc_id", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+        "row", "doc_id", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "class")
 
 
 def elements(bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -319,10 +322,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, the one with the smallest (id, hash of the row)."""
+    """One row of each class stays: the one with the smallest (id, hash of the row), once.
+
+    Copies of a row are dropped map-side, before their texts are exchanged.
+    """
     classes = saved(near_duplicates(docs), "near")
-    keyed = classes.select("row", "doc_id", F.coalesce("class_id", F.lit(-1)).alias("class_id"))
-    keep = keyed.groupBy("class_id").agg(F.min(F.struct("doc_id", "row")).alias("first")).select(F.col("first.row").alias("_row"))
-    marked = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    alone = F.when(F.col("class").isNull(), F.col("row")).alias("alone")
+    keep = classes.groupBy("class", alone).agg(F.min(F.struct("doc_id", "row")).alias("first")).select(
+        F.col("first.row").alias("_row"))
+    marked = docs.withColumn("_row", F.xxhash64("doc_id", "text")).dropDuplicates(["_row"])
     return marked.join(keep, "_row").select(*docs.columns)
-

@@ -133,6 +133,18 @@ def test_the_stage_keeps_one_of_each_class(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 5]
 
 
+def test_the_stage_tells_classes_apart_without_ids(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    rows = [(None, one), (None, two), (None, two + " more"), (-1, three), (7, one + " x y"),  # ids that are null or look like it
+            (5, "p q r s t u"), (5, "k l m n o p"),  # an id on two texts
+            (9, "v w x y z"), (9, "v w x y z"), (9, "v w x y z"),  # a row three times
+            (None, None), (None, None), (6, None), (8, "...")]  # without words
+    kept = sorted(bm.stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect(), key=repr)
+    assert len(kept) == 9 and len({r["text"] for r in kept} & {two, two + " more"}) == 1
+    assert {r["text"] for r in kept} >= {one, three, "p q r s t u", "k l m n o p", "v w x y z", "..."}
+    assert sorted(repr(r["doc_id"]) for r in kept if r["text"] is None) == ["6", "None"]
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(3)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1060)]
