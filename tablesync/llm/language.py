@@ -12,7 +12,8 @@ fraction that the counts of the labels give; the model has a fixed number of cou
 language, so it is bounded by the number of languages.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0 and no spans;
-so is every text if there is nothing to learn from; null labels are not learned; a null id is
+so is every text if there is nothing to learn from; letters of words whose script no learned
+language uses are unknown and count against the score; null labels are not learned; a null id is
 neither learned from nor held out; texts are read whole; ties go to the smaller language name.
 """
 
@@ -39,8 +40,10 @@ GRAMS = 1 << 16
 SWITCH = 12.0
 #: Least share of a language's words in a script for the language to be a candidate there.
 SCRIPT_SHARE = 0.01
-#: Least share of the letters in the language found, for the pipeline to keep a document.
+#: Least share of the letters in recognised languages, for the pipeline to keep a document.
 KEEP_SHARE = 0.5
+#: A span is recognised if its n-grams are likelier than this: all n-grams alike.
+EVEN = -float(np.log(GRAMS))
 #: A word counts as so many independent n-grams; the score of a language that does not use its script.
 WORD_SCALE = 4.0
 FOREIGN = -50.0
@@ -127,14 +130,17 @@ def learn(labelled: DataFrame, sample: int = TRAINING_DOCS) -> Model:
     return Model(languages, np.log(seen / seen.sum(axis=0, keepdims=True)).astype(np.float32), uses)
 
 
-def scores_of(words: list[str], model: Model) -> np.ndarray:
-    """A row of scores per word, one per language, the best at 0."""
+def likelihoods_of(words: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """A row per word of the log likelihoods of its n-grams, one per language, and how many n-grams it has."""
     place, slot = grams(words)
     n = np.bincount(place, minlength=len(words))
-    mean = np.stack([np.bincount(place, weights=model.likelihood[slot, k], minlength=len(words)) / n
-                     for k in range(len(model.languages))], axis=1) * WORD_SCALE
-    uses = model.uses[[script(w) for w in words]]
-    mean = np.where(uses, mean, -np.inf)
+    return np.stack([np.bincount(place, weights=model.likelihood[slot, k], minlength=len(words))
+                     for k in range(len(model.languages))], axis=1), n
+
+
+def scores_of(likelihoods: np.ndarray, n: np.ndarray, uses: np.ndarray) -> np.ndarray:
+    """A row of scores per word, one per language, the best at 0."""
+    mean = np.where(uses, likelihoods / n[:, None] * WORD_SCALE, -np.inf)
     best = mean.max(axis=1, keepdims=True)
     known = np.isfinite(best)
     return np.where(known, np.where(uses, mean - np.where(known, best, 0), FOREIGN), 0).astype(np.float32)
@@ -171,8 +177,11 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH) ->
     return labels
 
 
-def label_texts(texts: list[str | None], model: Model) -> Iterator[tuple[list[str], list[float], list[list[dict]]]]:
-    """Languages, scores and spans of texts, for as many texts at a time as fill a block of words."""
+Labels = tuple[list[str], list[float], list[list[dict]], list[float]]
+
+
+def label_texts(texts: list[str | None], model: Model) -> Iterator[Labels]:
+    """Languages, scores, spans and covered shares of texts, for as many at a time as fill a block of words."""
     found, n = [], 0
     for text in texts:
         found.append(LETTERS.findall(text) if text else [])
@@ -184,29 +193,38 @@ def label_texts(texts: list[str | None], model: Model) -> Iterator[tuple[list[st
         yield _labelled(found, model)
 
 
-def _labelled(found: list[list[str]], model: Model) -> tuple[list[str], list[float], list[list[dict]]]:
+def _labelled(found: list[list[str]], model: Model) -> Labels:
     languages = model.languages
     n_words = np.array([len(w) for w in found])
     has = np.flatnonzero(n_words > 0)
     spans: list[list[dict]] = [[] for _ in found]
-    predicted, score = ["und"] * len(found), [0.0] * len(found)
+    predicted, score, covered = ["und"] * len(found), [0.0] * len(found), [0.0] * len(found)
     if len(has) and languages:
         flat = list(chain.from_iterable(found))
         vocabulary = dict.fromkeys(flat)
         vocabulary.update(zip(vocabulary, range(len(vocabulary))))
-        rows = scores_of([w.lower() for w in vocabulary], model)
+        words = [w.lower() for w in vocabulary]
+        uses = model.uses[[script(w) for w in words]]
+        likelihoods, n_grams = likelihoods_of(words, model)
+        rows = scores_of(likelihoods, n_grams, uses)
         numbers = np.array(list(map(vocabulary.__getitem__, flat)), np.int64)
         letters = np.array(list(map(len, vocabulary)), np.int64)[numbers]
         labels = viterbi(rows[numbers], n_words[has])
+        # words without a candidate language are in none of them
+        candidate = uses.any(axis=1)[numbers]
+        known = np.where(candidate, letters, 0)
+        above = np.where(candidate, likelihoods[numbers, labels] - EVEN * n_grams[numbers], 0.0)
         ends = np.cumsum(n_words[has])
         for i, lo, hi in zip(has, ends - n_words[has], ends):
-            share = np.bincount(labels[lo:hi], weights=letters[lo:hi], minlength=len(languages))
-            top = int(share.argmax())
-            predicted[i], score[i] = languages[top], float(share[top] / share.sum())
+            share = np.bincount(labels[lo:hi], weights=known[lo:hi], minlength=len(languages))
+            top, total = int(share.argmax()), letters[lo:hi].sum()
+            predicted[i], score[i] = languages[top], float(share[top] / total)
             cuts = [0, *(np.flatnonzero(np.diff(labels[lo:hi])) + 1).tolist(), hi - lo]
             spans[i] = [{"first_word": a, "n_words": b - a, "lang": languages[labels[lo + a]]}
                         for a, b in zip(cuts, cuts[1:])]
-    return predicted, score, spans
+            recognised = np.add.reduceat(above[lo:hi], cuts[:-1]) > 0
+            covered[i] = float(np.add.reduceat(known[lo:hi], cuts[:-1])[recognised].sum() / total)
+    return predicted, score, spans, covered
 
 
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,9 +234,9 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, ROWS)
 
 
-def _joined(texts: list[str | None], model: Model) -> tuple[list[str], list[float], list[list[dict]]]:
+def _joined(texts: list[str | None], model: Model) -> Labels:
     parts = list(label_texts(texts, model))
-    return tuple(list(chain.from_iterable(p[k] for p in parts)) for k in range(3))
+    return tuple(list(chain.from_iterable(p[k] for p in parts)) for k in range(4))
 
 
 def label(docs: DataFrame, model: Model) -> DataFrame:
@@ -229,7 +247,7 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            predicted, score, spans = _joined(batch.column("text").to_pylist(), model)
+            predicted, score, spans, _ = _joined(batch.column("text").to_pylist(), model)
             others = batch.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays(
                 [*others.columns, pa.array(predicted, pa.string()), pa.array(score, pa.float64()),
@@ -257,12 +275,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters of which at least KEEP_SHARE are in the language found."""
+    """Documents with letters of which at least KEEP_SHARE are in recognised languages, one or several.
+
+    With nothing to learn from, every document with letters is kept.
+    """
     model = train(docs)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            predicted, score, _ = _joined(batch.column("text").to_pylist(), model)
-            yield batch.filter(pa.array([p != "und" and s >= KEEP_SHARE for p, s in zip(predicted, score)], pa.bool_()))
+            texts = batch.column("text").to_pylist()
+            if model.languages:
+                kept = [share >= KEEP_SHARE for share in _joined(texts, model)[3]]
+            else:
+                kept = [bool(text and LETTERS.search(text)) for text in texts]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

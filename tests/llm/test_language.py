@@ -79,6 +79,23 @@ def test_the_stage_drops_texts_without_letters_only(spark, docs):
     assert kept.where("doc_id >= 1000000000").count() == 0 and kept.count() == docs.count()
 
 
+def test_the_stage_drops_foreign_and_junk_texts_and_keeps_mixed_ones(spark, docs, model):
+    passages = [" ".join(docs.where(f"lang = '{lang}' and n_chars > 600").first()["text"].split()[:60]) for lang in ("en", "de", "fr")]
+    greek, junk = "η γρήγορη αλεπού πηδάει πάνω " * 10, "xqzj kkqwv zzxq wvvk qjxz " * 10
+    texts = [greek, junk, greek + passages[0][:60], " ".join(passages), passages[1] + " αλεπού", "และ " * 20]
+    extra = spark.createDataFrame([(10**9 + i, t, None, None, None) for i, t in enumerate(texts)], docs.schema)
+    kept = lg.stage(spark, docs.unionByName(extra), SF).where("doc_id >= 1000000000").collect()
+    assert sorted(r["doc_id"] - 10**9 for r in kept) == [3, 4]
+    rows = labels(spark, model, greek, passages[1] + " αλεπού")
+    assert rows[0]["lang_pred"] in model.languages and rows[0]["score"] == 0.0
+    assert rows[1]["lang_pred"] == "de" and 0.9 < rows[1]["score"] < 1.0
+
+
+def test_the_stage_keeps_letters_with_nothing_to_learn_from(spark):
+    unlabelled = spark.createDataFrame([(1, "some text", None), (2, "12", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in lg.stage(spark, unlabelled, SF).collect()] == [1]
+
+
 def test_viterbi_finds_the_best_path():
     rng = np.random.default_rng(0)
     lengths = np.array([4, 1, 6, 3])
