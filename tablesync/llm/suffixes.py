@@ -21,6 +21,10 @@ in another text too.
    has a document with a smaller id.
 4. The spans of a document are joined with its text, united and cut out.
 
+All suffixes at one anchor go to one range. Anchors that occur more often than a range is long,
+as a sample of all occurrences tells, are hot: their windows are not sorted but dealt by a hash
+of all their bytes. A run sends each distinct window once, for its smallest document.
+
 A string that occurs in very many documents reaches a task once per run. Batches, runs and
 ranges have a fixed size; their number grows with the input.
 
@@ -57,6 +61,12 @@ RANGE_SUFFIXES = 250_000
 PIECE = 1 << 20
 RUN = 400_000
 BATCH_ROWS = 1 << 14
+#: An anchor is hot if it was drawn so often, which at about one in RATE is RANGE_SUFFIXES occurrences.
+DRAWN = 50
+RATE = RANGE_SUFFIXES // DRAWN
+#: Suffixes at hot anchors per run, and windows of theirs per task, about.
+HOT_RUN = 40_000
+HOT_WINDOWS = 1_000_000
 #: Anchors from which the splitters are chosen, about; by hash, so each distinct anchor alike.
 SAMPLE = 20_000
 LAST = np.iinfo(np.int64).max
@@ -118,7 +128,7 @@ def _anchor_rows(buckets: int, sampled: int):
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
                 keys = np.array(part.column("row").to_pylist(), np.int64)
-                names, owner, sample = [], [], []
+                names, owner, sample, drawn = [], [], [], []
                 for i, text in enumerate(part.column("text").to_pylist()):
                     b = _bytes_of(text)
                     if len(b) < SPAN:
@@ -126,6 +136,7 @@ def _anchor_rows(buckets: int, sampled: int):
                     hashes, place, _, _ = anchors(b)
                     for p in place[hashes % np.uint64(sampled) == 0].tolist():
                         sample.append(b[p:p + GRAM].tobytes())
+                    drawn.append(bucketed(hashes[_drawn(place, keys[i])], buckets))
                     own = np.unique(bucketed(hashes, buckets))
                     names.append(own)
                     owner.append(np.full(len(own), i, np.uint16))
@@ -147,11 +158,27 @@ def _anchor_rows(buckets: int, sampled: int):
                         rows.append((k, 0, mark, b"", low.tobytes(), first[cut[k]:cut[k + 1]].tobytes()))
                 if sample:
                     rows.append((int(mark % buckets), 2, mark, b"", b"".join(sample), b""))
+                often = np.concatenate(drawn)
+                if len(often):
+                    rows.append((int(mark % buckets), 3, mark, b"", often.tobytes(), b""))
                 yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=EXCHANGED), preserve_index=False)
 
     return run
 
 
+def _drawn(place: np.ndarray, row: int) -> np.ndarray:
+    """Whether an occurrence of an anchor is one of the sample, by row and place."""
+    at = (place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(int(row) & 0xFFFFFFFFFFFFFFFF)
+    return _mixed(_mixed(at)) % np.uint64(RATE) == 0
+
+
+def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How often each anchor was drawn."""
+    for batch in batches:
+        name, n = np.unique(np.frombuffer(b"".join(batch["names"]), np.uint64), return_counts=True)
+        yield pd.DataFrame({"name": name.view(np.int64), "n": n})
+
+
 EXCHANGED = ["bucket", "kind", "batch", "keys", "names", "who"]
 EXCHANGE = "bucket long, kind long, batch long, keys binary, names binary, who binary"
 
@@ -328,8 +355,12 @@ def _span_block(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(b"".join(x.astype(np.int64).tobytes() for x in (row, start, end)))
 
 
-def _runs(buckets: int, splitters: list[bytes]):
-    """Sorted runs of suffixes, cut by range, and the spans that a run has found by itself."""
+def _runs(buckets: int, splitters: list[bytes], hot: np.ndarray, hot_parts: int):
+    """Sorted runs of suffixes, cut by range, and the spans that a run has found by itself.
+
+    Suffixes at ``hot`` anchors make runs of their own, whose windows are dealt to ``hot_parts``
+    parts behind the ranges.
+    """
     bounds = np.array(splitters, dtype=f"S{GRAM}")
 
     def sorted_run(held: list[Suffixes]) -> Iterator[tuple[int, int, bytes]]:
@@ -343,29 +374,113 @@ def _runs(buckets: int, splitters: list[bytes]):
             if lo < hi:
                 yield part, 0, coded(kept.take(np.arange(lo, hi)))
 
+    def windows_run(held: list[Suffixes]) -> Iterator[tuple[int, int, bytes]]:
+        kept, spans = collapsed(Suffixes.joined(held))
+        if len(spans[0]):
+            yield int(spans[0][0]) % (len(bounds) + 1), 1, _span_block(*spans)
+        w, spans = distinct_windows(windows(kept))
+        if len(spans[0]):
+            yield int(spans[0][0]) % (len(bounds) + 1), 1, _span_block(*spans)
+        part = (w.mark() % np.uint64(hot_parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        cut = np.searchsorted(part[order], np.arange(hot_parts + 1))
+        for k in range(hot_parts):
+            if cut[k] < cut[k + 1]:
+                yield len(bounds) + 1 + k, 2, w.take(order[cut[k]:cut[k + 1]]).coded()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+        warm, warm_size = [], 0
 
-        def out():
+        def out(rows):
             return pa.RecordBatch.from_pandas(
-                pd.DataFrame(list(sorted_run(held)), columns=["part", "kind", "block"]), preserve_index=False)
+                pd.DataFrame(list(rows), columns=["part", "kind", "block"]), preserve_index=False)
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("doc", "row", "names", "text")]
             for doc, row, names, text in zip(*columns):
-                found = suffixes(_bytes_of(text), np.frombuffer(names, np.uint64), buckets, doc, row)
+                b, own = _bytes_of(text), np.frombuffer(names, np.uint64)
+                is_hot = np.isin(own, hot)
+                if is_hot.any():
+                    all_warm = suffixes(b, own[is_hot], buckets, doc, row)
+                    for at in range(0, len(all_warm or ()), HOT_RUN):  # a text of any length, a run at a time
+                        warm.append(all_warm.take(slice(at, at + HOT_RUN)))
+                        warm_size += len(warm[-1])
+                        if warm_size >= HOT_RUN:
+                            yield out(windows_run(warm))
+                            warm, warm_size = [], 0
+                    own = own[~is_hot]
+                found = suffixes(b, own, buckets, doc, row)
                 if found is not None:
                     held.append(found)
                     size += len(found)
                 if size >= RUN:
-                    yield out()
+                    yield out(sorted_run(held))
                     held, size = [], 0
         if held:
-            yield out()
+            yield out(sorted_run(held))
+        if warm:
+            yield out(windows_run(warm))
 
     return run
 
 
+class Windows:
+    """Windows as SPAN bytes each, with document, row and start."""
+
+    def __init__(self, data, doc, row, start):
+        self.data, self.doc, self.row, self.start = data, doc, row, start
+
+    def take(self, at: np.ndarray) -> "Windows":
+        return Windows(self.data[at], self.doc[at], self.row[at], self.start[at])
+
+    def mark(self) -> np.ndarray:
+        """A hash of the bytes of each."""
+        words = np.zeros((len(self.doc), 56), np.uint8)
+        words[:, :SPAN] = self.data
+        words = words.view(np.uint64)
+        mark = np.zeros(len(words), np.uint64)
+        for k in range(words.shape[1]):
+            mark = _mixed((mark ^ words[:, k]) + np.uint64(k + 1))
+        return _mixed(mark)
+
+    def coded(self) -> bytes:
+        parts = [self.doc, self.row, self.start, self.data]
+        return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in parts))
+
+    @staticmethod
+    def decoded(block: bytes) -> "Windows":
+        data = zstandard.ZstdDecompressor().decompress(block)
+        n = len(data) // (24 + SPAN)
+        numbers = np.frombuffer(data, np.int64, 3 * n).reshape(3, n)
+        return Windows(np.frombuffer(data, np.uint8, n * SPAN, 24 * n).reshape(n, SPAN), *numbers)
+
+    @staticmethod
+    def joined(parts: list["Windows"]) -> "Windows":
+        return Windows(*[np.concatenate([getattr(p, f) for p in parts]) for f in ("data", "doc", "row", "start")])
+
+
+def windows(s: Suffixes) -> Windows:
+    """All windows of suffixes."""
+    parts = []
+    for offset in range(LEFT + 1):
+        own = np.flatnonzero((s.low <= offset) & (s.high >= offset))
+        data = np.concatenate((s.left[own, :offset][:, ::-1], s.right[own, :SPAN - offset]), axis=1)
+        parts.append(Windows(data, s.doc[own], s.row[own], s.place[own] - offset))
+    return Windows.joined(parts)
+
+
+def distinct_windows(w: Windows) -> tuple[Windows, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Each window for its smallest document, and the spans of those of larger documents."""
+    _, name = np.unique(np.ascontiguousarray(w.data).view(f"S{SPAN}").reshape(-1), return_inverse=True)
+    order = np.lexsort((w.doc, name))
+    start = np.concatenate(([True], name[order][1:] != name[order][:-1]))
+    least = order[np.flatnonzero(start)][np.cumsum(start) - 1]
+    gone = w.doc[order] > w.doc[least]
+    out = order[gone]
+    return w.take(np.sort(order[~gone])), united(w.row[out], w.start[out], w.start[out] + SPAN)
+
+
 # -- step 3: merge
 
 def merge(runs: list[tuple[np.ndarray, list[bytes]]]) -> tuple[np.ndarray, np.ndarray]:
@@ -471,19 +586,24 @@ def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def frame(row, start, end) -> pd.DataFrame:
         return pd.DataFrame({"row": row, "start": start, "end": end})
 
-    now, held = -1, []
+    def met(kind: int, blocks: list[bytes]) -> pd.DataFrame:
+        if kind == 2:
+            return frame(*distinct_windows(Windows.joined([Windows.decoded(b) for b in blocks]))[1])
+        return found(blocks)
+
+    now, of, held = -1, 0, []
     for batch in batches:
         for part, kind, block in zip(batch["part"], batch["kind"], batch["block"]):
             if kind == 1:
                 yield frame(*np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.int64).reshape(3, -1))
                 continue
             if part != now and held:
-                yield found(held)
+                yield met(of, held)
                 held = []
-            now = part
+            now, of = part, kind
             held.append(block)
     if held:
-        yield found(held)
+        yield met(of, held)
 
 
 # -- step 4: cut
@@ -534,9 +654,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                     for i in range(0, len(r["names"]), GRAM)})
     splitters = [grams[len(grams) * k // ranges] for k in range(1, ranges)] if len(grams) >= ranges else grams
     splitters = sorted(set(s.rstrip(b"\0") for s in splitters) - {b""})
+    # at most one in RANGE_SUFFIXES anchors, about
+    drawn = shared.where("kind = 3").select("names").mapInPandas(_spread, "name long, n long").groupBy("name").agg(
+        F.sum("n").alias("n")).where(F.col("n") >= DRAWN).toPandas()
+    hot = np.sort(drawn["name"].to_numpy(np.int64).view(np.uint64))
+    hot_parts = int(drawn["n"].sum()) * RATE * (LEFT + 1) // 2 // HOT_WINDOWS + 1 if len(hot) else 0
     runs = docs.join(names, "row").select("doc", "row", "names", "text").mapInArrow(
-        _runs(buckets, splitters), "part long, kind long, block binary")
-    return runs.repartition(len(splitters) + 1, "part").sortWithinPartitions("part").mapInPandas(
+        _runs(buckets, splitters, hot, hot_parts), "part long, kind long, block binary")
+    return runs.repartition(len(splitters) + 1 + hot_parts, "part").sortWithinPartitions("part").mapInPandas(
         _merged, "row long, start long, end long")
 
 

@@ -106,6 +106,31 @@ def test_merge_is_a_sort_and_knows_prefixes(n_runs):
         assert a[:c] == b[:c] and (c == sx.SPAN or a[c] != b[c])
 
 
+def test_a_hot_phrase_in_changing_surroundings(spark, monkeypatch):
+    monkeypatch.setattr(sx, "RATE", 1)
+    monkeypatch.setattr(sx, "HOT_RUN", 60)
+    monkeypatch.setattr(sx, "HOT_WINDOWS", 500)
+    rng = random.Random(9)
+    phrase = "a phrase of the header that very many texts have in them"
+    around = [text_of(rng, 12) for _ in range(12)]
+    rows = [(i, f"{text_of(rng, 30)}{rng.choice(around)}{phrase}{rng.choice(around)}{text_of(rng, 30)}") for i in range(300)]
+    rows += [(None, rows[7][1]), (5, rows[8][1]), (400, phrase * 40), (401, phrase * 3 + "\0" * 60), (402, "x" + "\0" * 70)]
+    assert run(spark, rows) == brute(rows)
+    docs = spark.createDataFrame([(i, i, t) for i, (_, t) in enumerate(rows)], "row long, doc long, text string")
+    plan = sx.repeated_spans(docs)
+    assert plan.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
+
+
+def test_windows_are_those_of_the_suffixes():
+    b = np.random.default_rng(5).integers(97, 100, 2000).astype(np.uint8)
+    hashes, *_ = sx.anchors(b)
+    w = sx.windows(sx.suffixes(b, np.unique(sx.bucketed(hashes, 8)), 8, 5, 6))
+    assert sorted(w.start.tolist()) == list(range(len(b) - sx.SPAN + 1))
+    assert all((b[at:at + sx.SPAN] == row).all() for at, row in zip(w.start.tolist(), w.data))
+    back = sx.Windows.decoded(w.coded())
+    assert (back.data == w.data).all() and (back.start == w.start).all()
+
+
 def test_a_run_is_read_as_written():
     rng = np.random.default_rng(4)
     b = rng.integers(97, 100, 3000).astype(np.uint8)
