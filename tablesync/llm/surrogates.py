@@ -1,9 +1,9 @@
 """Replace personal data and secrets by surrogates that keep type, script, gender and format.
 
-Entities are found by pattern: e-mail addresses, international phone numbers, payment card
-numbers, IPv4 addresses, keys and tokens, passwords and secrets after their label (with a
-digit, so that prose is left alone), social security numbers and names after a title. A
-surrogate comes from a keyed hash (HMAC) of the entity's type and normal form: digits stay
+Entities are found by pattern: e-mail addresses, international phone numbers of 7 to 15 digits,
+payment card numbers (four fours, or 13 to 19 digits whose check digit holds), IPv4 addresses, keys and tokens, passwords and secrets after their label (with a
+digit, so that prose is left alone), social security numbers and names after a title, with
+further mentions of the same name in the text. A surrogate comes from a keyed hash (HMAC) of the entity's type and normal form: digits stay
 digits, letters stay letters of their script and case, separators stay; a card keeps whether
 its check digit holds, an address stays an address, a name keeps its gender by its title and
 its script. The same entity gets the same surrogate in every document (coreference).
@@ -36,6 +36,8 @@ from tablesync.llm.common import carried, saved, table
 
 KEY = b"set a secret of your own"
 ROUNDS = 64
+#: Kinds of which only the digits count.
+DIGITS = ("card", "ssn", "phone")
 
 # The patterns of the entities, in the order in which they are preferred.
 PATTERNS = {
@@ -45,11 +47,15 @@ PATTERNS = {
     "secret": r"\b(?i:pass(?:word|wd|phrase)|pwd|secret|token|api[_-]?key)\s{0,3}[:=]\s{0,3}[\"']?(?P<said>(?=[^\s\"'<>&,;]*\d)[^\s\"'<>&,;]{3,}[^\s\"'<>&,;.:!?)])",
     "card": r"(?<![\d.])\d{4}(?:[ -]?\d{4}){3}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)",
+    "phone": r"(?<![\w+])\+\d(?:(?:[   .]|[ ]?[-/‑–][ ]?|[ ]?\([ ]?|[ ]?\)[ ]?)?\d){6,14}(?!\d)",
     "man": r"(?<=\bMr\.[ ])\p|(?<=\bMr[ ])\p|(?<=\bHerr[ ])\p|(?<=\bHerrn[ ])\p|(?<=\bSr\.[ ])\p|(?<=\bSeñor[ ])\p|(?<=\bMonsieur[ ])\p|(?<=\bг-н[ ])\p",
     "woman": r"(?<=\bMrs\.[ ])\p|(?<=\bMs\.[ ])\p|(?<=\bMiss[ ])\p|(?<=\bMrs[ ])\p|(?<=\bFrau[ ])\p|(?<=\bSra\.[ ])\p|(?<=\bSeñora[ ])\p|(?<=\bMadame[ ])\p|(?<=\bг-жа[ ])\p",
+    "number": r"(?<![\d.])\d(?:[ -]?\d){12,18}(?!\d)",  # a card if it passes for one
 }
-PERSON = r"(?-i:[A-ZÀ-ÖØ-ÞЁА-Я][a-zà-öø-ÿёа-я]+(?:[ -][A-ZÀ-ÖØ-ÞЁА-Я][a-zà-öø-ÿёа-я]+){0,2})"
+# O'Brien, McDonald, Smith; with initials, and up to three of them
+UPPER, LOWER = "A-ZÀ-ÖØ-ÞЁА-Я", "a-zà-öø-ÿёа-я"
+NAME = rf"[{UPPER}](?:['’][{UPPER}])?[{LOWER}]+(?:[{UPPER}][{LOWER}]+)*"
+PERSON = rf"(?-i:(?:[{UPPER}]\.[ ]?){{0,3}}{NAME}(?:[ -](?:[{UPPER}]\.[ ]?){{0,3}}{NAME}){{0,2}})"
 # Given names and family names by gender and script, ASCII first.
 GIVEN = {
     ("man", "latin"): "Adam Boris Carl David Emil Frank Georg Hugo Ivan Jonas Karl Louis Marco Nils Oscar Paul Robert Simon Thomas Victor".split(),
@@ -76,8 +82,42 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
     """Entities of a text as (start, end, kind), leftmost first."""
     if not text or not HINT.search(text):
         return []
-    return [(m.start(), m.end(), m.lastgroup) if m["said"] is None else (m.start("said"), m.end(), _labelled(m["said"]))
-            for m in FINDER.finditer(text)]
+    found, at = [], 0
+    while m := FINDER.search(text, at):
+        kind, at = m.lastgroup, m.end()
+        if m["said"] is not None:
+            found.append((m.start("said"), at, _labelled(m["said"])))
+        elif kind != "number":
+            found.append((m.start(), at, kind))
+        elif is_card(m[0]):
+            found.append((m.start(), at, "card"))
+        else:
+            at = m.start() + 1
+    return _again(text, found)
+
+
+def _again(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The finds with further mentions of their names between them."""
+    names: dict[str, str] = {}
+    for a, b, kind in found:
+        if kind in ("man", "woman"):
+            names.setdefault(text[a:b], kind)
+    if not names:
+        return found
+    known = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")(?!\w)")
+    out, at = [], 0
+    for a, b, kind in [*found, (len(text), len(text), "")]:
+        out += [(m.start(), m.end(), names[m[0]]) for m in known.finditer(text, at, a)]
+        if kind:
+            out.append((a, b, kind))
+        at = b
+    return out
+
+
+def is_card(value: str) -> bool:
+    """Whether 13 to 19 digits pass for a card: by first digit, as epochs are no cards, and check digit."""
+    digits = re.sub(r"\D", "", value)
+    return (digits[0] in "23456" or digits[0] == "1" and len(digits) == 15) and luhn(digits)
 
 
 def _labelled(value: str) -> str:
@@ -87,7 +127,7 @@ def _labelled(value: str) -> str:
 
 def normal(kind: str, value: str) -> str:
     """What two mentions of one entity have in common: its format does not count."""
-    if kind in ("card", "ssn", "phone"):
+    if kind in DIGITS:
         return re.sub(r"\D", "", value)
     return value.casefold() if kind in ("email", "key") else value
 
@@ -133,13 +173,15 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
     """The replacement in normal form, of the value in normal form, at an attempt."""
     draw = Stream(key, kind, value, attempt)
     # few letters leave few surrogates, and none of them leaves one: later attempts add some
-    more = "".join(_letter("a", draw) for _ in range(max(0, attempt - 2)))
+    more = "".join(_letter("a", draw) for _ in range(max(0, attempt - 2))) if kind not in DIGITS else ""
+    further = "".join(str(draw.below(10)) for _ in range(max(0, attempt - 8))) if kind in DIGITS else ""
     if kind == "email":
         local, _, _ = value.partition("@")
         return "".join(_letter(c, draw) for c in local) + (
             "" if len(local) > 6 else "".join(_letter("a", draw) for _ in range(7 - len(local)))) + more + "@example.com"
     if kind == "ip":
-        first = 10 if attempt < 8 else 240 + draw.below(15)  # private, then reserved addresses
+        # private, then reserved, then all addresses
+        first = 10 if attempt < 8 else 240 + draw.below(15) if attempt < 24 else 1 + draw.below(254)
         return f"{first}.{draw.below(256)}.{draw.below(256)}.{1 + draw.below(254)}"
     if kind in ("key", "secret"):
         kept = 2 if kind == "key" else 0
@@ -147,13 +189,13 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
             return "".join("0123456789abcdef"[draw.below(16)] for _ in value) + more
         return value[:kept] + "".join(_letter(c, draw) for c in value[kept:]) + more
     if kind == "card":
-        body = "".join(str(draw.below(10)) for _ in value[:-1])
+        body = "".join(str(draw.below(10)) for _ in value[:-1]) + further
         check = next(c for c in "0123456789" if luhn(body + c))
         return body + (check if luhn(value) else str((int(check) + 1 + draw.below(9)) % 10))
     if kind == "ssn":
-        return "9" + "".join(str(draw.below(10)) for _ in value[1:])
+        return "9" + "".join(str(draw.below(10)) for _ in value[1:]) + further
     if kind == "phone":
-        return value[:1] + "".join(str(draw.below(10)) for _ in value[1:])
+        return value[:1] + "".join(str(draw.below(10)) for _ in value[1:]) + further
     script = "cyrillic" if "Ѐ" <= value[0] <= "ӿ" else "latin"
     given, family = GIVEN[kind, script], FAMILY[kind, script]
     parts = [family[draw.below(len(family))] for _ in re.findall(r"[ -]", value)]
@@ -165,9 +207,10 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
 
 def fitted(kind: str, mention: str, replacement: str) -> str:
     """The surrogate in the format of a mention: its separators and its case."""
-    if kind in ("card", "ssn", "phone"):
+    if kind in DIGITS:
         digits = iter(replacement)
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        # a surrogate that had to grow has digits left over
+        return "".join([*[next(digits) if c.isdigit() else c for c in mention], *digits])
     if kind == "key" and mention.upper() == mention:
         return replacement.upper()
     return replacement

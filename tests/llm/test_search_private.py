@@ -158,6 +158,25 @@ def test_labelled_secrets_are_replaced_and_prose_is_not(spark):
     assert len({surrogates.surrogate("secret", "1---", attempt) for attempt in range(12)}) > 9
 
 
+def test_phones_cards_and_names_are_replaced_whole(spark):
+    whole = {"phone": ["+33 1 42 68 53 00", "+61 2 9374 4000", "+32 2 555 12 12", "+33 (0)1 42 68 53 00", "+49 89 12 34 56 78", "+4989123456"],
+             "card": ["3782 822463 10005", "4222222222222", "6304000000000000000", "4111 1111 1111 1111", "1234-5678-9012-3456"],
+             "man": ["McDonald", "J. Smith", "O'Brien", "J. R. R. Tolkien", "John Smith", "Jean-Luc DeVito"]}
+    for kind, values in whole.items():
+        for value in values:
+            text = f"then {'Mr. ' if kind == 'man' else ''}{value}, and."
+            assert [(text[a:b], k) for a, b, k in surrogates.find(text)] == [(value, kind)]
+    for text in ("at 1700000000000 ms", "call +12 345", "of 3782 822463 10006 and", "+1 of 12345678"):
+        assert surrogates.find(text) == []
+    assert [k for _, _, k in surrogates.find("no 10 20 30 40 50 60 70 and 123-45-6789 or 10.0.0.1")] == ["ssn", "ip"]
+    new = replaced(spark, [(1, "Mr. John Smith came. John Smith and a Johnsmith left; then Mr. John Smith.", "x")])[1]
+    names = re.fullmatch(r"Mr\. (.+) came\. (.+) and a Johnsmith left; then Mr\. (.+)\.", new["text"]).groups()
+    assert len(set(names)) == 1 and names[0] != "John Smith" and len(new["entities"]) == 3
+    for kind, value in (("phone", "1234567"), ("ssn", "123456789"), ("card", "4222222222222")):
+        assert len(surrogates.surrogate(kind, value, 20)) > len(value)
+    assert surrogates.fitted("phone", "+1 23", "45678") == "+4 5678"
+
+
 def test_surrogate_edge_cases(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, "no entity", None), (None, "a@b.example", "x"), (4, "a@b.example " * 5000, "x")]
     got = replaced(spark, rows)
