@@ -86,13 +86,15 @@ def _only_stored(window: DataFrame, source: DataFrame, sink: str, column: str, l
     """Rows of the last stored day that the window does not bring again.
 
     They are set aside before the day is replaced; a run that died in between is repeated
-    with what its first try has set aside.
+    with what its first try has set aside. What a run left that died while setting aside has
+    no mark of success and is written again: the day was not replaced by then.
     """
     spark = source.sparkSession
     stored = between(scan_parquet(spark, sink, source.schema), column, low, low, "both").select(*source.columns)
-    if exists(spark, aside):
+    if exists(spark, f"{aside}/_SUCCESS"):
         return scan_parquet(spark, aside, source.schema)
-    overwrite(stored.exceptAll(between(window, column, low, low, "both")), aside)
+    overwrite(stored.exceptAll(between(window, column, low, low, "both")), aside,
+              options={"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"})
     return scan_parquet(spark, aside, source.schema)
 
 

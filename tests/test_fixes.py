@@ -1,5 +1,7 @@
 """Rows that must not be lost or skipped, and a control plane that stays bounded."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -146,6 +148,18 @@ def test_late_rows_do_not_erase_stored_ones(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [1, 1, 2, 3, 4]
 
 
+def test_rows_half_set_aside_are_set_aside_again(spark, tmp_path):
+    registry, sink = Registry(spark, new_path(tmp_path)), new_path(tmp_path)
+
+    def run(source, as_of, load, **more):
+        return backup_window(source, sink, "day", as_of, registry, "t", load, **more)
+
+    run(daily(spark, ("2024-01-01", 1), ("2024-01-01", 2)), "2024-01-03", "a", first_load=True)
+    os.makedirs(f"{sink}/_kept/load_id=b/_temporary/0/task_1")  # a run that died in its first write
+    run(daily(spark, ("2024-01-01", 3), ("2024-01-02", 4)), "2024-01-04", "b", closed="low")
+    assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [1, 2, 3, 4]
+
+
 def test_a_bound_that_would_be_ignored_is_an_error(spark, tmp_path):
     registry, sink = Registry(spark, new_path(tmp_path)), new_path(tmp_path)
     backup_window(daily(spark, ("2024-01-01", 1)), sink, "day", "2024-01-03", registry, "t", "a", first_load=True)
