@@ -20,6 +20,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -56,6 +57,19 @@ WORDS = frozenset(
     "overlay cookie cookies consent gdpr notice notices newsletter subscribe subscription signup share sharing "
     "social related recommended recommendations comment comments disqus reply replies respond pagination pager "
     "login search toolbar skip".split())
+#: Words that name furniture whatever else the element is named for.
+PLAIN = frozenset(
+    "nav navbar navigation breadcrumb breadcrumbs ad ads advert adverts advertisement advertisements sponsored cookie "
+    "cookies consent gdpr newsletter share sharing related recommended recommendations comment comments disqus "
+    "pagination pager".split())
+#: Words that go with those of furniture in a name, and those that do so with PLAIN ones only.
+WITH = frozenset(
+    "site page main top bottom left right primary secondary global sub mobile desktop sticky fixed block box bar bars "
+    "list lists link links item items container wrapper wrap inner outer section area slot unit panel column col "
+    "button buttons btn icon icons form field input text toggle message policy posts articles stories news thread "
+    "us me now this media and content widget the".split())
+OWNERS = frozenset("post article entry story blog".split())
+NEVER = frozenset("html body #root".split()) | TEXT_BLOCKS
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -68,12 +82,13 @@ carried(__name__)
 class Node:
     """An element; ``parts`` are its texts and elements in order."""
 
-    __slots__ = ("tag", "attrs", "parts", "holds", "key")
+    __slots__ = ("tag", "attrs", "parts", "holds", "key", "size", "most")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag, self.attrs, self.parts = tag, attrs, []
         self.holds = False  # an article or main element below it
         self.key = 0
+        self.size, self.most = 0, False  # characters of text, and whether they are most of the page's
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -138,18 +153,29 @@ def furniture(node: Node) -> bool:
     if node.tag in FURNITURE:
         return True
     attrs = node.attrs
-    if not attrs:
+    if not attrs or node.tag in ("html", "body", "#root"):
         return False
     if attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
         return True
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    return any(w.lower() in WORDS for w in NAME_WORD.findall(names))
+    if node.tag in NEVER:
+        return False
+    return any(_names_furniture(name, node.most) for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split())
+
+
+@lru_cache(maxsize=1 << 16)
+def _names_furniture(name: str, most: bool) -> bool:
+    """Whether a class or id names furniture as a whole; for most of a page's text only by a plain word."""
+    words = [w for w in map(str.lower, NAME_WORD.findall(name)) if not w.isdigit()]
+    plain = any(w in PLAIN for w in words)
+    if not plain and (most or not any(w in WORDS for w in words)):
+        return False
+    return all(w in WORDS or w in WITH or plain and w in OWNERS for w in words)
 
 
 def mark(node: Node) -> None:
-    """Find the elements that hold an article, and hash every subtree; children come first."""
+    """Find the elements that hold an article or most of the text, and hash every subtree; children come first."""
     order, todo = [], [node]
     while todo:
         top = todo.pop()
@@ -160,7 +186,10 @@ def mark(node: Node) -> None:
         top.holds = any(p.holds or p.tag in ("article", "main") for p in inner)
         said = [f"{top.tag} {top.attrs.get('class', '')} {top.attrs.get('id', '')}"]
         said += [f"<{p.key}>" if isinstance(p, Node) else " ".join(p.split()) for p in top.parts]
+        top.size = sum(p.size if isinstance(p, Node) else len(p.strip()) for p in top.parts)
         top.key = xxhash.xxh3_64_intdigest("\x1f".join(said)) - (1 << 63)
+    for top in order:
+        top.most = 2 * top.size > node.size
 
 
 def candidates(root: Node) -> set[int]:
@@ -185,8 +214,19 @@ def deletable(node: Node, inside: bool) -> bool:
 
 
 def blocks(root: Node, templates: frozenset[int]) -> list[str]:
-    """The texts of the blocks of the article, or of the page if no article is left."""
-    tops = _tops(root, templates, "article") or _tops(root, templates, "main") or [root]
+    """The texts of the blocks of the article, or of the page if no article is left.
+
+    A main element with text besides its articles is read as a whole.
+    """
+    outermost = _tops(root, templates, ("article", "main"))
+    mains = [top for top in outermost if top.tag == "main"]
+    if mains and _texts(mains, templates, ("article",)):
+        return _texts(outermost, templates)
+    return _texts(_tops(root, templates, ("article",)) or mains or [root], templates)
+
+
+def _texts(tops: list[Node], templates: frozenset[int], without: tuple[str, ...] = ()) -> list[str]:
+    """The texts of the blocks of elements, but for elements of some kinds."""
     out: list[str] = []
     line: list[str] = []
 
@@ -206,7 +246,7 @@ def blocks(root: Node, templates: frozenset[int]) -> list[str]:
                     line.append(part)
                 elif part.tag == "br":
                     line.append(" ")
-                elif not _gone(part, templates, top.tag != "#root"):
+                elif part.tag not in without and not _gone(part, templates, top.tag != "#root"):
                     inner_block = part.tag not in INLINE
                     if inner_block:
                         end()
@@ -227,12 +267,12 @@ def _gone(node: Node, templates: frozenset[int], inside: bool) -> bool:
     return furniture(node) or deletable(node, inside) and node.key in templates
 
 
-def _tops(root: Node, templates: frozenset[int], tag: str) -> list[Node]:
-    """The outermost elements of a kind that are not in page furniture."""
+def _tops(root: Node, templates: frozenset[int], tags: tuple[str, ...]) -> list[Node]:
+    """The outermost elements of some kinds that are not in page furniture."""
     found, todo = [], [root]
     while todo:
         node = todo.pop()
-        if node.tag == tag:
+        if node.tag in tags:
             found.append(node)
             continue
         todo += [p for p in reversed(node.parts) if isinstance(p, Node) and not (

@@ -102,6 +102,22 @@ def test_the_article_without_furniture():
     assert text_of(page) == "A & B\n\nOne two three four five\n\nx\n\ny\n\nq"
 
 
+def test_names_with_a_word_of_furniture_stay():
+    assert text_of("<body class='page has-sidebar'><div id='page' class='no-sidebar'><p>The text.</p></div></body>") == "The text."
+    page = ("<article><div class='article-header'><h1>Title</h1></div><p class='notice-period'>One.</p>"
+            "<h2 id='search-results'>Two</h2><h2 id='social-policy'>Three</h2><p>Four.</p>"
+            "<div class='share-buttons'>x</div><div class='post-comments'>x</div><div id='cookieBanner'>x</div></article>")
+    assert text_of(page) == "Title\n\nOne.\n\nTwo\n\nThree\n\nFour."
+    most = "<div class='widget'><p>Nearly all of the text of this page.</p></div><div class='sidebar'>x</div>"
+    assert text_of(most) == "Nearly all of the text of this page."
+
+
+def test_main_with_text_besides_its_articles():
+    page = "<main><div><p>The whole text.</p></div><article><p>Teaser.</p></article></main><div>x</div>"
+    assert text_of(page) == "The whole text.\n\nTeaser."
+    assert text_of("<main><article><p>The text.</p></article><nav>x</nav></main>") == "The text."
+
+
 def test_broken_markup():
     assert text_of("<article><p><b>one<br><p>two</article><p>out") == "one\n\ntwo"
     assert text_of("plain &lt;text&gt;") == "plain <text>"
