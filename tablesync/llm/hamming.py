@@ -8,12 +8,15 @@ in every segment differs in S * (r + 1) bits. A query ends when its kth distance
 that bound; only the others go on to the next radius, and keep what is no further than their
 kth distance so far.
 
+Vectors are compared with those of their own length: the length is the first number of a code
+and part of every lookup, so vectors of other lengths lose and find nothing.
+
 Equal codes are one row of the index with their k smallest ids, which is all that a result
 can show of them. Ties go to the smaller id. The query's own row is a row like the others.
 
-Defined results: vectors that are null or of another length than the longest have no code,
-and neither answer nor ask; null components count as zero; ids that repeat are separate rows;
-a null id is not indexed; fewer than k rows give as many as there are; an empty table gives
+Defined results: vectors that are null or without components have no code, and neither answer
+nor ask; null components count as zero; ids that repeat are separate rows;
+a null id is not indexed; fewer than k rows of a length give as many as there are; an empty table gives
 an empty result; further columns are not read.
 """
 
@@ -29,56 +32,64 @@ SEGMENT_BITS = 16
 EVERY = 100
 
 
-def codes(vectors: DataFrame, dim: int) -> DataFrame:
-    """Rows (vec_id, code): the code is an array of one number per segment."""
-    segments = [
-        F.aggregate(
-            F.slice("embedding", at + 1, min(SEGMENT_BITS, dim - at)), F.lit(0),
-            lambda sofar, x: F.shiftleft(sofar, 1).bitwiseOR(F.when(x > 0, 1).otherwise(0)))
-        for at in range(0, dim, SEGMENT_BITS)
-    ]
-    return vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") == dim)).select(
-        "vec_id", F.array(*segments).alias("code"))
+def codes(vectors: DataFrame) -> DataFrame:
+    """Rows (vec_id, code): the code is an array of the vector's length and one number per segment."""
+    segments = F.transform(
+        F.sequence(F.lit(1), F.size("embedding"), F.lit(SEGMENT_BITS)),
+        lambda at: F.aggregate(
+            F.slice("embedding", at, SEGMENT_BITS), F.lit(0),
+            lambda sofar, x: F.shiftleft(sofar, 1).bitwiseOR(F.when(x > 0, 1).otherwise(0))))
+    return vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0)).select(
+        "vec_id", F.concat(F.array(F.size("embedding")), segments).alias("code"))
+
+
+def length(code: str = "code") -> Column:
+    return F.get(F.col(code), F.lit(0))
 
 
-def distance(a: str, b: str, segments: int) -> Column:
-    parts = [_part(a, b, s) for s in range(segments)]
-    return sum(parts[1:], parts[0])
+def segments_of(code: str = "code") -> Column:
+    return F.slice(F.col(code), F.lit(2), F.size(code) - 1)
 
 
-def _part(a: str, b: str, s: int) -> Column:
-    return F.bit_count(F.get(F.col(a), s).bitwiseXOR(F.get(F.col(b), s)))
+def _parts(a: str, b: str) -> Column:
+    """The distances of two codes of a length, segment by segment."""
+    return F.zip_with(segments_of(a), segments_of(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
 
 
 def _key(s: Column, value: Column) -> Column:
     """A number for a segment and its value."""
-    return s * (1 << SEGMENT_BITS) + value
+    return s.cast("long") * (1 << SEGMENT_BITS) + value
 
 
-def nearest(index: DataFrame, queries: DataFrame, segments: int, k: int = K) -> DataFrame:
+def nearest(index: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """Rows (code, found, distance) of the codes that hold a query code's k nearest rows.
 
     ``index`` has (code, ids): distinct codes with up to k ids each; ``queries`` has (code).
     """
-    total = index.agg(F.sum(F.size("ids"))).first()[0] or 0
-    enough = min(k, total)
-    where = saved(index.select("code", F.posexplode("code").alias("s", "value"), F.size("ids").alias("n"),
+    totals = index.groupBy(length().alias("length")).agg(
+        F.least(F.lit(k), F.sum(F.size("ids"))).alias("enough"))
+    where = saved(index.select("code", F.posexplode(segments_of()).alias("s", "value"), F.size("ids").alias("n"),
                                F.get("ids", F.lit(0)).alias("least")).select(
-        _key(F.col("s"), F.col("value")).alias("key"), F.col("code").alias("found"), "n", "least"), "segments")
+        length().alias("length"), _key(F.col("s"), F.col("value")).alias("key"), F.col("code").alias("found"), "n", "least"),
+        "segments")
+    segments = F.size("code") - 1
     bits = segments * SEGMENT_BITS
-    active, done, best = saved(queries.select("code", F.lit(bits).alias("bound")).distinct(), "active"), [], None
+    active, done, best = saved(
+        queries.select("code", length().alias("length"), bits.alias("bound")).distinct().join(totals, "length"),
+        "active"), [], None
     for radius in range(SEGMENT_BITS + 1):
         masks = F.filter(F.sequence(F.lit(0), F.lit((1 << SEGMENT_BITS) - 1)), lambda m: F.bit_count(m) == radius)
-        probes = active.select("code", "bound", F.posexplode("code").alias("s", "value")).withColumn(
+        probes = active.select("code", "length", "bound", "enough", F.posexplode(segments_of()).alias("s", "value")).withColumn(
             "mask", F.explode(masks)).select(
-            "code", "bound", "s", _key(F.col("s"), F.col("value").bitwiseXOR(F.col("mask"))).alias("key"))
+            "code", "length", "bound", "enough", "s", _key(F.col("s"), F.col("value").bitwiseXOR(F.col("mask"))).alias("key"))
         # a code is met in every segment that is near; it counts where (distance, segment) is least
-        first = F.array_min(F.array(*[F.struct(_part("code", "found", s).alias("d"), F.lit(s).alias("s"))
-                                      for s in range(segments)]))
+        parts = F.col("parts")
         # the probes come from few rows, but are many: they are not to be broadcast
-        new = probes.hint("merge").join(where, "key").where(first["d"] == radius).where(first["s"] == F.col("s")).where(
-            distance("code", "found", segments) <= F.col("bound")).select(
-            "code", "found", "n", "least", distance("code", "found", segments).alias("distance"))
+        new = probes.hint("merge").join(where, ["length", "key"]).withColumn("parts", _parts("code", "found")).where(
+            (F.array_min(parts) == radius) & (F.array_position(parts, F.lit(radius)) == F.col("s") + 1)).select(
+            "code", "found", "n", "least", "enough", "bound",
+            F.aggregate(parts, F.lit(0), lambda sofar, x: sofar + x).alias("distance")).where(
+            "distance <= bound").drop("bound")
         seen = new if best is None else new.unionByName(best)
         rank = F.row_number().over(Window.partitionBy("code").orderBy("distance", "least"))
         seen = seen.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
@@ -89,14 +100,14 @@ def nearest(index: DataFrame, queries: DataFrame, segments: int, k: int = K) ->
         best = saved(
             seen.withColumn("sofar", F.sum("n").over(sofar)).withColumns({
                 "sure": within.over(Window.partitionBy("code")),
-                "kth": F.min(F.when(F.col("sofar") >= enough, F.col("distance"))).over(Window.partitionBy("code"))})
+                "kth": F.min(F.when(F.col("sofar") >= F.col("enough"), F.col("distance"))).over(Window.partitionBy("code"))})
             .drop("sofar"), "best")
-        finished = best.where(F.col("sure") >= enough)
+        finished = best.where(F.col("sure") >= F.col("enough"))
         done.append(finished.select("code", "found", "distance"))
-        going = best.where(F.col("sure") < enough)
+        going = best.where(F.col("sure") < F.col("enough"))
         kth = going.groupBy("code").agg(F.min("kth").alias("kth"))
         active = saved(active.join(finished.select("code").distinct(), "code", "left_anti").join(
-            kth, "code", "left").select("code", F.coalesce("kth", F.lit(bits)).alias("bound")), "active")
+            kth, "code", "left").select("code", "length", F.coalesce("kth", bits).alias("bound"), "enough"), "active")
         best = saved(going.drop("sure", "kth"), "best")
         if active.isEmpty():
             break
@@ -108,16 +119,12 @@ def nearest(index: DataFrame, queries: DataFrame, segments: int, k: int = K) ->
 
 def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """Rows (query_id, rank, vec_id, distance): the k nearest rows of each row that asks."""
-    dim = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
-    if dim <= 0:
-        dim = 1
-    segments = -(-dim // SEGMENT_BITS)
-    coded = saved(codes(vectors, dim), "codes")
+    coded = saved(codes(vectors), "codes")
     rank = F.row_number().over(Window.partitionBy("code").orderBy("vec_id"))
     index = saved(coded.withColumn("rank", rank).where(F.col("rank") <= k).groupBy("code").agg(
         F.array_sort(F.collect_list("vec_id")).alias("ids")), "index")
     queries = saved(coded.where(is_query).select(F.col("vec_id").alias("query_id"), "code"), "queries")
-    near = nearest(index, queries, segments, k)
+    near = nearest(index, queries, k)
     rows = near.join(index.select(F.col("code").alias("found"), "ids"), "found").select(
         "code", "distance", F.explode("ids").alias("vec_id"))
     placed = rows.withColumn("rank", F.row_number().over(

@@ -102,6 +102,14 @@ def test_search_edge_cases(spark):
     assert got == [(0, 1, 0, 0), (0, 2, 100, 0), (0, 3, 1, 1), (100, 1, 0, 0), (100, 2, 100, 0), (100, 3, 1, 1)]
 
 
+def test_vectors_of_other_lengths_hide_nothing(spark):
+    rng = random.Random(4)
+    groups = [[(i * 10 + g, [rng.gauss(0, 1) for _ in range(n)]) for i in range(60)] for g, n in enumerate((24, 16, 15))]
+    groups += [[(100000, [1.0] * 5000)], [(7, [])]]  # one malformed row that is longer than all others
+    rows = [r for group in groups for r in group]
+    assert found(spark, [(*r, "x", 1) for r in rows]) == sorted(r for group in groups[:4] for r in brute(group))
+
+
 def replaced(spark, rows):
     df = spark.createDataFrame(rows, DOC + ", entities2 string")
     return {r["doc_id"]: r for r in surrogates.pseudonymised(df).collect()}
