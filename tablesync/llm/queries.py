@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tablesync.llm import (
-    bagminhash, decontaminate, hamming, html, language, mixing, sharding, suffixes, surrogates, warc,
+    bagminhash, decontaminate, hamming, html, language, merkle, mixing, sharding, suffixes, surrogates, warc,
 )
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_mixing": mixing.op8,
     "op9_main_text": html.op9,
     "op10_surrogates": surrogates.op10,
+    "op11_manifest": merkle.op11,
 }
 
 ORACLE = {
@@ -24,4 +25,5 @@ ORACLE = {
     "op5_hamming_search": hamming.ORACLE,
     "op6_decontamination": decontaminate.ORACLE,
     "op8_mixing": mixing.ORACLE,
+    "op11_manifest": merkle.ORACLE,
 }
