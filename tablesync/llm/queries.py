@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tablesync.llm import (
-    bagminhash, decontaminate, hamming, html, language, merkle, mixing, sharding, suffixes, surrogates, warc,
+    align, bagminhash, chat, decontaminate, hamming, html, language, merkle, mixing, sharding, suffixes, surrogates,
+    warc,
 )
 
 QUERIES = {
@@ -18,6 +19,8 @@ QUERIES = {
     "op9_main_text": html.op9,
     "op10_surrogates": surrogates.op10,
     "op11_manifest": merkle.op11,
+    "op12_chat": chat.op12,
+    "op13_alignment": align.op13,
 }
 
 ORACLE = {
@@ -26,4 +29,5 @@ ORACLE = {
     "op6_decontamination": decontaminate.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op11_manifest": merkle.ORACLE,
+    "op12_chat": chat.ORACLE,
 }
