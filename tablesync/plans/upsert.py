@@ -64,7 +64,7 @@ def upsert_latest(
         drop_if_exists(table.spark, staging)
         return NOTHING
 
-    staged, size = _stage(table, increment, staging, watermark)
+    staged, size = stage(table, increment, staging, watermark)
     if size["rejected"]:
         overwrite(without_key(staged, table.key), f"{table.path}/rejects/load_id={load_id}")
     if not size["row_count"]:
@@ -90,7 +90,7 @@ def upsert_latest(
             rows,
             before,
             replaces=replaces,
-            watermark=_later(size["watermark"], before.watermark if before else None),
+            watermark=later(size["watermark"], before.watermark if before else None),
             row_count=size["row_count"],
             unique_keys=True,
         )
@@ -114,7 +114,8 @@ def merge(
     return last_of_each(union_rows(base, fresh, allow_new_columns), key, order, ties)
 
 
-def _stage(table: VersionedTable, increment: DataFrame, path: str, watermark: str | None) -> tuple[DataFrame, dict]:
+def stage(table: VersionedTable, increment: DataFrame, path: str, watermark: str | None) -> tuple[DataFrame, dict]:
+    """Write an increment once; that write measures it."""
     keyed = has_key(table.key)
     mark = newest(increment, watermark) if watermark else F.max(F.lit(None)).cast("string")
     seen = Observation()
@@ -129,5 +130,6 @@ def _stage(table: VersionedTable, increment: DataFrame, path: str, watermark: st
     return scan_parquet(table.spark, path, increment.schema), {**seen.get, "buckets": buckets_in(seen.get)}
 
 
-def _later(one: str | None, other: str | None) -> str | None:
+def later(one: str | None, other: str | None) -> str | None:
+    """The later of two watermarks, either of which may be missing."""
     return max((w for w in (one, other) if w is not None), key=datetime.fromisoformat, default=None)

@@ -280,7 +280,7 @@ class VersionedTable:
 
     def retire(self, keep: int = 1) -> int:
         """Drop the buckets that none of the last ``keep`` versions uses, whatever loads
-        that died have left behind, and the control rows of the versions before.
+        that died have left behind, and the control rows and changes of the versions before.
 
         Call it between loads, when no reader of an older version is left and no retired
         load will be tried again. Returns how many bucket directories were dropped. A table
@@ -305,6 +305,7 @@ class VersionedTable:
         )
         drop_other_loads(self.spark, data, in_use)
         drop_other_loads(self.spark, f"{self.path}/staging", ())
+        drop_other_loads(self.spark, f"{self.path}/changes", {row["load_id"] for row in kept})
         self._sweep_catalogue()
         return dropped
 

@@ -1,0 +1,99 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync.plans.backfill import backfill, gap_days, stored_ranges
+from tablesync.plans.backup import backup_window
+from tablesync.plans.registry import Registry
+from tablesync.sources.files import drop_if_exists
+from tablesync.sources.tables import append_partitions, scan_parquet
+from tests.helpers import Crash, crash, fetch, new_path, plan_of
+
+ROW = "n bigint, day date"
+
+
+def days(spark, *numbers, rows=2):
+    return spark.createDataFrame([(10 * d + k, date(2024, 1, d)) for d in numbers for k in range(rows)], ROW)
+
+
+@pytest.fixture
+def registry(spark, tmp_path):
+    return Registry(spark, new_path(tmp_path, "registry"))
+
+
+def backed_up(spark, tmp_path, registry, source, lost=()):
+    sink = new_path(tmp_path, "sink")
+    backup_window(source, sink, "day", "2024-01-30", registry, "t", "first", first_load=True)
+    for d in lost:
+        assert drop_if_exists(spark, f"{sink}/day=2024-01-{d:02}")
+    return sink
+
+
+def test_ranges_and_gaps(spark):
+    stored = days(spark, 1, 2, 3, 6, 8, 9)
+    assert fetch(stored_ranges(stored, "day")) == [
+        (date(2024, 1, 1), date(2024, 1, 3), 3, 2), (date(2024, 1, 6), date(2024, 1, 6), 1, 1),
+        (date(2024, 1, 8), date(2024, 1, 9), 2, None)]
+    assert [r[0].day for r in fetch(gap_days(stored, "day"))] == [4, 5, 7]
+    assert [r[0].day for r in fetch(gap_days(stored, "day", "2023-12-31", "2024-01-11"))] == [31, 10, 11, 4, 5, 7]
+    assert fetch(stored_ranges(stored.where("false"), "day")) == fetch(gap_days(stored.where("false"), "day")) == []
+
+
+def test_a_sink_with_lost_days_is_made_whole(spark, tmp_path, registry):
+    source = days(spark, 1, 2, 3, 4, 6, 7)
+    sink = backed_up(spark, tmp_path, registry, source, lost=(2, 6))
+    result = backfill(source, sink, "day", registry, "t", "fill")
+    assert (result.row_count, result.days, result.absent) == (4, 2, 1), "the source has no fifth"
+    assert (result.first_day, result.last_day) == ("2024-01-02", "2024-01-06")
+    assert fetch(scan_parquet(spark, sink, source.schema)) == fetch(source)
+    assert registry.watermark("t") == "2024-01-07 00:00:00"
+    assert backfill(source, sink, "day", registry, "t", "fill").row_count == 0
+
+
+def test_days_outside_the_stored_range(spark, tmp_path, registry):
+    source = days(spark, 1, 2, 3, 4, 5)
+    sink = backed_up(spark, tmp_path, registry, source, lost=(1, 5))
+    assert backfill(source, sink, "day", registry, "t", "a").row_count == 2, "up to the watermark"
+    assert backfill(source, sink, "day", registry, "t", "b", low="2024-01-01").row_count == 2
+    assert fetch(scan_parquet(spark, sink, source.schema)) == fetch(source)
+    later = source.union(days(spark, 9))
+    assert backfill(later, sink, "day", registry, "t", "c").row_count == 0, "that is the next backup's"
+
+
+def test_short_days(spark, tmp_path, registry):
+    source = days(spark, 1, 2, 3)
+    sink = backed_up(spark, tmp_path, registry, source.where("n <> 21"))
+    assert backfill(source, sink, "day", registry, "t", "a").row_count == 0
+    assert backfill(source, sink, "day", registry, "t", "b", recount=True).row_count == 2
+    assert fetch(scan_parquet(spark, sink, source.schema)) == fetch(source)
+
+
+def test_it_needs_a_backup(spark, tmp_path, registry):
+    with pytest.raises(ValueError, match="run its backup"):
+        backfill(days(spark, 1), new_path(tmp_path), "day", registry, "t", "a")
+
+
+def test_a_run_that_dies_is_repeated(spark, tmp_path, registry, monkeypatch):
+    source = days(spark, 1, 2, 3)
+    sink = backed_up(spark, tmp_path, registry, source, lost=(2,))
+    with monkeypatch.context() as broken:
+        broken.setattr(Registry, "record", crash)
+        with pytest.raises(Crash):
+            backfill(source, sink, "day", registry, "t", "fill")
+    backfill(source, sink, "day", registry, "t", "fill")
+    assert fetch(scan_parquet(spark, sink, source.schema)) == fetch(source)
+
+
+def test_the_missing_days_prune_the_source(spark, tmp_path, registry, monkeypatch):
+    path, plans = new_path(tmp_path, "source"), []
+    append_partitions(days(spark, *range(1, 12)), path, "day")
+    source = spark.read.parquet(path)
+    sink = backed_up(spark, tmp_path, registry, source, lost=(3,))
+    write = backfill.__globals__["replace_partitions"]
+    monkeypatch.setitem(backfill.__globals__, "replace_partitions",
+                        lambda df, *a: (plans.append(plan_of(df)), write(df, *a)))
+    backfill(source, sink, "day", registry, "t", "fill")
+    assert "dynamicpruning" in plans[0] and "SortMergeJoin" not in plans[0]
+    assert "ReadSchema: struct<>" in plan_of(stored_ranges(source, "day"))
+    assert source.where(F.col("day") == "2024-01-03").count() == 2

@@ -1,0 +1,73 @@
+from hypothesis import given
+from hypothesis import strategies as st
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync.operators.content import differing_keys
+from tests.helpers import fetch, plan_of
+from tests.test_latest import relaxed
+from workload.standins import table
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "k bigint, a string, b string"
+values = st.lists(st.tuples(st.sampled_from([None, 1, 2, 3]), st.sampled_from([None, "x", "y"]),
+                            st.sampled_from([None, "x", ""])), max_size=12)
+
+
+def expected(source, sink):
+    found = set()
+    for k in {r[0] for r in source + sink}:
+        one, other = ([r for r in side if r[0] == k] for side in (source, sink))
+        if Counter(one) != Counter(other):
+            what = "missing" if not other else "extra" if not one else "changed"
+            found.add((k, len(one), len(other), what))
+    return found
+
+
+@relaxed
+@given(values, values)
+def test_differences_equal_brute_force(spark, source, sink):
+    one, other = spark.createDataFrame(source, SCHEMA), spark.createDataFrame(sink, SCHEMA)
+    assert set(fetch(differing_keys(one, other, ["k"], levels=(2, 3)))) == expected(source, sink)
+
+
+def test_a_null_moves_between_columns_and_a_repeated_row(spark):
+    one = spark.createDataFrame([(1, None, "x"), (2, "p", "q"), (2, "p", "q"), (None, "n", "n")], SCHEMA)
+    other = spark.createDataFrame([(1, "x", None), (2, "p", "q"), (None, "n", "n")], SCHEMA)
+    assert set(fetch(differing_keys(one, other, ["k"]))) == {(1, 1, 1, "changed"), (2, 2, 1, "changed")}
+
+
+def test_maps_and_chosen_columns(spark):
+    one = spark.createDataFrame([(1, {"a": 1, "b": 2}, "x")], "k bigint, m map<string,int>, v string")
+    other = spark.createDataFrame([(1, {"b": 2, "a": 1}, "y")], "k bigint, m map<string,int>, v string")
+    assert fetch(differing_keys(one, other, ["k"], ["m"])) == []
+    assert fetch(differing_keys(one, other, ["k"])) == [(1, 1, 1, "changed")]
+
+
+def test_unlike_tables_are_refused(spark):
+    one = spark.createDataFrame([(1, "x")], "k bigint, v string")
+    with pytest.raises(ValueError, match="one side only"):
+        differing_keys(one, one.withColumn("w", F.lit(1)), ["k"])
+    with pytest.raises(TypeError, match="v: string is not int"):
+        differing_keys(one, one.withColumn("v", F.lit(1)), ["k"])
+    with pytest.raises(ValueError, match="result"):
+        differing_keys(one.withColumnRenamed("k", "difference"), one, ["difference"])
+
+
+def test_many_differing_buckets_are_not_split(spark, monkeypatch):
+    monkeypatch.setattr("tablesync.operators.content.MOST_BUCKETS", 3)
+    one = spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    other = one.withColumn("v", F.when(F.col("k") % 2 == 0, "b").otherwise("a"))
+    assert {r[0] for r in fetch(differing_keys(one, other, ["k"], levels=(8, 8)))} == set(range(0, 50, 2))
+
+
+def test_rows_are_not_shuffled(spark):
+    """Exchanges lie above partial aggregates; the rows that meet them are of differing buckets."""
+    orders = table(spark, SF, "orders")
+    other = orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") == 5, 0.0).otherwise(F.col("o_totalprice")))
+    plan = plan_of(differing_keys(orders, other, ["o_orderkey"]))
+    assert "SortMergeJoin" not in plan and "LeftSemi, BuildRight" in plan
+    assert plan.count("Exchange hashpartitioning") == plan.count("HashAggregate") // 2

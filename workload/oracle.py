@@ -9,6 +9,7 @@ from workload.queries import (
     ORDERS_MARK,
 )
 from workload.standins import CONFORMED, INSTALLS_SRC, MERCHANT_SRC, OFFERS_SRC
+from workload.upkeep import SQL as UPKEEP
 
 WINDOW = f"""
   install_date > DATE '{LOW_DAY}' AND install_date < DATE '{AS_OF}' - INTERVAL 1 DAY"""
@@ -213,4 +214,5 @@ ORACLE = {
         FROM orders WHERE o_orderdate > TIMESTAMP '{ORDERS_MARK}'
         UNION ALL
         SELECT 'events', '2', max(ts), count(*) FROM events WHERE ts > TIMESTAMP '{EVENTS_MARK}'""",
+    **UPKEEP,
 }
