@@ -59,6 +59,24 @@ def parse_timestamp(column: Column, dtype: T.DataType, pattern: str) -> Column:
     raise TypeError(f"{dtype.simpleString()} is no point in time")
 
 
+def utc_clock(instant: Column) -> Column:
+    """A TIMESTAMP as the date and time it is in UTC, whatever zone the session is in.
+
+    A cast would go through the session's clock, which shows one hour of autumn twice.
+    """
+    micros = F.unix_micros(instant)
+    rest = F.pmod(micros, F.lit(60_000_000))
+    minutes = ((micros - rest) / 60_000_000).cast("int")
+    seconds = rest.cast("decimal(18,6)") / F.lit(1_000_000).cast("decimal(7,0)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        mins=minutes, secs=seconds.cast("decimal(18,6)"))
+
+
+def utc_instant(clock: Column) -> Column:
+    """The TIMESTAMP at which it is this date and time in UTC, whatever zone the session is in."""
+    return F.concat(clock.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def literal_text(value: str | date | datetime) -> str:
     """A point in time as ISO text, typed only by the column that it meets.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.functions.columns import literal_text
+from tablesync.functions.columns import literal_text, utc_clock, utc_instant
 from tablesync.operators.mapping import quoted
 
 Point = str | date | datetime
@@ -21,9 +21,6 @@ Point = str | date | datetime
 #: Text that names a zone after a time of day: Z, an offset or a zone's name.
 ZONE = r"\d{1,2}:\d{2}.*(?:[A-Za-z]|[+-]\d{1,2}(?::?\d{2}){0,2})\s*$"
 
-UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
-
-
 def newer_than(df: DataFrame, column: str, watermark: Point, overlap: str | None = None) -> DataFrame:
     """Rows strictly after the watermark; rows without a value never qualify.
 
@@ -74,7 +71,7 @@ def extract_increment(
 
 
 def newest(df: DataFrame, column: str) -> Column:
-    """Aggregate: the watermark that these rows leave behind, as ISO text.
+    """Aggregate: the watermark that these rows leave behind, as ISO text, in UTC for instants.
 
     It is the greatest of the very values that the filters compare, so a row that was
     loaded can never be newer than the watermark.
@@ -82,10 +79,8 @@ def newest(df: DataFrame, column: str) -> Column:
     value, dtype = _comparable(df, column)
     if not isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         raise TypeError(f"{column} is {dtype.simpleString()}, no point in time")
-    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-    if isinstance(dtype, T.TimestampType) and zone not in UTC:
-        raise ValueError(f"{column} is kept as text, which is ambiguous in {zone}; set the session's zone to UTC")
-    return F.max(value).cast("string")
+    last = F.max(value)
+    return (utc_clock(last) if isinstance(dtype, T.TimestampType) else last).cast("string")
 
 
 def yesterday(as_of: Point) -> Column:
@@ -108,10 +103,8 @@ def _comparable(df: DataFrame, column: str) -> tuple[Column, T.DataType]:
     if isinstance(dtype, T.StringType):
         dtype = T.TimestampNTZType()
         text = quoted(column)
-        zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-        zoned = text.rlike(ZONE)
-        moment = F.convert_timezone(F.lit(zone), F.lit("UTC"), text.try_cast("timestamp").cast(dtype))
-        return F.when(zoned, moment).otherwise(text.try_cast(dtype)), dtype
+        moment = utc_clock(text.try_cast("timestamp"))
+        return F.when(text.rlike(ZONE), moment).otherwise(text.try_cast(dtype)), dtype
     return quoted(column), dtype
 
 
@@ -123,6 +116,9 @@ def _loses_time(df: DataFrame, column: str, bound: Point | Column | None) -> boo
 
 
 def _sides(df: DataFrame, column: str, bound: Point | Column) -> tuple[Column, Column]:
+    """The column and the bound as values of one type. A bound without a zone is UTC in every session."""
     value, dtype = _comparable(df, column)
     limit = bound if isinstance(bound, Column) else F.lit(literal_text(bound))
+    if isinstance(dtype, T.TimestampType) and not isinstance(df.select(limit).schema[0].dataType, T.TimestampType):
+        limit = utc_instant(limit)
     return value, limit.cast(dtype)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesync.operators import increment, metrics
-from tests.helpers import at, fetch, rows
+from tests.helpers import at, fetch, plan_of, rows
 
 MARK = "2024-01-02 00:00:00"
 
@@ -83,3 +83,57 @@ def test_metrics(spark, moments):
     assert fetch(metrics.row_count(nothing)) == [(0,)]
     text = rows(spark, ("2024-01-02T03:04:05",), ("2024-01-03",), (None,), schema="t string")
     assert metrics.scalar_text(metrics.max_parsed(text, "t")) == "2024-01-02 03:04:05"
+
+
+@pytest.fixture(params=["UTC", "Europe/Berlin", "America/New_York", "Asia/Kathmandu"])
+def zone(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.fixture
+def instants(spark):
+    """Hours of UTC around the change of clocks in Berlin, where one hour is shown twice."""
+    return spark.sql("""
+        SELECT CAST(concat('2024-10-27 0', h, ':30:00Z') AS TIMESTAMP) AS at, h AS k
+        FROM (SELECT explode(sequence(0, 5)) AS h)""")
+
+
+def hours(df):
+    return sorted(r["k"] for r in df.select("k").collect())
+
+
+def test_bounds_are_instants_in_every_zone(spark, zone, instants):
+    assert hours(increment.newer_than(instants, "at", "2024-10-27T01:30:00Z")) == [2, 3, 4, 5]
+    assert hours(increment.newer_than(instants, "at", "2024-10-27 00:30:00")) == [1, 2, 3, 4, 5]
+    assert hours(increment.newer_than(instants, "at", "2024-10-27T02:30:00+01:00")) == [2, 3, 4, 5]
+    assert hours(increment.newer_than(instants, "at", "2024-10-27 02:30:00", overlap="1 hour")) == [2, 3, 4, 5]
+    assert hours(increment.between(instants, "at", "2024-10-27 00:30:00", "2024-10-27 03:30:00", "high")) == [1, 2, 3]
+    day = instants.withColumn("at", F.expr("at - INTERVAL 3 HOURS"))
+    assert hours(increment.between(day, "at", None, increment.yesterday("2024-10-28"))) == [0, 1, 2]
+    now = F.lit("2024-10-27 01:30:00Z").cast("timestamp")
+    assert hours(increment.newer_than(instants, "at", now)) == [2, 3, 4, 5]
+
+
+def test_newest_is_utc_in_every_zone(spark, zone, instants):
+    for h in range(6):
+        upto = instants.where(F.col("k") <= h)
+        mark = upto.agg(increment.newest(upto, "at")).first()[0]
+        assert mark == f"2024-10-27 0{h}:30:00"
+        assert hours(increment.newer_than(instants, "at", mark)) == list(range(h + 1, 6))
+    early = spark.sql("SELECT timestamp'1899-12-31 23:59:59.000001Z' AS at")
+    assert early.agg(increment.newest(early, "at")).first()[0] == "1899-12-31 23:59:59.000001"
+
+
+def test_text_with_an_offset_in_every_zone(spark, zone):
+    text = rows(spark, ("2024-10-27T02:30:00+02:00", 0), ("2024-10-27T02:30:00+01:00", 1), ("2024-10-27 02:30:00", 2),
+                ("soon", 3), schema="at string, k int")
+    assert hours(increment.newer_than(text, "at", "2024-10-27T00:30:00Z")) == [1, 2]
+    assert text.agg(increment.newest(text, "at")).first()[0] == "2024-10-27 02:30:00"
+
+
+def test_instants_reach_the_reader_in_every_zone(spark, zone, instants, tmp_path):
+    instants.write.parquet(f"{tmp_path}/instants")
+    stored = increment.newer_than(spark.read.parquet(f"{tmp_path}/instants"), "at", "2024-10-27 01:30:00")
+    assert "PushedFilters: [IsNotNull(at), GreaterThan(at,2024-10-27 01:30:00" in plan_of(stored)

@@ -147,8 +147,10 @@ def test_zoned_timestamps(spark, registry, load, tmp_path):
     assert {r["k"] for r in job.read(spark, registry).collect()} == {1, 2}
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
     try:
-        with pytest.raises(ValueError, match="UTC"):
-            job.run(moments, registry, "3")
+        assert job.run(moments, registry, "3").row_count == 0
+        late = moments.union(spark.sql("SELECT 3L, timestamp'2024-01-01 10:00:00.000003Z', 'c'"))
+        assert job.run(late, registry, "4").row_count == 1
+        assert registry.watermark("zoned") == "2024-01-01 10:00:00.000003"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
