@@ -50,7 +50,8 @@ def insert_offers(staged: DataFrame) -> DataFrame:
     return select_typed(staged, values, OFFERS_SCHEMA)
 
 
-def offers_load(root: str) -> StagedLoad:
+def offers_load(root: str, by_day: bool = False) -> StagedLoad:
+    """The load of the offers target; ``by_day`` lays it out by snapshot, so that reads of some days open no others."""
     return StagedLoad(
         name=NAME,
         target=f"{root}/target",
@@ -58,4 +59,5 @@ def offers_load(root: str) -> StagedLoad:
         column=SNAPSHOT,
         insert=insert_offers,
         target_schema=OFFERS_SCHEMA,
+        day="SnapshotDate" if by_day else None,
     )

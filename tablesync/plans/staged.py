@@ -12,10 +12,12 @@ from pyspark.sql import types as T
 from tablesync.operators.increment import extract_increment, newest
 from tablesync.operators.metrics import reconcile_aggregates
 from tablesync.plans.registry import Registry
-from tablesync.sources.files import drop_if_exists, drop_other_loads
-from tablesync.sources.tables import empty, overwrite
+from tablesync.sources.files import drop_if_exists, drop_other_loads, loads_in
+from tablesync.sources.tables import empty, gathered, overwrite
 from tablesync.sources.versions import check_name
 
+LOAD_ID = "load_id"
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -34,7 +36,8 @@ class StagedLoad:
 
     The registry row is written after the insert and under the target's name. Until then
     the load's directory is not part of the table, and a repeat starts over from the
-    same watermark. Both hold files of ``file_format``, any that Spark writes to a path.
+    same watermark. Both hold files of ``file_format``, any that Spark writes to a path. With
+    ``day``, a column of the target, a load has a directory per value of it, which prunes reads.
     """
 
     name: str
@@ -45,6 +48,11 @@ class StagedLoad:
     target_schema: T.StructType
     file_format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
+    day: str | None = None
+
+    def __post_init__(self) -> None:
+        if LOAD_ID in self.target_schema.names:
+            raise ValueError(f"{LOAD_ID} is a directory of the target and cannot be a column")
 
     def run(
         self,
@@ -82,11 +90,17 @@ class StagedLoad:
         )
 
     def read(self, spark: SparkSession, registry: Registry) -> DataFrame:
-        """The rows of the committed loads."""
-        paths = [f"{self.target}/load_id={load}" for load in registry.progress(self.name).loads]
-        if not paths:
+        """The rows of the committed loads: one path, whose other directories are pruned.
+
+        What is compared on the driver are names of directories, one per load.
+        """
+        committed = registry.progress(self.name).loads
+        if not committed:
             return empty(spark, self.target_schema)
-        return self._scan(spark, self.target_schema, paths)
+        others = sorted(set(loads_in(spark, self.target)) - set(committed))
+        named = T.StructType([*self.target_schema.fields, T.StructField(LOAD_ID, T.StringType())])
+        return self._scan(spark, named, [self.target]).where(~F.col(LOAD_ID).isin(others)).select(
+            *self.target_schema.names)
 
     def sweep(self, spark: SparkSession, registry: Registry) -> int:
         """Between loads, drop what loads that died have left behind."""
@@ -98,7 +112,10 @@ class StagedLoad:
 
     def _insert(self, staged: DataFrame, load_id: str, expected: int) -> None:
         seen = Observation()
-        rows = self.insert(staged).observe(seen, F.count(F.lit(1)).alias("row_count"))
-        overwrite(rows, f"{self.target}/load_id={load_id}", self.file_format, self.options)
+        rows = self.insert(staged)
+        if self.day is not None:
+            rows = gathered(rows, self.day)
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("row_count"))
+        overwrite(rows, f"{self.target}/{LOAD_ID}={load_id}", self.file_format, self.options, self.day)
         if seen.get["row_count"] != expected:
             raise RuntimeError(f"{self.name}: {expected} rows staged, {seen.get['row_count']} inserted")

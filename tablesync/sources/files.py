@@ -41,20 +41,21 @@ def size_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
 
 
-def loads_in(spark: SparkSession, path: str) -> list[str]:
-    """The loads that have a ``load_id=...`` directory here."""
+def directories(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows ``prefix`` in the names of the directories here."""
     fs, target = _open(spark, path)
     names = [entry.getPath().getName() for entry in fs.listStatus(target)] if fs.exists(target) else []
-    return [name.removeprefix(LOAD) for name in names if name.startswith(LOAD)]
+    return [name.removeprefix(prefix) for name in names if name.startswith(prefix)]
+
+
+def loads_in(spark: SparkSession, path: str) -> list[str]:
+    """The loads that have a ``load_id=...`` directory here."""
+    return directories(spark, path, LOAD)
 
 
 def drop_others(spark: SparkSession, path: str, prefix: str, keep: Collection[str]) -> int:
     """Drop the directories named ``prefix`` and something that is not among those to keep."""
-    fs, target = _open(spark, path)
-    if not fs.exists(target):
-        return 0
-    found = [entry.getPath().getName() for entry in fs.listStatus(target)]
-    names = {name.removeprefix(prefix) for name in found if name.startswith(prefix)}
+    names = set(directories(spark, path, prefix))
     return sum(drop_if_exists(spark, f"{path}/{prefix}{name}") for name in names - set(keep))
 
 

@@ -52,10 +52,15 @@ def append(
 
 
 def overwrite(
-    df: DataFrame, path: str | None, source_format: str = "parquet", options: Mapping[str, str] | None = None
+    df: DataFrame,
+    path: str | None,
+    source_format: str = "parquet",
+    options: Mapping[str, str] | None = None,
+    directories: str | None = None,
 ) -> None:
-    """The same, replacing what is there."""
-    df.write.format(source_format).options(**(options or {})).mode("overwrite").save(path)
+    """The same, replacing what is there; ``directories`` is a column that has one per value."""
+    writer = df.write.format(source_format).options(**(options or {})).mode("overwrite")
+    (writer.partitionBy(directories) if directories else writer).save(path)
 
 
 def append_partitions(df: DataFrame, path: str, column: str) -> None:

@@ -26,7 +26,7 @@ import re
 import uuid
 from collections.abc import Callable, Collection, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -52,13 +52,15 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("row_count", T.LongType()),
     T.StructField("unique_keys", T.BooleanType()),
     T.StructField("committed_at", T.TimestampType()),
+    T.StructField("dropped", T.ArrayType(T.StringType())),
 ])
 
 
 @dataclass(frozen=True)
 class Commit:
     """One version. ``buckets`` maps a bucket to the load that holds its rows;
-    ``unique_keys`` tells that no two rows share a key and none lacks one."""
+    ``unique_keys`` tells that no two rows share a key and none lacks one; ``dropped``
+    are columns that files still hold and no reader sees."""
 
     load_id: str
     seq: int
@@ -67,6 +69,7 @@ class Commit:
     watermark: str | None
     row_count: int
     unique_keys: bool
+    dropped: tuple[str, ...] = ()
 
 
 class VersionedTable:
@@ -147,6 +150,7 @@ class VersionedTable:
         The rows carry their bucket number, and NULL in ``new_columns``. A projection
         before a union would make Spark lose sight of the partitioning.
         """
+        _check_dropped(commit.dropped, [f.name for f in new_columns], self.path)
         session = session or self.spark
         name = self._passing_name()
         fields = [*commit.schema.fields, *new_columns]
@@ -241,6 +245,29 @@ class VersionedTable:
             unique_keys=row_by_row and before.unique_keys,
         )
 
+    def drop_columns(self, load_id: str, names: Collection[str]) -> Commit:
+        """Drop columns without reading or writing a row: one control row with a smaller schema.
+
+        Files keep the values until their bucket is written again. A column of the same name can
+        be added once all are, by ``replace``, ``publish`` or ``rebucket``.
+        """
+        done = self.find(load_id)
+        if done is not None:
+            return done
+        before = self.current()
+        if before is None:
+            raise ValueError(f"{self.path}: nothing has been published")
+        gone = set(names)
+        absent = sorted(gone - set(before.schema.names))
+        if absent or gone & set(self.key):
+            raise ValueError(f"{absent or sorted(gone & set(self.key))} cannot be dropped")
+        commit = replace(
+            before, load_id=load_id, seq=before.seq + 1, row_count=0,
+            schema=T.StructType([f for f in before.schema.fields if f.name not in gone]),
+            dropped=tuple(sorted({*before.dropped, *gone})))
+        self._write_commit(commit)
+        return commit
+
     def publish_placed(
         self,
         load_id: str,
@@ -260,6 +287,8 @@ class VersionedTable:
         """
         if self.find(load_id) is not None:
             raise ValueError(f"{self.path}: load {load_id} is committed")
+        dropped = before.dropped if before is not None and replaces is not None else ()
+        _check_dropped(dropped, rows.columns, self.path)
         written = self._write_rows(load_id, rows)
         buckets: dict[int, str] = {}
         if before is not None and replaces is not None:
@@ -274,6 +303,7 @@ class VersionedTable:
             watermark=watermark or (before.watermark if before and keep_watermark else None),
             row_count=written["row_count"] if row_count is None else row_count,
             unique_keys=unique_keys,
+            dropped=dropped,
         )
         self._write_commit(commit)
         return commit
@@ -360,6 +390,7 @@ class VersionedTable:
             "row_count": commit.row_count,
             "unique_keys": commit.unique_keys,
             "committed_at": F.current_timestamp(),
+            "dropped": F.array(*[F.lit(name) for name in commit.dropped]),
         })
         path = f"{self.path}/commits/load_id={commit.load_id}"
         row.drop("load_id").write.mode("overwrite").parquet(path)
@@ -378,6 +409,7 @@ class VersionedTable:
             watermark=row["watermark"],
             row_count=row["row_count"],
             unique_keys=row["unique_keys"],
+            dropped=tuple(row["dropped"] or ()),
         )
 
 
@@ -407,6 +439,12 @@ def buckets_in(measured: dict) -> list[int]:
     return sorted(found)
 
 
+def _check_dropped(dropped: Collection[str], names: Collection[str], path: str) -> None:
+    back = sorted(set(dropped) & set(names))
+    if back:
+        raise ValueError(f"{path}: {back} were dropped and files still hold them; replace the table first")
+
+
 def check_name(name: str) -> str:
     """Names of loads and tables are directory names."""
     if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", name):

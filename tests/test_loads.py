@@ -1,10 +1,12 @@
 import glob
 import itertools
+import os
 
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync.plans import installs, offers
 from tablesync.plans.backup import backup_window, last_stored
@@ -270,3 +272,88 @@ def test_staged_load_in_another_format(spark, tmp_path, file_format, options):
     assert job.run(df, registry, "2").row_count == 8 and not job.run(df, registry, "2").inserted
     assert sorted(map(tuple, job.read(spark, registry).collect())) == sorted(map(tuple, df.collect()))
     assert list((tmp_path / "target" / "load_id=1").glob(f"*.{file_format}"))
+
+
+def files_under(path):
+    return sum(1 for f in glob.glob(f"{path}/**/*.parquet", recursive=True))
+
+
+def test_the_registry_is_folded(spark, registry, monkeypatch):
+    monkeypatch.setattr("tablesync.plans.registry.FOLD", 4)
+    counts = []
+    for n in range(13):
+        registry.record("t", f"load-{n:02}", f"2024-01-{n + 1:02}", n)
+        counts.append(files_under(f"{registry.path}/table_name=t") + files_under(f"{registry.path}/_folded"))
+        assert registry.watermark("t") == f"2024-01-{n + 1:02} 00:00:00"
+        assert registry.committed("t", "load-00") and registry.committed("t", f"load-{n:02}")
+    assert max(counts[4:]) <= 4 and counts[-1] == 2
+    registry.record("u", "one", DAY1, 1)
+    registry.record("t", "load-00", "2024-01-13", 99)
+    assert registry.progress("t").loads == [f"load-{n:02}" for n in range(13)]
+    assert registry.history().count() == 14
+    assert fetch(registry.history().where("load_id = 'load-00'").select("row_count")) == [(99,)]
+    assert fetch(registry.current().select("table_name", "watermark")) == [
+        ("t", at("2024-01-13")), ("u", DAY1)]
+    assert not registry.committed("t", "load-99") and not registry.committed("u", "load-01")
+
+
+@pytest.mark.parametrize("step", ["overwrite", "drop_if_exists", "drop_others"])
+def test_a_fold_that_dies_loses_nothing(spark, registry, monkeypatch, step):
+    for n in range(3):
+        registry.record("t", f"{n}", f"2024-01-0{n + 1}", n)
+    registry.fold("t")
+    registry.record("t", "3", "2024-01-04", 3)
+    before = fetch(registry.history().drop("committed_at"))
+    with monkeypatch.context() as broken:
+        broken.setattr(f"tablesync.plans.registry.{step}", crash)
+        with pytest.raises(Crash):
+            registry.fold("t")
+    assert fetch(registry.history().drop("committed_at")) == before
+    assert registry.progress("t").loads == ["0", "1", "2", "3"]
+    registry.fold("t")
+    assert fetch(registry.history().drop("committed_at")) == before
+    assert files_under(registry.path) == 1
+
+
+def test_a_half_written_fold_is_not_read(spark, registry):
+    registry.record("t", "0", DAY1, 1)
+    registry.fold("t")
+    rows(spark, (1, DAY3, "x")).write.parquet(f"{registry.path}/_folded/table_name=t/fold=2")
+    assert drop_marks(f"{registry.path}/_folded/table_name=t/fold=2")
+    assert registry.watermark("t") == str(DAY1)
+    registry.record("t", "1", DAY2, 1)
+    registry.fold("t")
+    assert registry.progress("t").loads == ["0", "1"]
+
+
+def drop_marks(path):
+    """As a write that died leaves it."""
+    marks = glob.glob(f"{path}/_SUCCESS")
+    for mark in marks:
+        os.remove(mark)
+    return marks
+
+
+def test_a_target_by_day_is_pruned_by_a_join(spark, registry, tmp_path):
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("day", T.DateType())])
+    root = new_path(tmp_path, "by-day")
+    job = StagedLoad("d", f"{root}/target", f"{root}/staging", "at", lambda df: df.select(
+        "k", F.col("at").cast("date").alias("day")), schema, day="day")
+    source = rows(spark, *[(k, at(f"2024-01-0{1 + k % 5}"), "v") for k in range(50)])
+    job.run(source, registry, "1", full_load=True)
+    job.run(source.union(rows(spark, (99, at("2024-01-06"), "w"))), registry, "2")
+    rows(spark, (7, DAY1, "x")).write.parquet(f"{root}/target/load_id=died/day=2024-01-01")
+    stored = job.read(spark, registry)
+    assert stored.count() == 51 and stored.columns == ["k", "day"]
+    assert fetch(stored.where("k = 99")) == [(99, at("2024-01-06").date())]
+    wanted = spark.createDataFrame([(DAY2.date(), 1), (DAY3.date(), 2)], "day date, n int").where("n < 2")
+    joined = stored.join(F.broadcast(wanted), "day")
+    plan = plan_of(joined)
+    assert "dynamicpruning" in plan and "NOT (load_id" in plan or "NOT load_id" in plan
+    assert fetch(joined.select("k")) == sorted([(k,) for k in range(50) if k % 5 == 1], key=repr)
+
+
+def test_load_id_cannot_be_a_column(tmp_path):
+    schema = T.StructType([T.StructField("load_id", T.StringType())])
+    with pytest.raises(ValueError, match="load_id"):
+        StagedLoad("d", f"{tmp_path}/t", f"{tmp_path}/s", "at", lambda df: df, schema)

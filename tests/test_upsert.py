@@ -272,3 +272,25 @@ def test_merchant_sync_over_three_days(spark, tmp_path):
     assert not merchant.sync_merchants(source, table, "day-3").published
     assert not merchant.sync_merchants(source, table, "day-4", overlap="1 hour").rejected
     assert fetch(table.read()) == fetch(whole)
+
+
+def test_columns_are_dropped_without_a_write(spark, tmp_path):
+    table = new_table(spark, tmp_path)
+    put(table, "a", rows(spark, *[(k, DAY1, "a") for k in range(20)]).withColumn("w", F.col("k") * 2))
+    files = sorted(glob.glob(f"{table.path}/data/**/*.parquet", recursive=True))
+    table.drop_columns("dropped", ["w"])
+    table.drop_columns("dropped", ["v"])
+    assert sorted(glob.glob(f"{table.path}/data/**/*.parquet", recursive=True)) == files
+    assert table.read().columns == ["k", "at", "v"] and table.read().count() == 20
+    assert table.current().watermark == str(DAY1) and table.current().unique_keys
+    put(table, "b", rows(spark, (3, DAY2, "b"), (99, DAY2, "c")))
+    assert "w" not in table.read().columns and table.read().count() == 21
+    wider = rows(spark, (4, DAY3, "d")).withColumn("w", F.lit(7).cast("bigint"))
+    with pytest.raises(ValueError, match="replace the table first"):
+        put(table, "c", wider, allow_new_columns=True)
+    table.replace("rewritten", lambda df: df, row_by_row=True)
+    put(table, "d", wider, allow_new_columns=True)
+    assert fetch(table.read().where("w IS NOT NULL").select("k", "w")) == [(4, 7)]
+    for names in (["k"], ["nothing"]):
+        with pytest.raises(ValueError, match="cannot be dropped"):
+            table.drop_columns("no", names)

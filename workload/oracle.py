@@ -8,23 +8,12 @@ from workload.queries import (
     LOW_DAY,
     ORDERS_MARK,
 )
-from workload.standins import CONFORMED, INSTALLS_SRC, MERCHANT_SRC, OFFERS_SRC
+from workload.standins import CONFORMED, INSTALLS_SRC, MERCHANT_SRC, OFFERS_SRC, TYPED_OFFERS
 from workload.upkeep import SQL as UPKEEP
 
 WINDOW = f"""
   install_date > DATE '{LOW_DAY}' AND install_date < DATE '{AS_OF}' - INTERVAL 1 DAY"""
 
-TYPED_OFFERS = """
-  SELECT snapshot_date AS "SnapshotDate",
-         CAST(year(snapshot_date) * 10000 + month(snapshot_date) * 100 + day(snapshot_date) AS BIGINT)
-           AS "SnapshotDateKey",
-         CAST(merchant_id AS BIGINT) AS "MerchantID", CAST(item_id AS VARCHAR) AS "ArticleNumber",
-         CAST(offer_price AS DOUBLE) AS "Price", CAST(offer_id AS BIGINT) AS "OfferID",
-         CAST(offer_is_favorite AS BIGINT) AS "IsFavorite", CAST(1 AS BIGINT) AS "IsOffer",
-         CAST(snapshot_date - offer_delivery_date AS BIGINT) AS "DeliveryDays",
-         offer_delivery_date AS delivery_date
-  FROM offers_src"""
-
 LATEST_ORDER = """
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (

@@ -6,19 +6,22 @@ from pyspark.sql import functions as F
 
 from tablesync.operators import increment
 from tablesync.operators.content import differing_keys
-from tablesync.plans import changes, history, installs
+from tablesync.plans import changes, history, installs, offers
 from tablesync.plans.backfill import backfill, stored_ranges
 from tablesync.plans.registry import Registry
 from tablesync.plans.upsert import upsert_latest
 from tablesync.session import scratch_dir
 from tablesync.sources import files, tables
-from workload.queries import AS_OF, ORDERS_EARLIER_MARK, ORDERS_MARK, hot_orders, order_table, query, up_to
-from workload.standins import INSTALLS_SRC, installs_src, table
+from workload.queries import (
+    AS_OF, ORDERS_EARLIER_MARK, ORDERS_MARK, SHIP_MARK, hot_orders, order_table, query, up_to,
+)
+from workload.standins import INSTALLS_SRC, OFFERS_SRC, TYPED_OFFERS, installs_src, offers_src, table
 
 SQL: dict[str, str] = {}
 
 LOST_DAYS = ("2024-01-05", "2024-01-12", "2024-01-13")
 MOMENT = "1999-06-30"
+LATE_ORDERS = "2001-07-22"
 STATE = ["o_orderstatus", "o_orderpriority"]
 
 
@@ -250,3 +253,48 @@ def backup_stored_ranges(spark, sf_dir):
     root = scratch_dir(spark, "ranges")
     source, _ = gappy_sink(spark, sf_dir, root)
     return stored_ranges(tables.scan_parquet(spark, f"{root}/sink", source.schema), installs.DAY)
+
+
+# C4, K7: layout
+
+
+@with_sql(f"""
+    WITH {OFFERS_SRC} {TYPED_OFFERS} WHERE snapshot_date > DATE '{SHIP_MARK}' AND day(snapshot_date) = 1""")
+def staged_load_by_day(spark, sf_dir):
+    """Two loads of the offers target laid out by snapshot; the first days of months after the mark, by a join."""
+    root = scratch_dir(spark, "offers-by-day")
+    registry = Registry(spark, f"{root}/registry")
+    load = offers.offers_load(root, by_day=True)
+    source = offers_src(spark, sf_dir)
+    load.run(up_to(source, "snapshot_date", SHIP_MARK), registry, "day-1", full_load=True)
+    load.run(source, registry, "day-2")
+    days = source.select(F.col("snapshot_date").alias("SnapshotDate")).where(
+        (F.col("SnapshotDate") > F.lit(SHIP_MARK).cast("date")) & (F.dayofmonth("SnapshotDate") == 1)).distinct()
+    return load.read(spark, registry).join(days, "SnapshotDate", "left_semi")
+
+
+@with_sql("SELECT * EXCLUDE (o_orderpriority) FROM orders")
+def drop_column_in_place(spark, sf_dir):
+    """A column dropped by a control row alone."""
+    target = order_table(spark, sf_dir, "drop-in-place", key="o_orderkey")
+    target.publish("first", table(spark, sf_dir, "orders"))
+    target.drop_columns("dropped", ["o_orderpriority"])
+    return target.read()
+
+
+@with_sql(f"""
+    SELECT 'orders' AS table_name, CAST(count(DISTINCT CAST(o_orderdate AS DATE)) AS BIGINT) AS loads,
+        max(o_orderdate) AS watermark, CAST(count(*) AS BIGINT) AS row_count
+    FROM orders WHERE o_orderdate > TIMESTAMP '{LATE_ORDERS}'""")
+def registry_history(spark, sf_dir):
+    """A load for each of many days, recorded in order: the history after it was folded."""
+    registry = Registry(spark, scratch_dir(spark, "registry-history"))
+    fresh = increment.newer_than(table(spark, sf_dir, "orders"), "o_orderdate", LATE_ORDERS)
+    days = fresh.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(
+        F.max("o_orderdate").cast("string").alias("mark"), F.count(F.lit(1)).alias("n")).orderBy("day")
+    for n, row in enumerate(days.collect()):
+        registry.record("orders", f"{row['day']}", row["mark"], row["n"])
+        if n == 5:
+            registry.fold("orders")
+    return registry.history().groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("loads"), F.max("watermark").alias("watermark"), F.sum("row_count").alias("row_count"))
