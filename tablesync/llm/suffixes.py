@@ -44,6 +44,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,8 +125,11 @@ def _bytes_of(text: str | None) -> np.ndarray:
 def _anchor_rows(buckets: int, sampled: int):
     """Rows for the exchange of anchors: per batch the anchors of each bucket, and what the batch knows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        mark = (TaskContext.get().partitionId() << 32) - 1  # a batch is named by its place in the input
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
+                mark += 1
+                home = ((mark >> 32) + mark) % buckets  # where what is not bound to a bucket goes
                 part = batch.slice(at, BATCH_ROWS)
                 keys = np.array(part.column("row").to_pylist(), np.int64)
                 names, owner, sample, drawn = [], [], [], []
@@ -147,8 +151,7 @@ def _anchor_rows(buckets: int, sampled: int):
                 name, who = name[order], who[order]
                 starts = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
                 several = np.repeat(np.diff(np.append(starts, len(name))) > 1, np.diff(np.append(starts, len(name))))
-                mark = int(keys[0]) ^ len(keys)
-                rows = [(int(mark % buckets), 1, mark, keys.tobytes(), name[several].tobytes(), who[several].tobytes())]
+                rows = [(home, 1, mark, keys.tobytes(), name[several].tobytes(), who[several].tobytes())]
                 one, first = name[starts], who[starts]
                 cut = np.searchsorted(one >> np.uint64(40), np.arange(buckets + 1, dtype=np.uint64))
                 for k in range(buckets):
@@ -157,10 +160,10 @@ def _anchor_rows(buckets: int, sampled: int):
                         low = (own & np.uint64(_LOW)).view(np.uint8).reshape(-1, 8)[:, :5]
                         rows.append((k, 0, mark, b"", low.tobytes(), first[cut[k]:cut[k + 1]].tobytes()))
                 if sample:
-                    rows.append((int(mark % buckets), 2, mark, b"", b"".join(sample), b""))
+                    rows.append((home, 2, mark, b"", b"".join(sample), b""))
                 often = np.concatenate(drawn)
                 if len(often):
-                    rows.append((int(mark % buckets), 3, mark, b"", often.tobytes(), b""))
+                    rows.append((home, 3, mark, b"", often.tobytes(), b""))
                 yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=EXCHANGED), preserve_index=False)
 
     return run
@@ -659,7 +662,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.sum("n").alias("n")).where(F.col("n") >= DRAWN).toPandas()
     hot = np.sort(drawn["name"].to_numpy(np.int64).view(np.uint64))
     hot_parts = int(drawn["n"].sum()) * RATE * (LEFT + 1) // 2 // HOT_WINDOWS + 1 if len(hot) else 0
-    runs = docs.join(names, "row").select("doc", "row", "names", "text").mapInArrow(
+    # rows alike are one, whose spans are all theirs
+    alone = docs.dropDuplicates(["row"]).join(names.dropDuplicates(["row"]), "row")
+    runs = alone.select("doc", "row", "names", "text").mapInArrow(
         _runs(buckets, splitters, hot, hot_parts), "part long, kind long, block binary")
     return runs.repartition(len(splitters) + 1 + hot_parts, "part").sortWithinPartitions("part").mapInPandas(
         _merged, "row long, start long, end long")

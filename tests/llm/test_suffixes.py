@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -146,3 +147,27 @@ def test_united_spans():
     row = np.array([2, 1, 1, 1, 2])
     start, end = np.array([5, 0, 60, 50, 40]), np.array([55, 50, 110, 100, 90])
     assert [x.tolist() for x in sx.united(row, start, end)] == [[1, 2], [0, 5], [110, 90]]
+
+
+def test_batches_with_equal_first_rows(spark):
+    rng = random.Random(21)
+    first = (None, text_of(rng, 80))
+    shared = text_of(rng, 60)
+    one = [first, (2, text_of(rng, 30) + shared), (5, text_of(rng, 90)), (6, text_of(rng, 90))]
+    other = [first, (3, text_of(rng, 90)), (4, shared + text_of(rng, 40)), (7, text_of(rng, 90))]
+    parts = [one, other, one[:2] + other[2:]]
+    docs = spark.createDataFrame(parts[0], SCHEMA).coalesce(1)
+    for part in parts[1:]:
+        docs = docs.union(spark.createDataFrame(part, SCHEMA).coalesce(1))
+    got = sx.without_repeats(docs).select("doc_id", *sx.RESULT[:4]).collect()
+    assert sorted(map(tuple, got), key=repr) == brute([r for part in parts for r in part])
+
+
+def test_many_copies_of_a_row_take_linear_time(spark):
+    rng = random.Random(22)
+    text = text_of(rng, 200)
+    rows = [(None, text)] * 5000 + [(1, text[:120]), (2, text_of(rng, 150))]
+    start = time.perf_counter()
+    got = run(spark, rows)
+    assert time.perf_counter() - start < 20 and len(got) == len(rows)
+    assert set(got) == set(brute([rows[0], *rows[5000:]]))
