@@ -154,17 +154,17 @@ class VersionedTable:
         session = session or self.spark
         name = self._passing_name()
         fields = [*commit.schema.fields, *new_columns]
-        columns = ", ".join(f"{_quote(f.name)} {_type(f.dataType)}" for f in fields)
-        keys = ", ".join(_quote(k) for k in self.key)
+        columns = ", ".join(f"{quote(f.name)} {ddl(f.dataType)}" for f in fields)
+        keys = ", ".join(quote(k) for k in self.key)
         session.sql(
             f"CREATE TABLE {name} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
-            f"CLUSTERED BY ({keys}) INTO {self.n_buckets} BUCKETS LOCATION {_literal(f'{self.path}/data')}"
+            f"CLUSTERED BY ({keys}) INTO {self.n_buckets} BUCKETS LOCATION {literal(f'{self.path}/data')}"
         )
         try:
             present = sorted(set(buckets) & set(commit.buckets))
             for start in range(0, len(present), 1000):
                 parts = " ".join(
-                    f"PARTITION ({BUCKET}={b}) LOCATION {_literal(self._directory(commit.buckets[b], b))}"
+                    f"PARTITION ({BUCKET}={b}) LOCATION {literal(self._directory(commit.buckets[b], b))}"
                     for b in present[start:start + 1000]
                 )
                 session.sql(f"ALTER TABLE {name} ADD {parts}")
@@ -467,21 +467,21 @@ def _as_text(commits: DataFrame) -> DataFrame:
     return commits.withColumn("watermark", F.col("watermark").cast("string"))
 
 
-def _type(dtype: T.DataType) -> str:
+def ddl(dtype: T.DataType) -> str:
     """A type as DDL, with the names of nested fields quoted."""
     if isinstance(dtype, T.StructType):
-        return f"STRUCT<{', '.join(f'{_quote(f.name)}: {_type(f.dataType)}' for f in dtype.fields)}>"
+        return f"STRUCT<{', '.join(f'{quote(f.name)}: {ddl(f.dataType)}' for f in dtype.fields)}>"
     if isinstance(dtype, T.ArrayType):
-        return f"ARRAY<{_type(dtype.elementType)}>"
+        return f"ARRAY<{ddl(dtype.elementType)}>"
     if isinstance(dtype, T.MapType):
-        return f"MAP<{_type(dtype.keyType)}, {_type(dtype.valueType)}>"
+        return f"MAP<{ddl(dtype.keyType)}, {ddl(dtype.valueType)}>"
     return dtype.simpleString()
 
 
-def _quote(name: str) -> str:
+def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _literal(text: str) -> str:
+def literal(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"

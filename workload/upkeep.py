@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from tablesync.operators import increment
 from tablesync.operators.content import differing_keys
-from tablesync.plans import changes, history, installs, offers
+from tablesync.plans import arrival, changes, history, installs, offers
 from tablesync.plans.backfill import backfill, stored_ranges
 from tablesync.plans.registry import Registry
 from tablesync.plans.upsert import upsert_latest
 from tablesync.session import scratch_dir
-from tablesync.sources import files, tables
+from tablesync.sources import catalogue, files, tables
 from workload.queries import (
     AS_OF, ORDERS_EARLIER_MARK, ORDERS_MARK, SHIP_MARK, hot_orders, order_table, query, up_to,
 )
@@ -298,3 +298,69 @@ def registry_history(spark, sf_dir):
             registry.fold("orders")
     return registry.history().groupBy("table_name").agg(
         F.count(F.lit(1)).alias("loads"), F.max("watermark").alias("watermark"), F.sum("row_count").alias("row_count"))
+
+
+# C1, K3: by arrival; K1, K4: tables of the catalogue
+
+
+@with_sql(NOW)
+def arrival_sync(spark, sf_dir):
+    """Orders in two deliveries, the second with late ones that no watermark over dates would let in."""
+    root = scratch_dir(spark, "arrival")
+    source = table(spark, sf_dir, "orders")
+    target = order_table(spark, sf_dir, "arrival-table")
+    arrivals = arrival.Arrivals(f"{root}/source", source.schema, f"{root}/home")
+    for load_id, rows in (("first", source.where("o_orderkey % 5 <> 0")), ("late", source.where("o_orderkey % 5 = 0"))):
+        tables.append(rows, arrivals.source)
+        arrival.sync_arrivals(arrivals, target, ["o_orderdate"], load_id, ties=["o_orderkey"])
+    return target.read()
+
+
+@with_sql("SELECT * FROM events")
+def arrival_unique(spark, sf_dir):
+    """Events of which most are delivered twice, a seventh of them only late."""
+    root = scratch_dir(spark, "arrival-unique")
+    source = table(spark, sf_dir, "events")
+    arrivals = arrival.Arrivals(
+        f"{root}/source", source.schema, f"{root}/home", unique=["event_id"], at="ts", within="60 days")
+    for load_id, rows in (("first", source.where("event_id % 7 <> 0")), ("again", source)):
+        tables.append(rows, arrivals.source)
+        tables.append(arrivals.land(spark, load_id), f"{root}/unique")
+        arrivals.done(spark, load_id)
+    return tables.scan_parquet(spark, f"{root}/unique", source.schema)
+
+
+@with_sql("SELECT *, CASE WHEN o_orderkey % 5 = 0 THEN 'late' ELSE 'first' END AS load_id FROM orders")
+def catalogue_loads(spark, sf_dir):
+    """Two loads in a table of the catalogue, one of them tried twice, with its columns in another order."""
+    path = scratch_dir(spark, "catalogue")
+    name = f"spark_catalog.default.tablesync_{path[-12:]}"
+    source = table(spark, sf_dir, "orders")
+    named = source.withColumn("load_id", F.lit(None).cast("string"))
+    catalogue.create_table(named, name, path, ["load_id"])
+    try:
+        catalogue.publish_load(source.where("o_orderkey % 5 <> 0"), name, "first")
+        late = source.where("o_orderkey % 5 = 0").select(*reversed(source.columns))
+        for _ in range(2):
+            catalogue.publish_load(late, name, "late")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return tables.scan_parquet(spark, path, named.schema)
+
+
+@with_sql(f"""
+    WITH {INSTALLS_SRC} SELECT * REPLACE (
+        CASE WHEN install_date = DATE '{LOST_DAYS[0]}' THEN value + 1 ELSE value END AS value) FROM installs_src""")
+def catalogue_partitions(spark, sf_dir):
+    """Days appended to a table of the catalogue, and one of them replaced."""
+    path = scratch_dir(spark, "catalogue-days")
+    name = f"spark_catalog.default.tablesync_{path[-12:]}"
+    source = installs_src(spark, sf_dir)
+    catalogue.create_table(source, name, path, [installs.DAY])
+    try:
+        catalogue.append_table(tables.gathered(source, installs.DAY), name)
+        day = source.where(F.col(installs.DAY) == F.lit(LOST_DAYS[0]).cast("date"))
+        catalogue.replace_table_partitions(day.withColumn("value", F.col("value") + 1), name, installs.DAY)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return tables.scan_parquet(spark, path, source.schema)
