@@ -26,9 +26,14 @@ def scan_source(
     path: str | None = None,
     options: Mapping[str, str] | None = None,
     predicate: Column | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Any Spark data source. The predicate is a column, so Catalyst hands it to the source."""
-    df = spark.read.format(source_format).options(**(options or {})).load(path)
+    """Any Spark data source. The predicate is a column, so Catalyst hands it to the source.
+
+    A source of text, which has no types of its own, should be given its schema.
+    """
+    reader = spark.read.format(source_format).options(**(options or {}))
+    df = (reader if schema is None else reader.schema(schema)).load(path)
     return df if predicate is None else df.where(predicate)
 
 

@@ -1,5 +1,8 @@
 """The plans that the operators are meant to have."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from tablesync.operators import increment, metrics
 from tablesync.plans import merchant
 from tablesync.sources import tables
@@ -53,3 +56,17 @@ def test_no_python_in_any_plan(spark):
     for name in ("insert_select_typed", "conform_merchant", "window_latest_per_key", "agg_max_parsed_ts"):
         plan = plan_of(QUERIES[name](spark, SF))
         assert "Python" not in plan and "Arrow" not in plan, name
+
+
+@pytest.mark.parametrize("source_format", ["parquet", "orc", "json", "csv"])
+def test_predicates_are_handed_to_sources_of_any_format(spark, tmp_path, source_format):
+    """Each source reports the filters that it was given."""
+    path = new_path(tmp_path, source_format)
+    events = table(spark, SF, "events").select("event_id", "user_id", "event_type")
+    tables.overwrite(events, path, source_format)
+    wanted = (F.col("user_id") > 20) & (F.col("event_type") == "error")
+    scanned = tables.scan_source(spark, source_format, path, predicate=wanted, schema=events.schema)
+    plan = plan_of(scanned)
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThan(user_id,20)" in pushed and "EqualTo(event_type,error)" in pushed
+    assert scanned.count() == events.where(wanted).count()

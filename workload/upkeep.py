@@ -13,7 +13,7 @@ from tablesync.plans.upsert import upsert_latest
 from tablesync.session import scratch_dir
 from tablesync.sources import catalogue, files, tables
 from workload.queries import (
-    AS_OF, ORDERS_EARLIER_MARK, ORDERS_MARK, SHIP_MARK, hot_orders, order_table, query, up_to,
+    AS_OF, EVENTS_MARK, ORDERS_EARLIER_MARK, ORDERS_MARK, SHIP_MARK, hot_orders, order_table, query, up_to,
 )
 from workload.standins import INSTALLS_SRC, OFFERS_SRC, TYPED_OFFERS, installs_src, offers_src, table
 
@@ -364,3 +364,18 @@ def catalogue_partitions(spark, sf_dir):
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     return tables.scan_parquet(spark, path, source.schema)
+
+
+# S2: predicates handed to sources of other formats
+
+
+def handed_over(spark, sf_dir, source_format):
+    path = scratch_dir(spark, f"events-{source_format}")
+    tables.overwrite(table(spark, sf_dir, "events"), path, source_format)
+    window = (F.col("ts") > F.lit(EVENTS_MARK).cast("timestamp_ntz")) & (F.col("event_type") == "error")
+    return tables.scan_source(spark, source_format, path, predicate=window)
+
+
+@with_sql(f"SELECT * FROM events WHERE ts > TIMESTAMP '{EVENTS_MARK}' AND event_type = 'error'")
+def scan_pushed_filter_orc(spark, sf_dir):
+    return handed_over(spark, sf_dir, "orc")
