@@ -15,6 +15,8 @@ from tablesync.session import scratch_dir
 NOT_WORD = r"[^\p{L}\p{M}\p{N}_]+"
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
+#: Bytes and rows that reach Python at once in a session that has no setting of its own.
+ARROW = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def carried(module: str) -> None:
@@ -29,6 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let texts reach Python a few megabytes at a time, unless the session says otherwise."""
+    chosen = spark.conf.getAll
+    for name, value in ARROW.items():
+        if name not in chosen:
+            spark.conf.set(name, value)
+
+
 def saved(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write rows under the shared checkpoint folder and read them back: the lineage ends here."""
     spark = df.sparkSession
@@ -42,6 +52,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD), lambda w: w != "")
 
 
+def row_name(*columns: str) -> Column:
+    """128 bits that name a row by some of its columns, nulls told from texts."""
+    texts = [F.col(f"`{c.replace('`', '``')}`").cast("string") for c in columns]
+    parts = [F.when(t.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t))
+             for t in texts]
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
+def packed(df: DataFrame) -> Column:
+    """A row as one column: whatever else is added cannot meet a name of its own."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])
+
+
 def once(name: str, value: Column) -> Column:
     """A column computed once per row: later expressions that use it many times cannot copy it."""
     return F.explode(F.array(value)).alias(name)

@@ -6,7 +6,8 @@ are summed. A source whose target exceeds its size gives whole epochs first; wha
 the target is filled by the documents with the smallest keys.
 
 Defined results: a null source is a source of its own, sorted last; a null weight counts as
-1; a document of size 0 is never taken; rows alike in all columns are separate documents; an
+1; a document of size 0 is never taken; rows alike in all columns are separate documents; with null
+and repeated ids reruns agree, too, as the text's digest ends every order; an
 empty table gives an empty result; columns of the input keep out of the way, as the
 operator builds its own narrow table.
 """
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import running, saved, table
+from tablesync.llm.common import packed, row_name, running, saved, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -35,9 +36,9 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(SIZE_WORD)), F.lit(0)).cast("long")
 
 
-def uniform(doc_id: Column, seed: str = SEED) -> Column:
-    """A number in (0, 1] that depends on the id and the seed alone."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def uniform(name: Column, seed: str = SEED) -> Column:
+    """A number in (0, 1] that depends on a name, as text, and the seed alone."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), name.cast("string")))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 1.0) / float(1 << 52)
 
 
@@ -74,16 +75,20 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
 
     Returns the columns of ``docs`` with source_size, target (both of the source) and taken.
     The last document of a source is taken when that brings the source nearer to its target.
+    Documents with one id have one key and stand in the order of their other columns; those without
+    an id are drawn by these columns. A digest of the text among them tells all documents apart.
     """
+    others = [c for c in docs.columns if c not in ("doc_id", "source")]
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in others]
     sizes = saved(docs, "sizes")
     targets = saved(source_targets(sizes, weights, share, max_epochs), "targets")
     rate = F.greatest(F.coalesce(F.col("rate"), F.lit(1.0)), F.lit(1e-9))
     named = sizes.join(F.broadcast(targets) if targets.count() <= 10_000 else targets,
                        sizes["source"].eqNullSafe(targets["source"])).select(
         *[sizes[c] for c in docs.columns], "place", "source_size", "target",
-        (-F.log(uniform(F.col("doc_id"), seed)) / rate).alias("key"),
+        (-F.log(uniform(F.coalesce(F.col("doc_id").cast("string"), F.concat_ws(":", *shown)), seed)) / rate).alias("key"),
     )
-    placed = running(named, ["key", "doc_id"], ["size"], by=["place"])
+    placed = running(named, ["key", "doc_id", *others], ["size"], by=["place"])
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - epochs * F.col("source_size")
     extra = (F.col("before_size") + F.col("size") / 2.0 <= rest).cast("long")
@@ -103,7 +108,7 @@ def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"))
+        "doc_id", "source", word_count(F.col("text")).alias("size"), F.md5("text").alias("digest"))
     return mix(rated(docs, table(spark, sf_dir, "labels"))).select(
         "doc_id", "size", "source_size", "target", "taken")
 
@@ -113,17 +118,14 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows alike in all columns get the copies of one of them.
     """
-    mark = F.xxhash64(*[F.col(c) for c in docs.columns])
+    mark = row_name(*docs.columns)
     plan = mix(rated(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mark.alias("_mark")),
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mark.alias("mark")),
         table(spark, sf_dir, "labels"),
     ))
-    copies = plan.where("taken > 0").groupBy(F.col("doc_id").alias("_id"), "_mark").agg(
-        F.max(F.col("taken") / F.col("size")).cast("int").alias("_copies"))
-    marked = docs.withColumn("_mark", mark)
-    joined = marked.join(copies, (marked["_mark"] == copies["_mark"]) & marked["doc_id"].eqNullSafe(copies["_id"]))
-    return joined.select(*[marked[c] for c in docs.columns], F.explode(
-        F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    copies = plan.where("taken > 0").groupBy("mark").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("copies"))
+    joined = docs.select(mark.alias("mark"), packed(docs).alias("doc")).join(copies, "mark")
+    return joined.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
 
 
 ORACLE = rf"""

@@ -170,3 +170,27 @@ def test_admission_keeps_quotas():
     part = sharding.admission(flows, held, 110.0, 3)
     after = {s: held[s] + sum(n * part[t] * ((t == s) - (f == s)) for (f, t), n in flows.items()) for s in held}
     assert all(v <= 110.0 + 1e-6 for v in after.values()) and 0 < part[2] <= 1.0
+
+
+def test_reruns_agree_with_null_and_repeated_ids(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, None, 7, 8, i]), "w " * rng.randint(0, 30) + str(i % 50), "en", rng.choice("st"), 1)
+            for i in range(500)]
+    found = []
+    for n in (1, 5):
+        path = f"{tmp_path}/{n}"
+        rng.shuffle(rows)
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(
+            n).write.parquet(f"{path}/documents.parquet")
+        spark.createDataFrame([(7, 1, 0), (7, 0, 0), (None, 1, 0)], "doc_id long, quality long, toxic long").write.parquet(
+            f"{path}/labels.parquet")
+        found.append((sorted(map(repr, mixing.op8(spark, path).collect())), sorted(map(repr, mixing.stage(
+            spark, spark.read.parquet(f"{path}/documents.parquet"), path).collect()))))
+    assert found[0] == found[1]
+
+
+def test_the_mixing_stage_keeps_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    named = docs.selectExpr("*", "7 AS _mark", "doc_id AS mark", "'c' AS copies", "1 AS `a.b`")
+    out = mixing.stage(spark, named, SF)
+    assert out.schema == named.schema and out.where("mark <> doc_id OR _mark <> 7").count() == 0
