@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import SHINGLE_WORDS, SIMILARITY, once, saved, table, words
+from tablesync.llm.common import SHINGLE_WORDS, SIMILARITY, once, packed, row_name, saved, table, words
 
 #: Rows up to which a side of a join is broadcast: under 10 MB of signatures or ids.
 BROADCAST_ROWS = 200_000
@@ -54,7 +54,7 @@ def _few(df: DataFrame, rows: int) -> DataFrame:
 def contained(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs (row, doc_id, item_id, n_shared, n_item, containment) of documents holding an item.
 
-    ``row`` is a hash of id and text that names the document's row.
+    ``row`` names the document's id and text by 128 bits.
     """
     sized = (
         items.select("item_id", F.monotonically_increasing_id().alias("item"), once("w", words(F.col("text")))).where(F.size("w") >= SHINGLE_WORDS)
@@ -69,7 +69,7 @@ def contained(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY)
     signatures = saved(
         hashed.select("item", "n_item", F.explode(F.slice(F.array_sort("hashes"), F.lit(1), F.col("k"))).alias("hash")),
         "signatures")
-    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
+    rows = docs.select("doc_id", "text", row_name("doc_id", "text").alias("row"))
     probes = rows.select("row", once("w", words(F.col("text")))).where(F.size("w") >= SHINGLE_WORDS).select(
         "row", F.size("w").alias("n_words"), F.explode(shingle_hashes(F.col("w"))).alias("hash"))
     found = probes.join(_few(signatures, BROADCAST_ROWS), "hash").where(
@@ -96,9 +96,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that contain an item."""
     leaks = saved(contained(docs, table(spark, sf_dir, "benchmark")).select("row").distinct(), "leaks")
-    marked = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    return marked.join(_few(leaks.withColumnRenamed("row", "_row"), BROADCAST_ROWS), "_row", "left_anti").select(
-        *docs.columns)
+    named = docs.select(row_name("doc_id", "text").alias("row"), packed(docs).alias("doc"))
+    return named.join(_few(leaks, BROADCAST_ROWS), "row", "left_anti").select("doc.*")
 
 
 _WORDS = r"""list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}_]+'), lambda x: x <> '')"""
