@@ -20,6 +20,8 @@ neither learned from nor held out; texts are read whole; ties go to the smaller
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -33,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.llm.common import carried, table
+from tablesync.llm.common import carried, small_batches, table
 
 TRAINING_DOCS = 2000
 GRAMS = 1 << 16
@@ -48,10 +50,25 @@ EVEN = -float(np.log(GRAMS))
 WORD_SCALE = 4.0
 FOREIGN = -50.0
 #: Texts and words labelled together.
-ROWS = 512
-BLOCK = 300_000
+ROWS = 256
+BLOCK = 150_000
 SPANS = pa.list_(pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()), ("lang", pa.string())]))
-LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def signs(*categories: str) -> str:
+    """The characters of general categories, by their first letters, as ranges for a character class."""
+    ranges: list[list[int]] = []
+    for code in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(code))[0] in categories:
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
+
+
+#: A word: a letter, and what follows of letters and marks.
+LETTERS = re.compile(f"[{signs('L')}][{signs('L', 'M')}]*")
 
 # First code points of the ranges that tell scripts apart, and their names.
 SCRIPTS = [
@@ -115,6 +132,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def learn(labelled: DataFrame, sample: int = TRAINING_DOCS) -> Model:
     """A model from (text, lang, lot): lot is a number in [0, 1) by which texts are chosen."""
+    small_batches(labelled.sparkSession)
     labelled = labelled.where("lang is not null and text is not null")
     per_language = labelled.groupBy("lang").count()
     chosen = labelled.join(F.broadcast(per_language), "lang").where(F.col("lot") * F.col("count") < sample)

@@ -110,3 +110,9 @@ def test_viterbi_finds_the_best_path():
         best = max(itertools.product(range(3), repeat=int(n)), key=value)
         assert value(got[at:at + n].tolist()) == pytest.approx(value(best))
         at += n
+
+
+def test_numbers_are_no_letters_and_marks_stay_in_words(spark, model):
+    assert lg.LETTERS.findall("½ ² ① Ⅳ x² हिन्दी e\u0301a \u0301") == ["x", "हिन्दी", "e\u0301a"]
+    rows = labels(spark, model, "½ ² ①", "\u0301 \u0301")
+    assert [(r["lang_pred"], r["score"]) for r in rows] == [("und", 0.0)] * 2
