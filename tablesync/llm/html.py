@@ -6,9 +6,18 @@ recur across many pages of their host are deleted, with page furniture known by
 role or class (menus, headers, footers, sidebars, notices, adverts, forms, comments). What is
 left of the article, or of the page if it marks none, is its text: blocks joined by an empty line.
 
+Many pages are PAGE_SHARE of the host's, or MANY_PAGES where that is fewer, and MIN_PAGES at least.
+A subtree with a class or id that changes from page to page (a block that shows one of a few
+things) counts by its place: if elements of that name under the same ancestors are on so many pages, each of their
+texts on MIN_PAGES is one. Inside an article only the share counts.
+
 Copies of a page count once, so a page that was stored many times does not make its own
 article a template. Paragraphs, headings, list items and the like inside an article are its
-text even if they recur, and no subtree is deleted that holds an article.
+text even if they recur, and no subtree is deleted that holds an article. A page learns which of
+its own subtrees are templates, so what it is joined with is no longer than itself.
+
+Tags are read from left to right, quotes only where a value begins, as browsers do; elements
+deeper than MAX_DEPTH are not nested further. Reading takes time in proportion to the page.
 
 Defined results: null and empty pages give an empty text; a null url has a host of its own;
 unclosed and misnested elements are closed as browsers do, roughly; pages alike in all columns
@@ -20,7 +29,6 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -29,11 +37,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.llm.common import carried, saved, table
+from tablesync.llm.common import carried, packed, saved, small_batches, table
 
-#: A subtree is a template from this many different pages of a host, and this share of them.
+#: A subtree is a template from this many different pages of a host, and this share or number of them.
 MIN_PAGES = 5
 PAGE_SHARE = 0.2
+MANY_PAGES = 100
+#: Rows up to which the templates of all hosts are sent to every task: under 10 MB.
+BROADCAST_ROWS = 200_000
+#: Elements that are open at once.
+MAX_DEPTH = 512
+#: Names of classes that a task remembers the meaning of.
+REMEMBERED = 1 << 16
 
 # What HTML says of its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -69,11 +84,13 @@ WITH = frozenset(
     "button buttons btn icon icons form field input text toggle message policy posts articles stories news thread "
     "us me now this media and content widget the".split())
 OWNERS = frozenset("post article entry story blog".split())
-NEVER = frozenset("html body #root".split()) | TEXT_BLOCKS
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Furniture that some sites put around the whole page.
+WRAPPERS = frozenset("form fieldset dialog".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+ATTRIBUTE = re.compile(r"[\s/]*([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+SPACE = re.compile(r"[\s/]*")
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 carried(__name__)
@@ -82,17 +99,29 @@ carried(__name__)
 class Node:
     """An element; ``parts`` are its texts and elements in order."""
 
-    __slots__ = ("tag", "attrs", "parts", "holds", "key", "size", "most")
+    __slots__ = ("tag", "attrs", "parts", "holds", "key", "size", "prose", "most")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag, self.attrs, self.parts = tag, attrs, []
         self.holds = False  # an article or main element below it
         self.key = 0
-        self.size, self.most = 0, False  # characters of text, and whether they are most of the page's
+        # characters of text, those in paragraphs and the like, and whether they are most of the page's
+        self.size, self.prose, self.most = 0, 0, False
 
 
-def attributes(text: str) -> dict[str, str]:
-    return {name.lower(): html.unescape(value.strip("\"'")) for name, value in ATTRIBUTE.findall(text)} if text else {}
+def read_tag(page: str, at: int) -> tuple[dict[str, str], bool, int]:
+    """The attributes from a place after the name of a tag, whether it closes itself, and where it ends."""
+    attrs: dict[str, str] = {}
+    while True:
+        space = SPACE.match(page, at)
+        if page.startswith(">", space.end()):
+            return attrs, space[0].endswith("/"), space.end() + 1
+        found = ATTRIBUTE.match(page, at)
+        if found is None:
+            return attrs, False, len(page)  # the page ends inside the tag
+        at = found.end()
+        value = found[2] or found[3] or found[4] or ""
+        attrs.setdefault(found[1].lower(), html.unescape(value) if "&" in value else value)
 
 
 def parse(page: str) -> Node:
@@ -100,26 +129,36 @@ def parse(page: str) -> Node:
     root = Node("#root", {})
     stack, at = [root], 0
     while True:
-        found = TOKEN.search(page, at)
-        if found is None:
+        start = page.find("<", at)
+        if start < 0:
             _text(stack[-1], page[at:])
             return root
-        _text(stack[-1], page[at:found.start()])
-        at = found.end()
-        if not found[2]:
+        mark = page[start + 1:start + 2]
+        if mark in ("!", "?"):
+            _text(stack[-1], page[at:start])
+            comment = page.startswith("<!--", start)
+            end = page.find("-->", start + 4) if comment else page.find(">", start)
+            at = len(page) if end < 0 else end + (3 if comment else 1)
+            continue
+        named = TAG.match(page, start)
+        if named is None:
+            _text(stack[-1], page[at:start + 1])
+            at = start + 1
             continue
-        tag = found[2].lower()
-        if found[1]:
+        _text(stack[-1], page[at:start])
+        tag = named[1].lower()
+        attrs, closed, at = read_tag(page, named.end())
+        if mark == "/":
             _close(stack, tag)
             continue
-        node = Node(tag, attributes(found[3]))
+        node = Node(tag, attrs)
         if tag not in INLINE and tag != "br":
             _close_implied(stack, tag)
         stack[-1].parts.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-        elif tag not in VOID and not found[3].endswith("/"):
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+            at = read_tag(page, end.end())[2] if end else len(page)
+        elif tag not in VOID and not closed and len(stack) < MAX_DEPTH:
             stack.append(node)
 
 
@@ -151,7 +190,7 @@ def _close_implied(stack: list[Node], tag: str) -> None:
 def furniture(node: Node) -> bool:
     """Whether an element is page furniture by its kind, role or name."""
     if node.tag in FURNITURE:
-        return True
+        return not (node.tag in WRAPPERS and node.most and 2 * node.prose > node.size)
     attrs = node.attrs
     if not attrs or node.tag in ("html", "body", "#root"):
         return False
@@ -159,21 +198,44 @@ def furniture(node: Node) -> bool:
         return True
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return True
-    if node.tag in NEVER:
+    if node.tag in HEADINGS:
+        return False
+    plainly = node.most or node.tag in TEXT_BLOCKS
+    if node.most and node.tag in TEXT_BLOCKS:
         return False
-    return any(_names_furniture(name, node.most) for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split())
+    return any(_names_furniture(name, plainly) for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split())
+
+
+_KNOWN: dict[tuple[str, bool], bool] = {}
 
 
-@lru_cache(maxsize=1 << 16)
-def _names_furniture(name: str, most: bool) -> bool:
-    """Whether a class or id names furniture as a whole; for most of a page's text only by a plain word."""
+def _names_furniture(name: str, plainly: bool) -> bool:
+    """``_by_words``, which is asked about the same names again and again."""
+    found = _KNOWN.get((name, plainly))
+    if found is None:
+        if len(_KNOWN) >= REMEMBERED:
+            _KNOWN.clear()
+        found = _KNOWN[name, plainly] = _by_words(name, plainly)
+    return found
+
+
+def _by_words(name: str, plainly: bool) -> bool:
+    """Whether a class or id names furniture as a whole, and if need be by a plain word."""
     words = [w for w in map(str.lower, NAME_WORD.findall(name)) if not w.isdigit()]
     plain = any(w in PLAIN for w in words)
-    if not plain and (most or not any(w in WORDS for w in words)):
+    if not plain and (plainly or not any(w in WORDS for w in words)):
         return False
     return all(w in WORDS or w in WITH or plain and w in OWNERS for w in words)
 
 
+def _named(node: Node) -> str:
+    return f"{node.tag} {node.attrs.get('class', '')} {node.attrs.get('id', '')}"
+
+
+def _hashed(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
 def mark(node: Node) -> None:
     """Find the elements that hold an article or most of the text, and hash every subtree; children come first."""
     order, todo = [], [node]
@@ -184,26 +246,37 @@ def mark(node: Node) -> None:
     for top in reversed(order):
         inner = [p for p in top.parts if isinstance(p, Node)]
         top.holds = any(p.holds or p.tag in ("article", "main") for p in inner)
-        said = [f"{top.tag} {top.attrs.get('class', '')} {top.attrs.get('id', '')}"]
+        said = [_named(top)]
         said += [f"<{p.key}>" if isinstance(p, Node) else " ".join(p.split()) for p in top.parts]
         top.size = sum(p.size if isinstance(p, Node) else len(p.strip()) for p in top.parts)
-        top.key = xxhash.xxh3_64_intdigest("\x1f".join(said)) - (1 << 63)
+        top.prose = top.size if top.tag in TEXT_BLOCKS else sum(p.prose for p in inner)
+        top.key = _hashed("\x1f".join(said))
     for top in order:
         top.most = 2 * top.size > node.size
 
 
-def candidates(root: Node) -> set[int]:
-    """Hashes of the subtrees that may be deleted as a template and hold any text."""
-    found, todo = set(), [(root, False)]
+#: Tells the key of a subtree inside an article from the same one outside.
+WITHIN = 0x5851F42D4C957F2D
+
+
+def key_of(node: Node, inside: bool) -> int:
+    return node.key ^ WITHIN if inside else node.key
+
+
+def candidates(root: Node) -> dict[int, tuple[bool, int | None]]:
+    """Keys of the subtrees that may be deleted as a template: whether inside an article, and the place if named."""
+    found, todo = {}, [(root, False, "")]
     while todo:
-        node, inside = todo.pop()
+        node, inside, above = todo.pop()
         inside = inside or node.tag in ("article", "main")
         for part in node.parts:
             if isinstance(part, Node) and part.tag not in RAW:
+                place = f"{_hashed(above)} {_named(part)}"
                 if deletable(part, inside):
-                    found.add(part.key)
+                    named = not inside and part.tag not in TEXT_BLOCKS and ("class" in part.attrs or "id" in part.attrs)
+                    found[key_of(part, inside)] = inside, _hashed(place) if named else None
                 if part.tag not in TEXT_BLOCKS or not inside:
-                    todo.append((part, inside))
+                    todo.append((part, inside, place))
     return found
 
 
@@ -264,7 +337,7 @@ def _gone(node: Node, templates: frozenset[int], inside: bool) -> bool:
         return False
     if node.tag == "header":
         return not inside
-    return furniture(node) or deletable(node, inside) and node.key in templates
+    return furniture(node) or deletable(node, inside) and key_of(node, inside) in templates
 
 
 def _tops(root: Node, templates: frozenset[int], tags: tuple[str, ...]) -> list[Node]:
@@ -282,18 +355,15 @@ def _tops(root: Node, templates: frozenset[int], tags: tuple[str, ...]) -> list[
 
 def _hash(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        hosts, keys, pages = [], [], []
-        for host, page in zip(batch["host"], batch["html"]):
-            if not page:
-                continue
-            tree = parse(page)
-            mark(tree)
-            found = candidates(tree)
-            hosts += [host] * len(found)
-            keys += found
-            pages += [tree.key] * len(found)
-        if keys:
-            yield pd.DataFrame({"host": hosts, "key": pd.Series(keys, dtype="int64"), "page": pd.Series(pages, dtype="int64")})
+        rows = []
+        for host, name, page in zip(batch["host"], batch["name"], batch["html"]):
+            if page:
+                tree = parse(page)
+                mark(tree)
+                rows += [(host, name, tree.key, key, inside, place) for key, (inside, place) in candidates(tree).items()]
+        if rows:
+            made = pd.DataFrame(rows, columns=["host", "name", "page", "key", "inside", "place"])
+            yield made.astype({"place": "Int64"})
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,28 +385,46 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = PAGE_SHARE) -> DataFrame:
-    """Rows (host, templates): the hashes of the subtrees that recur on the host.
+SUBTREES = "host string, name binary, page long, key long, inside boolean, place long"
 
-    A host has at most (subtrees per page) / share of them.
-    """
-    seen = pages.select(host_of(F.col("url")).alias("host"), "html").mapInPandas(
-        _hash, "host string, key long, page long").distinct()
-    counts = seen.groupBy("host", "key").agg(F.count("*").alias("n"))
-    saved_counts = saved(counts.where(F.col("n") >= min_pages), "subtrees")
-    size = pages.select(host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("page")).distinct().groupBy(
-        "host").agg(F.count("*").alias("pages"))
-    return saved_counts.join(size, "host").where(F.col("n") >= F.lit(share) * F.col("pages")).groupBy("host").agg(
-        F.collect_list("key").alias("templates"))
+
+def subtrees(pages: DataFrame) -> DataFrame:
+    """The subtrees of ``pages`` (host, name, html) that may be templates; a page alike in html has one name."""
+    return pages.mapInPandas(_hash, SUBTREES)
+
+
+def templates(found: DataFrame, pages: DataFrame, min_pages: int = MIN_PAGES, share: float = PAGE_SHARE,
+              many: int = MANY_PAGES) -> DataFrame:
+    """Rows (host, key) of the ``subtrees`` that recur on their host, of whose ``pages`` the different ones count."""
+    seen = found.groupBy("host", "key", "page").agg(F.first("inside").alias("inside"), F.min("place").alias("place"))
+    counts = saved(seen.groupBy("host", "key").agg(
+        F.count("*").alias("n"), F.first("inside").alias("inside"), F.min("place").alias("place")).where(
+        F.col("n") >= min_pages), "recurring")
+    size = pages.select("host", "name").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    of_share = F.greatest(F.lit(min_pages), F.ceil(F.lit(share) * F.col("pages")))
+    enough = F.when(F.col("inside"), of_share).otherwise(F.least(of_share, F.lit(max(many, min_pages))))
+    placed = found.where("place IS NOT NULL").select("host", "place", "page").distinct().groupBy("host", "place").agg(
+        F.count("*").alias("at_place"))
+    known = counts.join(size, "host").join(placed, ["host", "place"], "left")
+    return known.where((F.col("n") >= enough) | (F.col("at_place") >= enough)).select("host", "key")
 
 
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = PAGE_SHARE) -> DataFrame:
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = PAGE_SHARE, many: int = MANY_PAGES) -> DataFrame:
     """``pages`` (url, html and others, without the html) with the main ``text``."""
-    known = saved(templates(pages, min_pages, share), "templates").select(
-        F.col("host").alias("_host"), F.col("templates").alias("_templates"))
-    marked = pages.withColumn("_host", host_of(F.col("url"))).join(known, "_host", "left").drop("_host")
-    schema = T.StructType([f for f in pages.schema.fields if f.name != "html"]).add("text", "string")
-    return marked.mapInArrow(_extract, schema)
+    small_batches(pages.sparkSession)
+    named = pages.select(host_of(F.col("url")).alias("host"), F.unhex(F.md5("html")).alias("name"), "html")
+    found = saved(subtrees(named), "subtrees")
+    known = saved(templates(found, named, min_pages, share, many), "templates")
+    few = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
+    of_page = found.join(few, ["host", "key"]).groupBy("host", "name").agg(F.collect_set("key").alias("_templates"))
+    marked = pages.select(packed(pages).alias("row"), host_of(F.col("url")).alias("host"), F.unhex(F.md5("html")).alias("name"))
+    joined = marked.join(of_page, ["host", "name"], "left").select(
+        F.col("row.html").alias("html"), "_templates", F.col("row"))
+    others = [c for c in pages.columns if c != "html"]
+    rows = joined.select("html", "_templates", F.struct(*[F.col(f"row.`{c}`").alias(c) for c in others]).alias("row"))
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("text", T.StringType())])
+    texts = rows.mapInArrow(_extract, schema)
+    return texts.select("row.*", "text")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,13 +3,17 @@
 import hashlib
 import io
 import struct
+import subprocess
+import sys
+import time
 
 import pytest
 import zstandard
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from tablesync.llm import align, bagminhash, chat, language, merkle, suffixes, warc
 from tablesync.llm import html as hx
-from tablesync.llm import warc
 from tablesync.session import scratch_dir
 from tests.compare import differences, open_tables
 
@@ -174,3 +178,98 @@ def test_the_articles_of_the_test_pages(spark):
         lines = [" ".join(html.unescape(p).split()) for p in parts]
         want = "\n\n".join(x for x in lines if x)
         assert got[page_id]["text"] == want and got[page_id]["n_chars"] == len(want)
+
+
+def test_forms_and_names_are_judged_by_what_they_hold():
+    assert text_of("<body><form id=aspnetForm><div><p>The text.</p></div><input><select><option>x</select></form></body>") == "The text."
+    assert text_of("<p>The whole text of the page.</p><form><label>Mail</label><input></form>") == "The whole text of the page."
+    page = ("<article><p>One.</p><p class='ad'>Buy</p><p class=comment>First!</p><ul><li>x</li><li class='comment'>Me too</li></ul>"
+            "<h2 class=ad>Two</h2></article>")
+    assert text_of(page) == "One.\n\nx\n\nTwo"
+
+
+def test_quotes_and_brackets():
+    assert text_of("<article><p data-x=it's>One.</p><p title='a>b' hidden2>Two \"x\"</p></article>") == "One.\n\nTwo \"x\""
+    assert text_of("<p>1 < 2 and a <> b </ c</p><p>3</p>") == "1 < 2 and a <> b </ c\n\n3"
+    assert text_of("<p a=b/c>x<br/>y</p><img src=x / ><p>z") == "x y\n\nz"
+    assert text_of("<script>var a = '</scripty>';</script><p>x</p><style>never") == "x"
+    assert text_of("<p>a<p unfinished") == "a"
+    assert hx.parse("<a HREF=\"x&amp;y\" href=z>").parts[0].attrs == {"href": "x&y"}
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a x=\"", "<a x='\"", "</script", "<i></b>", "<div><b></i>", "<!--", "<p>", "a<", "<b><div>"])
+def test_reading_takes_linear_time(unit):
+    start = time.perf_counter()
+    text_of("<b><p>The text.</p>" + unit * (1_000_000 // len(unit)))
+    assert time.perf_counter() - start < 10
+
+
+def test_deep_pages_keep_their_text():
+    page = "<div>" * 5000 + "<p>deep</p>" + "</div>" * 5000 + "<p>after</p>"
+    assert text_of(page) == "deep\n\nafter"
+
+
+def texts(spark, rows, **kw):
+    return {r["page_id"]: r["text"] for r in hx.main_text(spark.createDataFrame(rows, PAGE), **kw).collect()}
+
+
+def test_blocks_of_large_hosts_and_blocks_that_rotate(spark):
+    def page(i, extra):
+        return (i, f"http://h/{i}", f"<body>{extra}<div><p>Text no {i}</p></div></body>")
+
+    rows = [page(i, f"<div class=box>Offer {i % 6}</div>") for i in range(60)]
+    assert texts(spark, rows)[7] == "Text no 7", "one of six, on a sixth of the pages each"
+    rows = [page(i, "<div><span>On some pages</span></div>" if i < 40 else "") for i in range(400)]
+    assert texts(spark, rows, many=30)[7] == "Text no 7", "a tenth of a large host"
+    assert texts(spark, rows, many=50)[7] == "On some pages\n\nText no 7"
+    rows = [page(i, f"<div class=story>Story {i}</div>") for i in range(60)]
+    assert texts(spark, rows)[7] == "Story 7\n\nText no 7", "what is never the same stays"
+
+
+def brute_templates(pages):
+    """(host, key) by a loop over all pages."""
+    per_host = {}
+    for _, url, page in pages:
+        host = url.split("/")[2]
+        tree = hx.parse(page)
+        hx.mark(tree)
+        per_host.setdefault(host, {})[tree.key] = hx.candidates(tree)
+    out = set()
+    for host, found in per_host.items():
+        share = max(5, -(-len(found) // 5))
+        for key in {k for c in found.values() for k in c}:
+            n = sum(key in c for c in found.values())
+            inside, place = next(c[key] for c in found.values() if key in c)
+            at_place = sum(place is not None and any(p == place for _, p in c.values()) for c in found.values())
+            enough = share if inside else min(share, 100)
+            if n >= 5 and (n >= enough or at_place >= enough):
+                out.add((host, key))
+    return out
+
+
+def test_templates_equal_brute_force(spark):
+    rows = []
+    for i in range(90):
+        host = "abc"[i % 3 if i < 60 else 0]
+        inside = f"<article><div class=note>Note {i % 4}</div><p>{i}</p></article>" if i % 2 else f"<div><p>{i}</p></div>"
+        rows.append((i, f"http://{host}/{i}", f"<div id=top>Site</div><div class=x>Rotates {i % 7}</div>{inside}<p>Line {i % 9}</p>"))
+    df = spark.createDataFrame(rows, PAGE)
+    named = df.select(hx.host_of(F.col("url")).alias("host"), F.unhex(F.md5("html")).alias("name"), "html")
+    got = {tuple(r) for r in hx.templates(hx.subtrees(named), named).collect()}
+    assert got == brute_templates(rows)
+
+
+def test_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "http://h/", "<p>x", "a", "b", 3)], PAGE + ", host string, `_templates` string, row long")
+    row, = hx.main_text(df).collect()
+    assert row.asDict() == {"page_id": 1, "url": "http://h/", "host": "a", "_templates": "b", "row": 3, "text": "x"}
+
+
+def test_worker_functions_load_without_the_package():
+    functions = [hx._hash, hx._extract, bagminhash._sign, bagminhash._blocks(0.8), bagminhash._verify, suffixes._shared,
+                 suffixes._merged, merkle._segment(2, 3), align._chunks(b"", b""), align._looked_up, language._count,
+                 chat.Reading, warc.read_records]
+    code = "import sys, pickle; sys.modules['tablesync'] = None; pickle.loads(sys.stdin.buffer.read())"
+    for f in functions:
+        run = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(f), capture_output=True, cwd="/", timeout=100)
+        assert run.returncode == 0, (f, run.stderr[-400:])
