@@ -41,10 +41,10 @@ DIGITS = ("card", "ssn", "phone")
 
 # The patterns of the entities, in the order in which they are preferred.
 PATTERNS = {
-    "email": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![\w.+-])[\w.+-]++@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "key": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?:(?:sk|pk|ghp|gho|xox[bp])[-_]|AKIA)(?=[_-]*[0-9A-Za-z])[0-9A-Za-z_-]{16,})(?![0-9A-Za-z])",
-    "secret": r"\b(?i:pass(?:word|wd|phrase)|pwd|secret|token|api[_-]?key)\s{0,3}[:=]\s{0,3}[\"']?(?P<said>(?=[^\s\"'<>&,;]*\d)[^\s\"'<>&,;]{3,}[^\s\"'<>&,;.:!?)])",
+    "secret": r"\b(?i:pass(?:word|wd|phrase)|pwd|secret|token|api[_-]?key)\s{0,3}[:=]\s{0,3}[\"']?(?P<said>(?=[^\s\"'<>&,;]{0,200}\d)[^\s\"'<>&,;]{3,}[^\s\"'<>&,;.:!?)])",
     "card": r"(?<![\d.])\d{4}(?:[ -]?\d{4}){3}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\w+])\+\d(?:(?:[   .]|[ ]?[-/‑–][ ]?|[ ]?\([ ]?|[ ]?\)[ ]?)?\d){6,14}(?!\d)",

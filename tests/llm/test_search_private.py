@@ -2,8 +2,10 @@
 
 import random
 import re
+import time
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablesync.llm import decontaminate as dc
@@ -199,3 +201,10 @@ def test_surrogate_edge_cases(spark):
 def test_another_key_gives_other_surrogates():
     one, two = (surrogates.surrogate("phone", "15551234567", 0, k) for k in (b"a", b"b"))
     assert one != two and one == surrogates.surrogate("phone", "15551234567", 0, b"a") and len(one) == 11
+
+
+@pytest.mark.parametrize("unit", ["z1", "z1-", "a@", "a.", "password:", "sk-", "Mr. A", "1 ", "+1", "ab12" * 8])
+def test_finding_takes_linear_time(unit):
+    start = time.perf_counter()
+    surrogates.find(unit * (1_000_000 // len(unit)) + " me@here.example")
+    assert time.perf_counter() - start < 20
