@@ -12,11 +12,14 @@ followed in the order of time and dropped once they pass the latest component of
 Bands of ROWS components put documents into buckets. Equal multisets are one node. In a bucket
 every node is compared with the smallest one (a second time with another centre where a bucket
 still holds several classes), and links join nodes to classes. What is left between different
-classes of a bucket is compared inside tasks, by blocks: a bucket is dealt into parts of about
-PART nodes, a task gets two parts, counts shared elements by matrix products, and returns
-only links that join classes, fewer than it has nodes. No pairs are written out, no task holds
-a whole bucket, and no link between nodes that share a bucket is lost. A pair at similarity
-0.8 shares a bucket with probability above 0.99998. Every link is an exact overlap of multisets.
+classes of a bucket is compared inside tasks, by blocks: a bucket is dealt into parts of at most
+about PART nodes and PART_BYTES of text, and a task gets two parts at a time. It compares a byte of each
+component first: a pair that agrees in fewer than LEAST_AGREEING is below the threshold (one in
+a thousand million at the threshold is not). Only texts of pairs that are left are taken apart,
+and compared pair by pair, or by matrix products where they are many. A block returns
+only links that join classes, fewer than it has nodes. No pairs are written out and no task holds
+a whole bucket. A pair at similarity 0.8 shares a bucket with probability above 0.99998.
+Every link is an exact overlap of multisets.
 
 Defined results: null texts and texts without words are classes of their own; a text of fewer
 than five words is one shingle; rows alike in id and text fall into one class; an empty table
@@ -25,7 +28,9 @@ gives an empty result.
 
 from __future__ import annotations
 
-import re
+import math
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,19 +39,23 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import SHINGLE_WORDS, SIMILARITY, carried, components, saved, table
+from tablesync.llm.common import (
+    SHINGLE_WORDS, SIMILARITY, carried, components, packed, row_name, saved, small_batches, table,
+)
 
 ROWS = 6
 BANDS = 36
 COMPONENTS = ROWS * BANDS
-WORD = re.compile(r"\w+")
 #: Shingles whose processes are followed together.
 BLOCK = 200_000
-#: Nodes per part of a bucket, and elements per matrix product.
+#: Nodes and bytes of text per part of a bucket, and elements per matrix product.
 PART = 1024
+PART_BYTES = 16 << 20
 COLUMNS = 4096
-#: Words that a task remembers the hash of.
-REMEMBERED = 250_000
+#: Pairs left in a block, per node of theirs, from which matrix products are cheaper.
+DENSE = 8
+#: Parts of buckets that have several, sent to every task up to this number.
+MOST_PARTED = 100_000
 
 carried(__name__)
 
@@ -63,20 +72,35 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def _word_signs() -> np.ndarray:
+    """Per code point whether words have it, as ``common.words`` counts them: letters, marks, numbers, underscore."""
+    signs = np.array([unicodedata.category(chr(c))[0] in "LMN" for c in range(sys.maxunicode + 1)])
+    signs[ord("_")] = True
+    return signs
 
 
-def multiset(text: str | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+WORD_SIGNS = _word_signs()
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A hash of each word of a text in lower case: of the sum of its characters' hashes with their places."""
+    codes = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
+    inside = np.concatenate(([False], WORD_SIGNS[codes], [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    length = edges[1::2] - edges[::2]
+    if not len(length):
+        return np.empty(0, np.uint64)
+    first = np.cumsum(length) - length
+    place = np.arange(first[-1] + length[-1]) - np.repeat(first, length)
+    signs = _mixed((codes[inside[1:-1]].astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64) * _GOLDEN)
+    return _mixed(np.add.reduceat(signs, first) + length.astype(np.uint64) * _GOLDEN)
+
+
+def multiset(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of the distinct shingles of a text, and how often each occurs."""
-    found = WORD.findall(text.lower()) if text else []
-    if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    w = np.array([hashes[x] for x in found], dtype=np.uint64)
+    w = word_hashes(text) if text else np.empty(0, np.uint64)
+    if not len(w):
+        return w, np.empty(0, np.int64)
     runs = max(1, len(w) - SHINGLE_WORDS + 1)
     h = np.zeros(runs, np.uint64)
     for k in range(min(SHINGLE_WORDS, len(w))):
@@ -137,20 +161,30 @@ def band_keys(h: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray
     return key.view(np.int64)
 
 
+def marks(h: np.ndarray) -> np.ndarray:
+    """A byte of each component."""
+    return _mixed(h.view(np.uint64).copy()).astype(np.uint8)
+
+
+def least_agreeing(similarity: float, m: int = COMPONENTS) -> int:
+    """Components in which pairs of this similarity agree but for six standard deviations."""
+    return math.floor(m * similarity - 6 * math.sqrt(m * similarity * (1 - similarity)))
+
+
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = WordHashes()
     for batch in batches:
         rows, bags, size = [], [], 0
 
         def flush():
-            keys = band_keys(signatures(bags))
+            h = signatures(bags)
             return pd.DataFrame({
                 "row": rows, "digest": [digest(*bag) for bag in bags],
-                "bands": [k.tolist() if len(bag[0]) else [] for k, bag in zip(keys, bags)]})
+                "bands": [k.tolist() if len(bag[0]) else [] for k, bag in zip(band_keys(h), bags)],
+                "marks": [x.tobytes() for x in marks(h)]})
 
         for row, text in zip(batch["row"], batch["text"]):
             rows.append(row)
-            bags.append(multiset(text, hashes))
+            bags.append(multiset(text))
             size += len(bags[-1][0]) + COMPONENTS
             if size >= BLOCK:
                 yield flush()
@@ -167,14 +201,14 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes, kept = WordHashes(), (None, None)
+    kept = None, None
     for batch in batches:
         similar = []
         for a, digest_a, text_a, digest_b, text_b in zip(
                 batch["a"], batch["digest_a"], batch["text_a"], batch["digest_b"], batch["text_b"]):
             if kept[0] != a:
-                kept = a, multiset(text_a, hashes)
-            other = multiset(text_b, hashes)
+                kept = a, multiset(text_a)
+            other = multiset(text_b)
             # the row's hash names the text; should two rows share it, the digest tells them apart
             same = digest(*kept[1]) == bytes(digest_a) and digest(*other) == bytes(digest_b)
             similar.append(overlap(kept[1], other) if same else 0.0)
@@ -193,26 +227,28 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Rows (row, doc_id, class_id, class) for each distinct (doc_id, text) of ``docs``.
 
-    ``row`` is a hash of id and text; ``class_id`` is the smallest doc_id of the class, which
+    ``row`` names id and text by 128 bits; ``class_id`` is the smallest doc_id of the class, which
     classes may share where ids repeat and lack where they are null. ``class`` tells classes
     apart; it is null for texts without words, each of which is a class.
     """
-    named = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
+    small_batches(docs.sparkSession)
+    named = docs.select("doc_id", "text", row_name("doc_id", "text").alias("row"))
     signed = saved(named.select("row", "text").mapInPandas(
-        _sign, "row long, digest binary, bands array<long>"), "signed")
+        _sign, "row binary, digest binary, bands array<long>, marks binary"), "signed")
     ids = named.select("doc_id", "row").distinct()
     # equal multisets are one node, numbered when it is written
     nodes = saved(
         signed.where("digest is not null").groupBy(F.hex("digest").alias("name"))
-        .agg(F.min("row").alias("row"), F.first("digest").alias("digest"), F.first("bands").alias("bands"))
+        .agg(F.min("row").alias("row"), F.first("digest").alias("digest"), F.first("bands").alias("bands"),
+             F.first("marks").alias("marks"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
     buckets = saved(nodes.select("node", F.explode("bands").alias("bucket")).join(
         nodes.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"),
         "bucket").select("bucket", "node"), "buckets")
     member = buckets.select("node").distinct()
-    rows = nodes.join(member, "node", "left_semi").select("node", "row", "digest")
+    rows = nodes.join(member, "node", "left_semi").select("node", "row", "digest", "marks")
     texts = saved(rows.join(named.select("row", "text").dropDuplicates(["row"]), "row").select(
-        "node", "digest", "text"), "texts")
+        "node", "digest", "marks", "text"), "texts")
 
     compared = saved(verified(_with_centre(buckets, F.col("node")), texts), "compared")
     links = compared.where(F.col("similarity") >= similarity).select("a", "b")
@@ -260,45 +296,103 @@ def shared_elements(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarra
     return total
 
 
-def _block(similarity: float):
-    """Links between the two parts of a bucket that join classes; a part may be met with itself."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        hashes = WordHashes()
-        sets = [elements(multiset(text, hashes)) for text in rows["text"]]
-        first, second = int(rows["one"].iloc[0]), int(rows["two"].iloc[0])
-        part, node, group = rows["part"].to_numpy(), rows["node"].to_numpy(), rows["class"].to_numpy()
-        a, b = np.flatnonzero(part == first), np.flatnonzero(part == second)
-        if not len(a) or not len(b):
-            return pd.DataFrame({"a": node[:0], "b": node[:0]})
-        size = np.array([len(x) for x in sets], np.float32)
-        shared = shared_elements([sets[i] for i in a], [sets[i] for i in b])
-        near = shared >= similarity * (size[a][:, None] + size[b][None, :] - shared) - 1e-3
-        near &= group[a][:, None] != group[b][None, :]
-        links, top = [], {}
-
-        def find(x: int) -> int:
-            while top.setdefault(x, x) != x:
-                x = top[x]
-            return x
-
-        for i, j in np.argwhere(near).tolist():
-            x, y = find(int(group[a[i]])), find(int(group[b[j]]))
-            if x != y:
-                top[x] = y
-                links.append((int(node[a[i]]), int(node[b[j]])))
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+def agreeing(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """In how many bytes each row of one table agrees with each of the other."""
+    total = np.zeros((len(one), len(other)), np.uint8 if one.shape[1] < 256 else np.uint16)
+    for k in range(one.shape[1]):
+        total += one[:, k][:, None] == other[:, k][None, :]
+    return total
+
+
+class Links:
+    """Links between nodes of a block that join classes which no earlier link has joined."""
+
+    def __init__(self, node: np.ndarray, group: np.ndarray) -> None:
+        self.node, self.group, self.top, self.found = node, group.tolist(), {}, []
+
+    def _find(self, x: int) -> int:
+        while self.top.setdefault(x, x) != x:
+            x = self.top[x]
+        return x
+
+    def joined(self, i: int, j: int) -> bool:
+        return self._find(self.group[i]) == self._find(self.group[j])
+
+    def add(self, i: int, j: int) -> None:
+        x, y = self._find(self.group[i]), self._find(self.group[j])
+        if x != y:
+            self.top[x] = y
+            self.found.append((int(self.node[i]), int(self.node[j])))
+
+
+def _linked(rows: pd.DataFrame, similarity: float) -> list[tuple[int, int]]:
+    """Links of a block: between its two parts, or within one that is met with itself."""
+    part, node, group = rows["part"].to_numpy(), rows["node"].to_numpy(), rows["class"].to_numpy()
+    a, b = np.flatnonzero(part == rows["one"].iloc[0]), np.flatnonzero(part == rows["two"].iloc[0])
+    if not len(a) or not len(b):
+        return []
+    sign = np.frombuffer(b"".join(rows["marks"]), np.uint8).reshape(len(rows), -1)
+    near = agreeing(sign[a], sign[b]) >= least_agreeing(similarity, sign.shape[1])
+    near &= group[a][:, None] != group[b][None, :]
+    at_a, at_b = np.nonzero(near)
+    if not len(at_a):
+        return []
+    left_a, left_b = np.unique(a[at_a]), np.unique(b[at_b])
+    text, links = rows["text"].to_numpy(), Links(node, group)
+    if len(at_a) <= DENSE * (len(left_a) + len(left_b)):
+        bags = {i: multiset(text[i]) for i in np.union1d(left_a, left_b).tolist()}
+        for i, j in zip(a[at_a].tolist(), b[at_b].tolist()):
+            if not links.joined(i, j) and overlap(bags[i], bags[j]) >= similarity:
+                links.add(i, j)
+        return links.found
+    sets = {i: elements(multiset(text[i])) for i in np.union1d(left_a, left_b).tolist()}
+    shared = shared_elements([sets[i] for i in left_a.tolist()], [sets[i] for i in left_b.tolist()])
+    size_a, size_b = (np.array([len(sets[i]) for i in left.tolist()], np.float32) for left in (left_a, left_b))
+    alike = shared >= similarity * (size_a[:, None] + size_b[None, :] - shared) - 1e-3
+    alike &= group[left_a][:, None] != group[left_b][None, :]
+    for i, j in np.argwhere(alike).tolist():
+        links.add(int(left_a[i]), int(left_b[j]))
+    return links.found
+
+
+def _blocks(similarity: float):
+    """Blocks come one after another; each is compared when all its rows are there."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held = None, []
+
+        def links() -> Iterator[pd.DataFrame]:
+            if held:
+                found = _linked(pd.concat(held, ignore_index=True), similarity)
+                if found:
+                    yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+        for batch in batches:
+            key = batch[["bucket", "one", "two"]].to_numpy()
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+            for low, high in zip(cuts, cuts[1:]):
+                if now != tuple(key[low]):
+                    yield from links()
+                    now, held = tuple(key[low]), []
+                held.append(batch.iloc[low:high])
+        yield from links()
 
     return run
 
 
 def _between_classes(open_buckets: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) that join classes, from every bucket of ``open_buckets`` (bucket, node, class)."""
-    parts = open_buckets.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(PART)).alias("parts"))
-    dealt = open_buckets.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    sized = open_buckets.join(texts.select("node", F.octet_length("text").alias("size")), "node")
+    parts = sized.groupBy("bucket").agg(F.greatest(
+        F.ceil(F.count("*") / F.lit(PART)), F.ceil(F.sum("size") / F.lit(PART_BYTES))).alias("parts"))
+    several = saved(parts.where("parts > 1"), "parts")
+    few = F.broadcast(several) if several.count() <= MOST_PARTED else several
+    dealt = open_buckets.join(few, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
         "bucket", "node", "class", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
-    return met.join(texts.select("node", "text"), "node").groupBy("bucket", "one", "two").applyInPandas(
-        _block(similarity), "a long, b long")
+    block = ["bucket", "one", "two"]
+    rows = met.join(texts.select("node", "marks", "text"), "node").repartition(*block).sortWithinPartitions(*block)
+    return rows.mapInPandas(_blocks(similarity), "a long, b long")
 
 
 def _with_centre(buckets: DataFrame, rank) -> DataFrame:
@@ -329,6 +423,6 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = saved(near_duplicates(docs), "near")
     alone = F.when(F.col("class").isNull(), F.col("row")).alias("alone")
     keep = classes.groupBy("class", alone).agg(F.min(F.struct("doc_id", "row")).alias("first")).select(
-        F.col("first.row").alias("_row"))
-    marked = docs.withColumn("_row", F.xxhash64("doc_id", "text")).dropDuplicates(["_row"])
-    return marked.join(keep, "_row").select(*docs.columns)
+        F.col("first.row").alias("row"))
+    named = docs.select(row_name("doc_id", "text").alias("row"), packed(docs).alias("doc"))
+    return named.dropDuplicates(["row"]).join(keep, "row").select("doc.*")

@@ -5,16 +5,18 @@ import random
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from tablesync.llm import bagminhash as bm
 from tablesync.llm.common import components
+from tablesync.llm.common import words as words_of
 
 SCHEMA = "doc_id long, text string"
 
 
 def brute(rows):
     """Smallest doc_id of the class of every row."""
-    hashes = bm.WordHashes()
-    bags = [bm.multiset(text, hashes) for _, text in rows]
+    bags = [bm.multiset(text) for _, text in rows]
     top = list(range(len(rows)))
 
     def find(i):
@@ -63,8 +65,7 @@ def test_shared_elements_count_pairs(monkeypatch):
     sets = [np.unique(rng.integers(0, 60, rng.integers(0, 40)).astype(np.uint64)) for _ in range(9)]
     got = bm.shared_elements(sets[:4], sets[4:])
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[4:]] for a in sets[:4]]
-    h = bm.WordHashes()
-    a, b = bm.multiset("a b c d e a b c d e x", h), bm.multiset("a b c d e a b c d e y", h)
+    a, b = bm.multiset("a b c d e a b c d e x"), bm.multiset("a b c d e a b c d e y")
     x, y = bm.elements(a), bm.elements(b)
     assert len(np.intersect1d(x, y)) / len(np.union1d(x, y)) == bm.overlap(a, b)
 
@@ -79,8 +80,7 @@ def test_a_dense_group_below_the_threshold(spark, monkeypatch):
 
 
 def test_overlap_counts_multiples():
-    h = bm.WordHashes()
-    a, b = bm.multiset("a b c d e a b c d e", h), bm.multiset("A b, c d e!", h)
+    a, b = bm.multiset("a b c d e a b c d e"), bm.multiset("A b, c d e!")
     assert bm.overlap(a, b) == 1 / 6 and bm.overlap(a, a) == 1.0
 
 
@@ -160,3 +160,44 @@ def test_components_of_random_graphs(spark):
     got = [tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()]
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert sorted(got) == sorted((x, find(x)) for x in linked)
+
+
+def test_the_stage_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f", 7, 8), (2, "a b c d e f", 7, 9), (3, "g h i j k l", 7, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row long, `class` long")
+    kept = bm.stage(spark, docs, "")
+    assert kept.schema == docs.schema and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
+def test_a_pair_at_the_threshold_agrees_enough():
+    rng = random.Random(4)
+    for _ in range(60):
+        text = words(rng, 400)
+        a, b = bm.multiset(" ".join(text)), bm.multiset(" ".join(changed(rng, text, 8)))
+        m = bm.marks(bm.signatures([a, b]))
+        agree = bm.agreeing(m[:1], m[1:])[0, 0]
+        assert agree == (m[0] == m[1]).sum()
+        assert agree >= bm.least_agreeing(bm.overlap(a, b))
+
+
+def test_blocks_over_several_batches(spark, monkeypatch):
+    monkeypatch.setattr(bm, "PART", 7)
+    monkeypatch.setattr(bm, "PART_BYTES", 3000)
+    monkeypatch.setattr(bm, "DENSE", 0)
+    rng = random.Random(12)
+    base = words(rng, 70)
+    rows = [(k, " ".join(changed(rng, base, 3))) for k in range(60)]
+    rows += [(100 + k, " ".join(changed(rng, rows[k][1].split(), 1))) for k in range(0, 60, 5)]
+    want = brute(rows)
+    assert classes(spark, rows) == want
+    monkeypatch.setattr(bm, "DENSE", 10**6)
+    assert classes(spark, rows) == want
+
+
+def test_words_are_those_of_all_shingle_operators(spark):
+    text = "हिन्दी naïve été x_1 ½² ① A-b ไทย 😀 e\u0301a İx"
+    got = spark.createDataFrame([(text,)], "t string").select(words_of(F.col("t")).alias("w")).first()["w"]
+    assert len(bm.word_hashes(text)) == len(got)
+    assert [bm.word_hashes(w)[0] for w in got if "i" not in w] == [
+        h for h, w in zip(bm.word_hashes(text).tolist(), got) if "i" not in w]
+    assert len({int(bm.word_hashes(w)[0]) for w in ("ab", "ba", "a", "b", "aa", "abc", "bca", "cab")}) == 8
