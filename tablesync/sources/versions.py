@@ -33,10 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.mapping import quoted
-from tablesync.sources.files import drop_if_exists, drop_other_loads, drop_others, exists, loads_in
+from tablesync.sources.files import (
+    LOAD, directories, drop_if_exists, drop_other_loads, drop_others, exists, loads_in,
+)
 from tablesync.sources.tables import empty, gathered, one_row, scan_parquet
 
-BUCKET = "bucket"
+BUCKET, LOAD_ID = "bucket", LOAD.removesuffix("=")
+#: Buckets of a load that a reader is given one by one.
+FEW_BUCKETS = 32
 #: Bits of Spark's bitmap aggregates.
 BITMAP = 32768
 MANAGE_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
@@ -130,8 +134,20 @@ class VersionedTable:
         session = session or self.spark
         if not commit.buckets:
             return empty(session, commit.schema)
-        paths = [self._directory(load, bucket) for bucket, load in commit.buckets.items()]
-        return session.read.schema(commit.schema).parquet(*paths)
+        data, paths, superseded = f"{self.path}/data", [], F.lit(False)
+        for load, used in _by_load(commit.buckets).items():
+            if len(used) <= FEW_BUCKETS:
+                paths += [self._directory(load, bucket) for bucket in used]
+                continue
+            # one path for them all; the directories that later loads have replaced are pruned
+            root = f"{data}/{LOAD}{load}"
+            others = {int(b) for b in directories(self.spark, root, f"{BUCKET}=")}.difference(used)
+            paths.append(root)
+            if others:
+                superseded |= (F.col(LOAD_ID) == load) & F.col(BUCKET).isin(sorted(others))
+        named = T.StructType([*commit.schema.fields, T.StructField(LOAD_ID, T.StringType()), T.StructField(BUCKET, T.IntegerType())])
+        rows = session.read.schema(named).option("basePath", data).parquet(*paths)
+        return rows.where(~superseded).select(*[quoted(c) for c in commit.schema.names])
 
     @contextmanager
     def bucketed(
@@ -325,8 +341,8 @@ class VersionedTable:
             return 0
         in_use: dict[str, set[str]] = {}
         for row in kept:
-            for bucket, load in json.loads(row["buckets"]).items():
-                in_use.setdefault(load, set()).add(bucket)
+            for bucket, load in _bucket_map(row["buckets"]).items():
+                in_use.setdefault(load, set()).add(str(bucket))
         drop_other_loads(self.spark, f"{self.path}/commits", {row["load_id"] for row in kept})
         data = f"{self.path}/data"
         dropped = sum(
@@ -384,7 +400,7 @@ class VersionedTable:
             "seq": commit.seq,
             "key": self.key,
             "n_buckets": self.n_buckets,
-            "buckets": json.dumps(commit.buckets),
+            "buckets": json.dumps({load: _runs(used) for load, used in _by_load(commit.buckets).items()}),
             "columns": commit.schema.json(),
             "watermark": commit.watermark,
             "row_count": commit.row_count,
@@ -404,7 +420,7 @@ class VersionedTable:
         return Commit(
             load_id=row["load_id"],
             seq=row["seq"],
-            buckets={int(b): load for b, load in json.loads(row["buckets"]).items()},
+            buckets=_bucket_map(row["buckets"]),
             schema=T.StructType.fromJson(json.loads(row["columns"])),
             watermark=row["watermark"],
             row_count=row["row_count"],
@@ -413,6 +429,36 @@ class VersionedTable:
         )
 
 
+def _by_load(buckets: dict[int, str]) -> dict[str, list[int]]:
+    """The buckets that each load holds, in order."""
+    held: dict[str, list[int]] = {}
+    for bucket in sorted(buckets):
+        held.setdefault(buckets[bucket], []).append(bucket)
+    return held
+
+
+def _runs(numbers: Sequence[int]) -> list[list[int]]:
+    """Ordered numbers as pairs of the first and last of each unbroken run."""
+    runs: list[list[int]] = []
+    for number in numbers:
+        if runs and runs[-1][1] == number - 1:
+            runs[-1][1] = number
+        else:
+            runs.append([number, number])
+    return runs
+
+
+def _bucket_map(text: str) -> dict[int, str]:
+    """The load of each bucket, from runs of buckets per load or, as control rows had it before, a load per bucket."""
+    found: dict[int, str] = {}
+    for name, value in json.loads(text).items():
+        if isinstance(value, str):
+            found[int(name)] = value
+        else:
+            found.update((bucket, name) for first, last in value for bucket in range(first, last + 1))
+    return found
+
+
 def buckets_for(total_bytes: int, bucket_bytes: int = 1 << 30) -> int:
     """Buckets for a table of this size on disk. A table refuses more than Spark's own limit."""
     return max(1, math.ceil(total_bytes / bucket_bytes))

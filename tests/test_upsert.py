@@ -1,4 +1,5 @@
 import glob
+import json
 import os
 
 import pytest
@@ -10,7 +11,7 @@ from tablesync.operators.latest import latest
 from tablesync.plans import merchant
 from tablesync.plans.upsert import merge, upsert_latest
 from tablesync.sources.tables import overwrite
-from tablesync.sources.versions import VersionedTable
+from tablesync.sources.versions import VersionedTable, _bucket_map, _by_load, _runs
 from tests.helpers import Crash, at, crash, fetch, new_path, new_table, plan_of, rows
 from tests.test_latest import batches, expected, relaxed
 from workload.standins import merchant_src
@@ -294,3 +295,22 @@ def test_columns_are_dropped_without_a_write(spark, tmp_path):
     for names in (["k"], ["nothing"]):
         with pytest.raises(ValueError, match="cannot be dropped"):
             table.drop_columns("no", names)
+
+
+def test_a_reader_is_given_a_path_per_load(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tablesync.sources.versions.FEW_BUCKETS", 2)
+    table = new_table(spark, tmp_path, n_buckets=16)
+    put(table, "007", rows(spark, *[(k, DAY1, "a") for k in range(200)]))
+    put(table, "b", rows(spark, *[(k, DAY2, "b") for k in range(0, 9)]))
+    put(table, "c", rows(spark, (3, DAY3, "c")))
+    commit = table.current()
+    assert set(commit.buckets.values()) == {"007", "b", "c"}
+    want = [(k, DAY3 if k == 3 else DAY2 if k < 9 else DAY1, "c" if k == 3 else "b" if k < 9 else "a") for k in range(200)]
+    assert fetch(table.read()) == sorted(want, key=repr)
+    assert "InMemoryFileIndex(3 paths)" in plan_of(table.read())
+    control = spark.read.parquet(f"{table.path}/commits/load_id=007").first()["buckets"]
+    assert control == '{"007": [[0, 15]]}'
+    old = dict(sorted(commit.buckets.items()))
+    assert _bucket_map(json.dumps(old)) == _bucket_map(json.dumps({n: _runs(u) for n, u in _by_load(old).items()})) == old
+    table.retire()
+    assert fetch(table.read()) == sorted(want, key=repr)
