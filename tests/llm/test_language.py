@@ -114,5 +114,8 @@ def test_viterbi_finds_the_best_path():
 
 def test_numbers_are_no_letters_and_marks_stay_in_words(spark, model):
     assert lg.LETTERS.findall("½ ² ① Ⅳ x² हिन्दी e\u0301a \u0301") == ["x", "हिन्दी", "e\u0301a"]
+    low = "".join(map(chr, range(0x300)))
+    assert lg.words_in(low) == lg.LETTERS.findall(low)
+    assert all(lg.words_in(t) == lg.LETTERS.findall(t) for t in ("naïve ½a", "e\u0301a ß", "x1y_z", "हिन्दी a"))
     rows = labels(spark, model, "½ ² ①", "\u0301 \u0301")
     assert [(r["lang_pred"], r["score"]) for r in rows] == [("und", 0.0)] * 2
