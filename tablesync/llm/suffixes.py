@@ -662,8 +662,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.sum("n").alias("n")).where(F.col("n") >= DRAWN).toPandas()
     hot = np.sort(drawn["name"].to_numpy(np.int64).view(np.uint64))
     hot_parts = int(drawn["n"].sum()) * RATE * (LEFT + 1) // 2 // HOT_WINDOWS + 1 if len(hot) else 0
-    # rows alike are one, whose spans are all theirs
-    alone = docs.dropDuplicates(["row"]).join(names.dropDuplicates(["row"]), "row")
+    # rows alike are one, whose spans are all theirs; the join leaves them side by side
+    alone = docs.join(names.dropDuplicates(["row"]), "row").dropDuplicates(["row"])
     runs = alone.select("doc", "row", "names", "text").mapInArrow(
         _runs(buckets, splitters, hot, hot_parts), "part long, kind long, block binary")
     return runs.repartition(len(splitters) + 1 + hot_parts, "part").sortWithinPartitions("part").mapInPandas(
