@@ -41,6 +41,8 @@ from tablesync.sources.tables import empty, gathered, one_row, scan_parquet
 BUCKET, LOAD_ID = "bucket", LOAD.removesuffix("=")
 #: Buckets of a load that a reader is given one by one.
 FEW_BUCKETS = 32
+#: A task handles a bucket whole, so tables aim at buckets of this many bytes on disk, up to this many of them.
+BUCKET_BYTES, MANY_BUCKETS = 4 << 20, 10_000
 #: Bits of Spark's bitmap aggregates.
 BITMAP = 32768
 MANAGE_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
@@ -459,9 +461,16 @@ def _bucket_map(text: str) -> dict[int, str]:
     return found
 
 
-def buckets_for(total_bytes: int, bucket_bytes: int = 1 << 30) -> int:
-    """Buckets for a table of this size on disk. A table refuses more than Spark's own limit."""
-    return max(1, math.ceil(total_bytes / bucket_bytes))
+def buckets_for(total_bytes: int, bucket_bytes: int | None = None) -> int:
+    """Buckets for a table of this size on disk. A table refuses more than Spark's own limit.
+
+    Unless their size is given, buckets are of 4 MiB, which a task sorts in some hundred MB. Tables that
+    would need more than 10,000 of these get larger ones, up to 1 GiB.
+    """
+    if bucket_bytes is not None:
+        return max(1, math.ceil(total_bytes / bucket_bytes))
+    small = min(math.ceil(total_bytes / BUCKET_BYTES), MANY_BUCKETS)
+    return max(1, small, math.ceil(total_bytes / (1 << 30)))
 
 
 def bucket_bitmaps(bucket: Column, n_buckets: int) -> list[Column]:

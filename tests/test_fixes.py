@@ -33,6 +33,12 @@ def test_buckets_follow_the_size():
     assert buckets_for(64 << 40) == 65536
 
 
+def test_a_bucket_stays_small_enough_for_a_task():
+    assert [buckets_for(gb << 30) for gb in (1, 6, 60)] == [256, 1536, 10_000]
+    assert buckets_for(1 << 40) == 10_000
+    assert buckets_for(6 << 30, bucket_bytes=1 << 30) == 6
+
+
 def test_more_buckets_than_spark_allows_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="maxBuckets"):
         VersionedTable(spark, new_path(tmp_path), ["k"], buckets_for(200 << 40))
