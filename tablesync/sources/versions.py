@@ -352,7 +352,8 @@ class VersionedTable:
             for load in loads_in(self.spark, data)
         )
         drop_other_loads(self.spark, data, in_use)
-        drop_other_loads(self.spark, f"{self.path}/staging", ())
+        for passing in ("staging", "slices"):
+            drop_other_loads(self.spark, f"{self.path}/{passing}", ())
         drop_other_loads(self.spark, f"{self.path}/changes", {row["load_id"] for row in kept})
         self._sweep_catalogue()
         return dropped

@@ -3,7 +3,9 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tablesync.plans import history
 from tablesync.plans.history import as_of, extend_history, intervals
+from tablesync.sources.files import exists
 from tests.helpers import Crash, at, crash, fetch, new_table, rows
 from tests.test_latest import relaxed
 
@@ -96,6 +98,52 @@ def test_a_hot_key_and_the_shuffles(spark, tmp_path, monkeypatch):
     assert got.where("valid_to <= valid_from").count() == 0
 
 
+def small_slices(patch, rows_of_a_slice, rows_of_a_bucket):
+    patch.setattr(history, "SLICE_ROWS", rows_of_a_slice)
+    patch.setattr(history, "WIDE_ROWS", rows_of_a_bucket)
+
+
+@relaxed
+@given(loads)
+def test_slices_give_the_same_history(spark, tmp_path, batches):
+    table = new_table(spark, tmp_path, n_buckets=2)
+    with pytest.MonkeyPatch.context() as patch:
+        small_slices(patch, 1, 1)
+        for n, batch in enumerate(batches):
+            put(table, f"load-{n}", rows(spark, *batch))
+    got = fetch(intervals(table.read())) if table.current() else []
+    assert got == expected(batches)
+
+
+def test_several_tasks_share_a_hot_key(spark, tmp_path, monkeypatch):
+    small_slices(monkeypatch, 500, 2_000)
+    table = new_table(spark, tmp_path)
+    hot = spark.range(6_000).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 900).alias("k"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins="id")).alias("at"),
+        # long runs of one value, one of them over several slices, and NULLs
+        F.when(F.col("id") < 4_000, F.when(F.col("id") % 700 < 600, "a")).otherwise("b").alias("v"))
+    tasks = []
+    write = type(table)._write_rows
+
+    def watched(self, load_id, df):
+        sizes = df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        tasks.append((sizes, df.columns))
+        return write(self, load_id, df)
+
+    monkeypatch.setattr(type(table), "_write_rows", watched)
+    late = F.col("at") < F.lit("2024-01-03").cast("timestamp_ntz")
+    put(table, "late", hot.where(~late))
+    put(table, "all", hot)
+    once = new_table(spark, tmp_path)
+    small_slices(monkeypatch, 10_000, 10_000)
+    put(once, "all", hot)
+    assert fetch(table.read()) == fetch(once.read())
+    assert table.read().columns == once.read().columns
+    assert tasks[1][0] < 2_000 < tasks[2][0], "rows of the largest task, in slices and by bucket"
+    assert not exists(spark, f"{table.path}/slices/load_id=all")
+
+
 def test_rejects_and_clashes(spark, tmp_path):
     table = new_table(spark, tmp_path)
     assert put(table, "a", rows(spark, (None, DAYS[0], "n"), (1, None, "p"), (1, DAYS[0], "a"))).rejected == 1
