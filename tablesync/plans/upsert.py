@@ -29,6 +29,8 @@ class UpsertResult:
     lost: Mapping[str, int] = field(default_factory=dict)
 
 
+#: Rows of a staged file at most; a file is read whole when it has one group of rows.
+STAGED_ROWS = 500_000
 NOTHING = UpsertResult(False, 0, 0, 0)
 
 
@@ -115,7 +117,7 @@ def merge(
 
 
 def stage(table: VersionedTable, increment: DataFrame, path: str, watermark: str | None) -> tuple[DataFrame, dict]:
-    """Write an increment once; that write measures it."""
+    """Write an increment once, to files a task can sort; that write measures it."""
     keyed = has_key(table.key)
     mark = newest(increment, watermark) if watermark else F.max(F.lit(None)).cast("string")
     seen = Observation()
@@ -126,7 +128,7 @@ def stage(table: VersionedTable, increment: DataFrame, path: str, watermark: str
         *bucket_bitmaps(F.when(keyed, table.bucket_of()), table.n_buckets),
         mark.alias("watermark"),
     )
-    overwrite(measured, path)
+    overwrite(measured, path, options={"maxRecordsPerFile": str(STAGED_ROWS)})
     return scan_parquet(table.spark, path, increment.schema), {**seen.get, "buckets": buckets_in(seen.get)}
 
 

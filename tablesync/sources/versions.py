@@ -43,6 +43,8 @@ BUCKET, LOAD_ID = "bucket", LOAD.removesuffix("=")
 FEW_BUCKETS = 32
 #: A task handles a bucket whole, so tables aim at buckets of this many bytes on disk, up to this many of them.
 BUCKET_BYTES, MANY_BUCKETS = 4 << 20, 10_000
+#: How much of an increment a task reads to deal it to the buckets.
+SPLIT_BYTES = 16 << 20
 #: Bits of Spark's bitmap aggregates.
 BITMAP = 32768
 MANAGE_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
@@ -195,7 +197,8 @@ class VersionedTable:
 
         With as many shuffle partitions as buckets, and these left alone at run time,
         rows that were shuffled by the key already lie where the table keeps them. A task
-        then writes one bucket and may keep its file open, rather than sort by bucket.
+        then writes one bucket and may keep its file open, rather than sort by bucket. Files that
+        are not buckets are read in small pieces, as a task sorts what it sends to the buckets.
         """
         session = self.spark.newSession()
         for name, value in self.spark.conf.getAll.items():
@@ -204,6 +207,7 @@ class VersionedTable:
         session.conf.set("spark.sql.shuffle.partitions", self.n_buckets)
         session.conf.set("spark.sql.adaptive.enabled", False)
         session.conf.set("spark.sql.maxConcurrentOutputFileWriters", 4)
+        session.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
         session.conf.set(MANAGE_PARTITIONS, True)
         return session
 

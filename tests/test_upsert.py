@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablesync.operators.latest import latest
-from tablesync.plans import merchant
+from tablesync.plans import merchant, upsert
 from tablesync.plans.upsert import merge, upsert_latest
 from tablesync.sources.tables import overwrite
 from tablesync.sources.versions import VersionedTable, _bucket_map, _by_load, _runs
@@ -275,6 +275,20 @@ def test_merchant_sync_over_three_days(spark, tmp_path):
     assert fetch(table.read()) == fetch(whole)
 
 
+def test_an_increment_is_staged_in_files_a_task_can_sort(spark, tmp_path, monkeypatch):
+    table = new_table(spark, tmp_path)
+    monkeypatch.setattr(upsert, "STAGED_ROWS", 10)
+    with monkeypatch.context() as broken:
+        broken.setattr(type(table), "_write_commit", crash)
+        with pytest.raises(Crash):
+            put(table, "a", rows(spark, *[(k, DAY1, "a") for k in range(95)]).coalesce(1))
+    files = glob.glob(f"{table.path}/staging/load_id=a/*.parquet")
+    assert sorted(spark.read.parquet(f).count() for f in files) == [5, *[10] * 9]
+    put(table, "a", rows(spark, *[(k, DAY1, "a") for k in range(95)]).coalesce(1))
+    assert table.read().count() == 95
+    assert table.bucket_session().conf.get("spark.sql.files.maxPartitionBytes") == str(16 << 20)
+
+
 def test_columns_are_dropped_without_a_write(spark, tmp_path):
     table = new_table(spark, tmp_path)
     put(table, "a", rows(spark, *[(k, DAY1, "a") for k in range(20)]).withColumn("w", F.col("k") * 2))
